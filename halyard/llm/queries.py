@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import media, mixing, tokens
+from halyard.llm import media, mixing, quality, secrets, tokens
 from halyard.llm.shared import table
 
 
@@ -13,6 +13,10 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_texts(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
@@ -22,5 +26,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {"op2_media_columns": op2_media_columns, "op6_token_counts": op6_token_counts, "op9_mixing": op9_mixing}
-ORACLES = {"op9_mixing": mixing.OP9_SQL}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_media_columns": op2_media_columns, "op4_quality": op4_quality, "op6_token_counts": op6_token_counts, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+ORACLES = {"op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
