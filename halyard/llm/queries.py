@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import media, mixing, quality, secrets, tokens
+from halyard.llm import licenses, media, mixing, quality, secrets, tokens, urls
 from halyard.llm.shared import table
 
 
@@ -21,6 +21,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"), licenses.document_path())
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -30,5 +38,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_media_columns": op2_media_columns, "op4_quality": op4_quality, "op6_token_counts": op6_token_counts, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
-ORACLES = {"op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
+QUERIES = {"op2_media_columns": op2_media_columns, "op4_quality": op4_quality, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+ORACLES = {"op7_licenses": licenses.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
