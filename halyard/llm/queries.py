@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import licenses, media, mixing, quality, secrets, tokens, urls
+from halyard.llm import decontaminate, licenses, media, mixing, quality, secrets, tokens, urls
 from halyard.llm.shared import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_texts(table(spark, sf_dir, "documents"))
 
@@ -38,5 +42,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_media_columns": op2_media_columns, "op4_quality": op4_quality, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_media_columns": op2_media_columns, "op4_quality": op4_quality, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
 ORACLES = {"op7_licenses": licenses.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
