@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import decontaminate, hmm, licenses, media, mixing, quality, secrets, tokens, urls
+from halyard.llm import decontaminate, hmm, jaccard, licenses, media, mixing, quality, secrets, tokens, urls
 from halyard.llm.shared import table
 
 
@@ -17,6 +17,10 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_texts(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,5 +50,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_media_columns": op2_media_columns, "op4_quality": op4_quality, "op5_lm_scoring": op5_lm_scoring, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_media_columns": op2_media_columns, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_quality": op4_quality, "op5_lm_scoring": op5_lm_scoring, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
 ORACLES = {"op7_licenses": licenses.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
