@@ -18,6 +18,8 @@ and matches nothing; equal items match each under its own id; repeated rows each
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -162,15 +164,21 @@ def _mapped(docs: DataFrame, items: list[tuple[int, str]], q: int, edits: float)
     return docs.mapInArrow(run, f"doc_id bigint, matches {_MATCHES}")
 
 
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about block_chars / 2 characters, one fetched at a time."""
+    known = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    total = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
+    n = -(-2 * int(total) // block_chars) if total > block_chars else 1
+    for k in range(n):
+        yield [(r.item_id, r.text) for r in known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block_chars: int = BLOCK_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and matches (item_id, start, end in code points, edits) of each document: the best occurrence of each item."""
-    known = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
-    total = known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n"), F.coalesce(F.max(F.length("text")), F.lit(0)).alias("most")).first()
-    n = max(1, -(-2 * int(total.n) // block_chars)) if total.n > block_chars else 1
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    parts = [_mapped(texts, [(r.item_id, r.text) for r in known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()], Q, edits) for k in range(n)]
+    parts = [_mapped(texts, items, Q, edits) for items in item_blocks(benchmark, block_chars)]
     out = parts[0]
-    if n > 1:  # rows of one document meet again by its id
+    if len(parts) > 1:  # rows of one document meet again by its id
         for other in parts[1:]:
             out = out.unionAll(other)
         out = out.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("matches")))).alias("matches"))
@@ -182,7 +190,20 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return leaks(docs, benchmark).select("doc_id", (F.size("matches") > 0).alias("contaminated"), F.array_sort(F.array_distinct(F.col("matches.item_id"))).alias("item_ids"), F.array_min(F.col("matches.edits")).alias("fewest_edits"), "matches")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those in which an item occurs; rows with the same doc_id go together."""
-    bad = leaks(docs, benchmark).where(F.size("matches") > 0).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block_chars: int = BLOCK_CHARS, text: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, in which no item occurs; a map over rows for each block of items."""
+    for items in item_blocks(benchmark, block_chars):
+        docs = docs.mapInArrow(_filter(items, edits, text), docs.schema)
+    return docs
+
+
+def _filter(items: list[tuple[int, str]], edits: float, text: str):
+    def run(batches):
+        index = Items(items, Q, edits)
+        for part, data, offsets in blocks(batches, text):
+            places = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
+            keep = np.ones(part.num_rows, bool)
+            keep[[d for d, *_ in found(_chars(data.tobytes()), places, index)]] = False
+            yield part.filter(pa.array(keep))
+
+    return run

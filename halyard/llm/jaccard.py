@@ -25,8 +25,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from halyard.llm.shared import blocks, mix, shingles, word_hashes, words, written
 
@@ -368,3 +369,33 @@ def joined(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFra
     described, found = classes_and_components(docs, k, percent)
     rows = described.select("doc_id", "n", "one", "two")
     return rows.join(found, ["n", "one", "two"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that are the smallest doc_id of their component; one row where such a row repeats.
+
+    Documents without shingles are alike to nothing and stay."""
+    keys = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    described, found = classes_and_components(keys, k, percent)
+    rows = described.where("n > 0").select("doc_id", "n", "one", "two").join(found, ["n", "one", "two"])
+    # the first row of each component, null ids last
+    best = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "one", "two")).alias("b"))
+    if_null = F.coalesce(F.concat(F.lit("v"), F.col("doc_id").cast("string")), F.lit("n"))
+    # components without any id are told apart by their class
+    best = best.where("component_id is not null").select("b.*").union(rows.where("component_id is null").select(F.lit(True), "doc_id", "n", "one", "two")).toDF("none", "doc_id", "n", "one", "two")
+    kept = best.select(if_null.alias("_k"), F.col("n").alias("_n"), F.col("one").alias("_one"), F.col("two").alias("_two"), F.lit(True).alias("_kept")).distinct()
+    own = _with_prints(docs.drop("_k", "_n", "_one", "_two", "_kept"), k, text).withColumn("_k", F.coalesce(F.concat(F.lit("v"), F.col(doc_id).cast("string")), F.lit("n")))
+    both = own.join(kept, ["_k", "_n", "_one", "_two"], "left")
+    nth = F.row_number().over(Window.partitionBy("_k", "_n", "_one", "_two").orderBy(F.lit(0)))
+    return both.withColumn("_nth", nth).where("_n = 0 or (_kept and _nth = 1)").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _with_prints(docs: DataFrame, k: int, text: str) -> DataFrame:
+    def run(batches):
+        for part, data, offsets in blocks(batches, text):
+            h, of = _sets(data, offsets, k)
+            one, two = _prints(h, of, part.num_rows)
+            n = np.bincount(of, minlength=part.num_rows).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n), pa.array(_signed(one)), pa.array(_signed(two))], [*part.schema.names, "_n", "_one", "_two"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_n", T.IntegerType()), T.StructField("_one", T.LongType()), T.StructField("_two", T.LongType())]))

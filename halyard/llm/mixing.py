@@ -16,7 +16,7 @@ target 0; the same rows give the same result on every run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.llm.shared import WORD, written
@@ -75,18 +75,23 @@ def copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHT
     return ranked.select("doc_id", F.col("_source").alias("source"), "size", "source_size", F.round("target", 6).alias("target"), F.least(n, F.lit(int(most))).cast("long").alias("copies"))
 
 
-def mixed(docs: DataFrame, **how) -> DataFrame:
+def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """docs with each row as many times as it is taken and its copy number in mix_copy (from 1).
 
-    Rows are matched by doc_id and size; rows alike in both are interchangeable."""
-    key = how.get("doc_id", "doc_id")
-    taken = copies(docs, **how).where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_src")).agg(F.collect_list(F.col("copies").cast("int")).alias("_copies"))
-    own = Window.partitionBy(key, how.get("source", "source"), "_words").orderBy(F.xxhash64(how.get("text", "text")))
-    size = F.coalesce(F.regexp_count(F.col(how.get("text", "text")), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.drop("mix_copy").withColumn("_words", size).withColumn("_nth", F.row_number().over(own))
-    joined = rows.join(taken, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")) & F.col(how.get("source", "source")).eqNullSafe(F.col("_src")))
+    Rows are matched by doc_id, source and size; rows alike in all three are interchangeable."""
+
+    def key(column: str) -> Column:  # null is a value of its own
+        return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
+
+    taken = copies(docs, text=text, source=source, doc_id=doc_id, **how).where("copies > 0")
+    taken = taken.groupBy(key("doc_id").alias("_id"), key("source").alias("_src"), F.col("size").alias("_words")).agg(F.collect_list(F.col("copies").cast("int")).alias("_copies"))
+    docs = docs.drop("mix_copy", "_id", "_src", "_words", "_copies", "_nth")
+    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.withColumn("_id", key(doc_id)).withColumn("_src", key(source)).withColumn("_words", size)
+    own = Window.partitionBy("_id", "_src", "_words").orderBy(F.xxhash64(text))
+    both = rows.join(taken, ["_id", "_src", "_words"]).withColumn("_nth", F.row_number().over(own))
     n = F.coalesce(F.get(F.array_sort("_copies"), F.col("_nth") - 1), F.lit(0))
-    return joined.where(n > 0).select(*[F.col(c) for c in docs.drop("mix_copy").columns], F.explode(F.sequence(F.lit(1), n)).alias("mix_copy"))
+    return both.where(n > 0).select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), n)).alias("mix_copy"))
 
 
 OP9_SQL = """

@@ -145,14 +145,29 @@ def fit(labelled: DataFrame, to_pooled: float = TO_POOLED, to_identity: float =
     return Model(n[1] / sum(n), tuple(means), tuple(factors), tuple(offsets), centre, scale)
 
 
+def _known(labels: DataFrame) -> DataFrame:
+    return labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that score at least `accept`; a map over rows after the fit."""
+    x = written(features(docs.where(crc_part(doc_id, 4) != 2).join(_known(labels).select(F.col("doc_id").alias(doc_id)), doc_id, "left_semi"), doc_id, text))
+    model = fit(x.join(_known(labels), "doc_id"))
+
+    def run(batches):
+        for part, data, offsets in blocks(batches, text):
+            yield part.filter(pa.array(model.score(statistics(data, offsets)) >= accept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def scored(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of each document.
 
     Learns from the labelled documents whose crc32 of the id isn't 2 modulo 4. The texts are read once:
     their statistics are written to the shared folder, and both steps read those."""
     x = written(features(docs, doc_id, text).withColumn("held_out", crc_part("doc_id", 4) == 2))
-    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    model = fit(x.where("not held_out").join(known, "doc_id"))
+    model = fit(x.where("not held_out").join(_known(labels), "doc_id"))
 
     def run(batches):
         for batch in batches:
