@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from halyard.functions.names import versioned_column
 from halyard.functions.numeric import minutes
 from halyard.operators import catalog, collection, incremental, metrics, summaries, tracks
+from halyard.schemas import struct
 from halyard.sources import geojson, sheets
 
 QUERIES: dict = {}
@@ -295,5 +295,5 @@ def sheet_all_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature = F.format_string('{"type":"Feature","properties":{"region_id":%d,"region":"%s"},"geometry":{"type":"Point","coordinates":[%d.5,-4]}}', "n_nationkey", "n_name", "n_nationkey")
     texts = _table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(feature)), F.lit("]}")).alias("value"))
-    found = geojson.features(texts, "value", T._parse_datatype_string("region_id bigint, region string"))
+    found = geojson.features(texts, "value", struct("region_id bigint, region string"))
     return found.select("region_id", "region", F.col("geometry.type").alias("kind"), F.col("geometry.coordinates").alias("coordinates"))

@@ -55,7 +55,7 @@ def ingest_tracks(spark: SparkSession, conf: dict, batch_size: int | None = None
         ids = todo[k : k + IDS_AT_ONCE]
         got = spark.read.format("trip_points").schema(with_error).options(base_url=api["base_url"], token=api["token"], secret=api["secret"], ids=",".join(map(str, ids)), deviceInfo="true", on_error="row").load().persist()
         staged = f"{root}/.staged-{k}"
-        got.where("_error is null").drop("_error").withColumn("trip", F.col("Trip")).write.mode("overwrite").option("compression", store.COMPRESSION).partitionBy("trip").parquet(staged)
+        got.where("_error is null").drop("_error").withColumn("_of", F.col("Trip")).write.mode("overwrite").option("compression", store.COMPRESSION).partitionBy("_of").parquet(staged)
         _name_by_trip(spark, staged, root, prefix)
         failed = got.where("_error is not null").select(F.lit("error").alias("status"), F.col("Trip").alias("trip_id"), F.col("_error").alias("message")).collect()
         got.unpersist()
@@ -70,8 +70,8 @@ def _name_by_trip(spark: SparkSession, staged: str, root: str, prefix: str) -> N
     """Each trip's folder of the staged write becomes an object of its own."""
     fs, at = store._fs(spark, staged)
     path = spark._jvm.org.apache.hadoop.fs.Path
-    for s in fs.globStatus(path(at, "trip=*")) or []:
-        fs.rename(s.getPath(), path(root, f"{prefix}_{s.getPath().getName().removeprefix('trip=')}.parquet"))
+    for s in fs.globStatus(path(at, "_of=*")) or []:
+        fs.rename(s.getPath(), path(root, f"{prefix}_{s.getPath().getName().removeprefix("_of=")}.parquet"))
     fs.delete(at, True)
 
 

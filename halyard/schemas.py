@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-DEVICES = T._parse_datatype_string("state string, IMEI string")
-TRIPS = T._parse_datatype_string("Trip bigint, IMEI string, Started timestamp, Ended timestamp")
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType(), "timestamp": T.TimestampType()}
+
+
+def struct(fields: str) -> T.StructType:
+    """A schema from "name type, ..."; unlike Spark's own parser it needs no session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (x.split() for x in fields.split(", "))])
+
+
+DEVICES = struct("state string, IMEI string")
+TRIPS = struct("Trip bigint, IMEI string, Started timestamp, Ended timestamp")
 POINTS = T.StructType(
     [
         T.StructField("Trip", T.LongType()),
@@ -19,10 +27,10 @@ POINTS = T.StructType(
         T.StructField("seq", T.LongType()),
     ]
 )
-GRIDDED = T._parse_datatype_string("Trip bigint, lat_grid double, lng_grid double, time_spent_mins double, mean_speed double, mean_range double, first_seen timestamp, last_seen timestamp, n_points bigint")
-SUMMARIES = T._parse_datatype_string("lat_grid_1km double, lng_grid_1km double, avg_speed double, avg_range double, total_visits bigint, original_cells bigint, total_points bigint, avg_time_hours double")
-OBJECTS = T._parse_datatype_string("name string, updated timestamp")
-RESULTS = T._parse_datatype_string("status string, trip_id bigint, message string")
+GRIDDED = struct("Trip bigint, lat_grid double, lng_grid double, time_spent_mins double, mean_speed double, mean_range double, first_seen timestamp, last_seen timestamp, n_points bigint")
+SUMMARIES = struct("lat_grid_1km double, lng_grid_1km double, avg_speed double, avg_range double, total_visits bigint, original_cells bigint, total_points bigint, avg_time_hours double")
+OBJECTS = struct("name string, updated timestamp")
+RESULTS = struct("status string, trip_id bigint, message string")
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:

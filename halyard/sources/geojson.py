@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from halyard.schemas import struct
+
 #: Coordinates nest to another depth for each kind of geometry, so they stay text.
-GEOMETRY = T._parse_datatype_string("type string, coordinates string")
+GEOMETRY = struct("type string, coordinates string")
 
 
 def read_geojson(spark: SparkSession, *paths: str, properties: T.StructType | None = None) -> DataFrame:

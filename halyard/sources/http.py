@@ -3,8 +3,7 @@
     spark.read.format("trip_points").schema(POINTS).options(base_url=..., token=..., secret=..., ids="1,2").load()
 
 Points come by trip id, one partition an id, or by a range of dates, one partition a day. Trips come by a range
-of dates in one request; equality and IN predicates on IMEI join the request's device list where filter
-pushdown is on (spark.sql.python.filterPushdown.enabled). A status other than 200 fails the task, unless
+of dates in one request; equality and IN predicates on IMEI join the request's device list. A status other than 200 fails the task, unless
 on_error is "row" (points by id only): then the id comes back as one row with its message in _error.
 """
 
@@ -97,19 +96,8 @@ class _Piece(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, options, schema: StructType, pieces: list[_Piece], push: bool = False):
-        self.options, self.schema, self.pieces, self.push = dict(options), schema, pieces, push
-
-    def pushFilters(self, filters: list[Filter]):
-        for f in filters:
-            values = None
-            if self.push and isinstance(f, EqualTo) and f.attribute == ("IMEI",):
-                values = [f.value]
-            elif self.push and isinstance(f, In) and f.attribute == ("IMEI",):
-                values = list(f.value)
-            if values and not self.options.get("imeis"):
-                self.options["imeis"] = ",".join(map(str, values))
-            yield f  # Spark filters again
+    def __init__(self, options, schema: StructType, pieces: list[_Piece]):
+        self.options, self.schema, self.pieces = dict(options), schema, pieces
 
     def partitions(self):
         return self.pieces
@@ -125,6 +113,19 @@ class _Reader(DataSourceReader):
             yield tuple(_value(error.get(f.name), f.dataType) for f in self.schema.fields)
 
 
+class _TripsReader(_Reader):
+    def pushFilters(self, filters: list[Filter]):
+        for f in filters:
+            values = None
+            if isinstance(f, EqualTo) and f.attribute == ("IMEI",):
+                values = [f.value]
+            elif isinstance(f, In) and f.attribute == ("IMEI",):
+                values = list(f.value)
+            if values and not self.options.get("imeis"):
+                self.options["imeis"] = ",".join(map(str, values))
+            yield f  # Spark filters again
+
+
 class TripsSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -134,7 +135,7 @@ class TripsSource(DataSource):
         return TRIPS
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self.options, schema, [_Piece(trips_path(self.options.get("from_date"), self.options.get("to_date")))], push=True)
+        return _TripsReader(self.options, schema, [_Piece(trips_path(self.options.get("from_date"), self.options.get("to_date")))])
 
 
 class TripPointsSource(DataSource):
@@ -157,6 +158,8 @@ class TripPointsSource(DataSource):
 
 
 def register(spark) -> None:
+    """Both sources, and the pushdown that the trips source takes part in."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TripsSource)
     spark.dataSource.register(TripPointsSource)
 
