@@ -76,22 +76,23 @@ def copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHT
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
-    """docs with each row as many times as it is taken and its copy number in mix_copy (from 1).
+    """docs with each row as many times as it is taken and its copy number in mix_copy (from 1; a column of that name is replaced).
 
     Rows are matched by doc_id, source and size; rows alike in all three are interchangeable."""
 
     def key(column: str) -> Column:  # null is a value of its own
         return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
 
+    docs = docs.drop("mix_copy")
     taken = copies(docs, text=text, source=source, doc_id=doc_id, **how).where("copies > 0")
-    taken = taken.groupBy(key("doc_id").alias("_id"), key("source").alias("_src"), F.col("size").alias("_words")).agg(F.collect_list(F.col("copies").cast("int")).alias("_copies"))
-    docs = docs.drop("mix_copy", "_id", "_src", "_words", "_copies", "_nth")
+    taken = taken.groupBy(key("doc_id").alias("id"), key("source").alias("src"), "size").agg(F.collect_list(F.col("copies").cast("int")).alias("each"))
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("_id", key(doc_id)).withColumn("_src", key(source)).withColumn("_words", size)
-    own = Window.partitionBy("_id", "_src", "_words").orderBy(F.xxhash64(text))
-    both = rows.join(taken, ["_id", "_src", "_words"]).withColumn("_nth", F.row_number().over(own))
-    n = F.coalesce(F.get(F.array_sort("_copies"), F.col("_nth") - 1), F.lit(0))
-    return both.where(n > 0).select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), n)).alias("mix_copy"))
+    # all columns travel as one, so that no name clashes
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key(doc_id).alias("id"), key(source).alias("src"), size.alias("size"), F.xxhash64(text).alias("tie"))
+    own = Window.partitionBy("id", "src", "size").orderBy("tie")
+    both = rows.join(taken, ["id", "src", "size"]).withColumn("nth", F.row_number().over(own))
+    n = F.coalesce(F.get(F.array_sort("each"), F.col("nth") - 1), F.lit(0))
+    return both.where(n > 0).select("row.*", F.explode(F.sequence(F.lit(1), n)).alias("mix_copy"))
 
 
 OP9_SQL = """

@@ -141,23 +141,27 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), step)["out"]
 
 
-def found_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with secret_spans, an array of (start, place, end, kind) by start and the rules' order."""
+def _found(docs: DataFrame, rules: tuple[Rule, ...], doc_id: str, text: str) -> DataFrame:
+    """row (all columns of docs as one, so that no name clashes), text and spans."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     indexed = [r for r in rules if trigram_query(r.pattern)]
     grams = sorted({g for r in indexed for c in trigram_query(r.pattern) for g in c})
-    docs = docs.drop("secret_spans")
     if indexed:
-        some = candidates(trigram_index(docs, grams, doc_id, text), rules).select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds"))
-        both = docs.join(some.hint("shuffle_hash"), F.col(doc_id).eqNullSafe(F.col("_id")), "left")
+        some = candidates(trigram_index(rows, grams), rules).withColumnRenamed("doc_id", "of")
+        rows = rows.join(some.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
     else:
-        both = docs.withColumn("_kinds", F.array().cast("array<string>"))
-    whole = F.coalesce(F.col(text), F.lit(""))
-    none = F.array().cast(_SPAN)
+        rows = rows.withColumn("kinds", F.array().cast("array<string>"))
+    whole = F.coalesce(F.col("text"), F.lit(""))
     each = []
     for place, rule in enumerate(rules):
-        go = F.array_contains("_kinds", rule.kind) if rule in indexed else F.rlike(whole, F.lit(rule.pattern))
-        each.append(F.when(go, _spans(whole, rule, place)).otherwise(none))
-    return both.select(*[F.col(c) for c in docs.columns], F.array_sort(F.concat(*each)).alias("secret_spans"))
+        go = F.array_contains("kinds", rule.kind) if rule in indexed else F.rlike(whole, F.lit(rule.pattern))
+        each.append(F.when(go, _spans(whole, rule, place)).otherwise(F.array().cast(_SPAN)))
+    return rows.select("row", "text", F.array_sort(F.concat(*each)).alias("spans"))
+
+
+def found_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with secret_spans, an array of (start, place, end, kind) by start and the rules' order; a column of that name is replaced."""
+    return _found(docs.drop("secret_spans"), rules, doc_id, text).select("row.*", F.col("spans").alias("secret_spans"))
 
 
 def joined(spans: Column) -> Column:
@@ -176,17 +180,17 @@ def digest(docs: DataFrame) -> DataFrame:
     return found_spans(docs.select("doc_id", "text")).select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"))
 
 
-def redacted(docs: DataFrame, text: str = "text", **how) -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with every span cut out of the text and its kind in its place; other texts stay as they are."""
-    found = found_spans(docs, text=text, **how)
 
     def step(acc, s):
-        keep = F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))
+        keep = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], keep).otherwise(acc["out"]).alias("out"))
 
-    cut = F.aggregate("secret_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    rest = F.concat(cut["out"], F.substring(F.col(text), cut["at"] + 1, F.length(text)))
-    return found.withColumn(text, F.when(F.size("secret_spans") > 0, rest).otherwise(F.col(text))).drop("secret_spans")
+    cut = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
+    rest = F.concat(cut["out"], F.substring(F.col("text"), cut["at"] + 1, F.length("text")))
+    new = F.when(F.size("spans") > 0, rest).otherwise(F.col("text"))
+    return _found(docs, rules, doc_id, text).select(*[new.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _sql() -> str:
