@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.shared import blocks
+from halyard.llm.shared import blocks, packed
 
 Q = 8
 EDITS = 0.1
@@ -192,15 +192,16 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block_chars: int = BLOCK_CHARS, text: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, in which no item occurs; a map over rows for each block of items."""
+    rows = packed(docs, text=text)
     for items in item_blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(_filter(items, edits, text), docs.schema)
-    return docs
+        rows = rows.mapInArrow(_filter(items, edits), rows.schema)
+    return rows.select("row.*")
 
 
-def _filter(items: list[tuple[int, str]], edits: float, text: str):
+def _filter(items: list[tuple[int, str]], edits: float):
     def run(batches):
         index = Items(items, Q, edits)
-        for part, data, offsets in blocks(batches, text):
+        for part, data, offsets in blocks(batches, "text"):
             places = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
             keep = np.ones(part.num_rows, bool)
             keep[[d for d, *_ in found(_chars(data.tobytes()), places, index)]] = False

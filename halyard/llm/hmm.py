@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.shared import _BYTE, blocks, crc_part, mix, word_hashes, words, written
+from halyard.llm.shared import _BYTE, blocks, crc_part, mix, most_frequent, word_hashes, words, written
 
 COMMON = 4096
 ENDINGS = 2048
@@ -227,7 +227,7 @@ def scored(docs: DataFrame, states: int = STATES, held_out=None, doc_id: str = "
     ends = train.count()
     # all of these have a fixed size
     n_words, n_distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = vocabulary.orderBy(F.desc("c"), "h").limit(most_sent).select("h", "c", "ending").toPandas()
+    top = most_frequent(vocabulary, "c", most_sent).select("h", "c", "ending").toPandas().sort_values(["c", "h"], ascending=[False, True])
     hashes, counts = top.h.to_numpy(np.int64).view(np.uint64), top.c.to_numpy(np.int64)
     classes = np.where(np.arange(len(top)) < COMMON, np.arange(len(top)), -1)
     mass = np.zeros(END + 1)

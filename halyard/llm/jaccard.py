@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.llm.shared import blocks, mix, shingles, word_hashes, words, written
+from halyard.llm.shared import blocks, mix, most_frequent, packed, shingles, word_hashes, words, written
 
 SHINGLE = 4
 PERCENT = 85
@@ -81,7 +81,8 @@ def frequent_shingles(texts: DataFrame, k: int = SHINGLE, most: int = FREQUENT)
             some = n >= SEEN
             yield pa.RecordBatch.from_arrays([pa.array(_signed(h[some])), pa.array(n[some])], ["h", "n"])
 
-    top = texts.mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(most).toPandas()
+    counts = written(texts.mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")))
+    top = most_frequent(counts, "n", most).toPandas().sort_values(["n", "h"], ascending=[False, True])
     hashes = top.h.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], (len(top) - np.arange(len(top)))[order]
@@ -380,22 +381,28 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, doc_i
     rows = described.where("n > 0").select("doc_id", "n", "one", "two").join(found, ["n", "one", "two"])
     # the first row of each component, null ids last
     best = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "one", "two")).alias("b"))
-    if_null = F.coalesce(F.concat(F.lit("v"), F.col("doc_id").cast("string")), F.lit("n"))
     # components without any id are told apart by their class
     best = best.where("component_id is not null").select("b.*").union(rows.where("component_id is null").select(F.lit(True), "doc_id", "n", "one", "two")).toDF("none", "doc_id", "n", "one", "two")
-    kept = best.select(if_null.alias("_k"), F.col("n").alias("_n"), F.col("one").alias("_one"), F.col("two").alias("_two"), F.lit(True).alias("_kept")).distinct()
-    own = _with_prints(docs.drop("_k", "_n", "_one", "_two", "_kept"), k, text).withColumn("_k", F.coalesce(F.concat(F.lit("v"), F.col(doc_id).cast("string")), F.lit("n")))
-    both = own.join(kept, ["_k", "_n", "_one", "_two"], "left")
-    nth = F.row_number().over(Window.partitionBy("_k", "_n", "_one", "_two").orderBy(F.lit(0)))
-    return both.withColumn("_nth", nth).where("_n = 0 or (_kept and _nth = 1)").select(*[F.col(f"`{c}`") for c in docs.columns])
 
+    def id_key(column: str):  # null is a value of its own
+        return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
+
+    kept = best.select(id_key("doc_id").alias("id"), "n", "one", "two", F.lit(True).alias("kept")).distinct()
+    whole = packed(docs, id=id_key(doc_id), text=text)
+    own = ["id", "n", "one", "two"]
+    both = _with_prints(whole, k).join(kept, own, "left")
+    nth = F.row_number().over(Window.partitionBy(*own).orderBy(F.lit(0)))
+    return both.withColumn("nth", nth).where("n = 0 or (kept and nth = 1)").select("row.*")
+
+
+def _with_prints(rows: DataFrame, k: int) -> DataFrame:
+    """rows (row, id, text) with the size and the prints of the text's set in the text's place."""
 
-def _with_prints(docs: DataFrame, k: int, text: str) -> DataFrame:
     def run(batches):
-        for part, data, offsets in blocks(batches, text):
+        for part, data, offsets in blocks(batches, "text"):
             h, of = _sets(data, offsets, k)
             one, two = _prints(h, of, part.num_rows)
             n = np.bincount(of, minlength=part.num_rows).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n), pa.array(_signed(one)), pa.array(_signed(two))], [*part.schema.names, "_n", "_one", "_two"])
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), pa.array(n), pa.array(_signed(one)), pa.array(_signed(two))], ["row", "id", "n", "one", "two"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_n", T.IntegerType()), T.StructField("_one", T.LongType()), T.StructField("_two", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], rows.schema["id"], T.StructField("n", T.IntegerType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType())]))

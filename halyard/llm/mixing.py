@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from halyard.llm.shared import WORD, written
+from halyard.llm.shared import WORD, packed, written
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (1, 2, 3)
@@ -87,8 +87,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: s
     taken = copies(docs, text=text, source=source, doc_id=doc_id, **how).where("copies > 0")
     taken = taken.groupBy(key("doc_id").alias("id"), key("source").alias("src"), "size").agg(F.collect_list(F.col("copies").cast("int")).alias("each"))
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    # all columns travel as one, so that no name clashes
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key(doc_id).alias("id"), key(source).alias("src"), size.alias("size"), F.xxhash64(text).alias("tie"))
+    rows = packed(docs, id=key(doc_id), src=key(source), size=size, tie=F.xxhash64(text))
     own = Window.partitionBy("id", "src", "size").orderBy("tie")
     both = rows.join(taken, ["id", "src", "size"]).withColumn("nth", F.row_number().over(own))
     n = F.coalesce(F.get(F.array_sort("each"), F.col("nth") - 1), F.lit(0))

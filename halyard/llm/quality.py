@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from halyard.llm.shared import blocks, crc_part, word_hashes, words, written
+from halyard.llm.shared import blocks, crc_part, packed, word_hashes, words, written
 
 FEATURES = ("word_bytes", "spread", "upper", "symbols", "digits", "bars", "endings", "repeats", "variety", "lines")
 TO_POOLED = 0.1
@@ -155,10 +156,11 @@ def accepted(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, doc_id:
     model = fit(x.join(_known(labels), "doc_id"))
 
     def run(batches):
-        for part, data, offsets in blocks(batches, text):
-            yield part.filter(pa.array(model.score(statistics(data, offsets)) >= accept))
+        for part, data, offsets in blocks(batches, "text"):
+            yield part.filter(pa.array(model.score(statistics(data, offsets)) >= accept)).select(["row"])
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = packed(docs, text=text)
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")
 
 
 def scored(docs: DataFrame, labels: DataFrame, accept: float = ACCEPT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -22,6 +22,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from halyard.llm.shared import packed
+
 try:
     from re import _parser as sre
 except ImportError:  # before Python 3.11
@@ -143,7 +145,7 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
 
 def _found(docs: DataFrame, rules: tuple[Rule, ...], doc_id: str, text: str) -> DataFrame:
     """row (all columns of docs as one, so that no name clashes), text and spans."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = packed(docs, doc_id=doc_id, text=text)
     indexed = [r for r in rules if trigram_query(r.pattern)]
     grams = sorted({g for r in indexed for c in trigram_query(r.pattern) for g in c})
     if indexed:

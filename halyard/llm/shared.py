@@ -54,11 +54,33 @@ def _remove(spark: SparkSession, path: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def packed(docs: DataFrame, **columns) -> DataFrame:
+    """All columns of docs as one, `row`, beside the given ones (names of docs' columns, or expressions).
+
+    Operators that keep whole rows work on this, so no column's name can clash; select("row.*") undoes it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
+
+
 def crc_part(column: str, parts: int):
     """crc32 of a number's text, modulo parts; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of the largest counts, at most `most`, chosen without a sort.
+
+    Counts fall into bands of about 1 %; rows of the highest bands that together fit are taken, so
+    no more than `most` rows exist anywhere and tasks send only a row for each band."""
+    band = F.floor(F.log2(F.col(n).cast("double")) * 64)
+    total, least = 0, None
+    for r in counts.groupBy(band.alias("band")).agg(F.count("*").alias("rows")).orderBy(F.desc("band")).collect():
+        total += r.rows
+        if total > most:
+            break
+        least = r.band
+    return counts.where(F.lit(False) if least is None else band >= least)
+
+
 # --- numpy kernels -----------------------------------------------------------------------------
 
 _RNG = np.random.default_rng(20240229)
