@@ -3,9 +3,11 @@
 1. Texts become sets of 64-bit shingle hashes. Equal sets are one class; only one of them goes on.
 2. Each set is ordered by one global order, rare shingles first, and its prefix goes into an inverted index:
    two sets that reach the threshold meet in a list, at positions that still allow the overlap they need.
-   The frequent end of the order is a table of fixed size, counted over all texts.
-3. In each list the set nearest to the list's front leads: the others are compared with it first, and the
-   sizes of those differences are kept. Links give components.
+   The order comes from two tables of fixed size, counted over all texts: how frequent words are, and which
+   shingles are the most frequent.
+3. In each list one set of each size band leads: the others are compared with it first, and the sizes of those
+   differences are kept. Links give components. Before any two sets are compared, the parities of their
+   shingles, about a bit for each, must allow the threshold: only sets that may link are shuffled.
 4. What is left are pairs in one list but in different components. Lists lie in blocks by size; a block is
    skipped if its sizes, its first position or its only component rule it out, and 256-bit parities of the
    sets rule out single pairs. Of two sets with a common leader x, the answer is derived from the known
@@ -23,105 +25,174 @@ that repeat a doc_id count as documents of their own.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.llm.shared import blocks, mix, most_frequent, packed, shingles, word_hashes, words, written
+from halyard.llm.shared import blocks, discard, mix, most_frequent, packed, shingles, word_hashes, words, written
 
 SHINGLE = 4
 PERCENT = 85
-FREQUENT = 1 << 16
-#: A shingle is counted towards the frequent ones in blocks of texts (about 2 MB) where so many texts have it.
+FREQUENT = 1 << 19
+#: Shingles are counted in groups of about so many; a group reports those that it has SEEN times.
+GROUP = 4_000_000
 SEEN = 3
+WORD_BUCKETS = 16
 PARITY = 256
+WIDEST = 1 << 17
 BLOCK = 128
+#: Lists up to this size are searched side by side, longer ones block by block.
+SMALL = 64
 _LOW5 = 5
+_BODY = np.uint64((1 << 56) - 1)
+
+
+class Order(NamedTuple):
+    """The global order of shingles by classes: up to 200 by the frequency of the words, beyond for the frequent shingles."""
+
+    words: np.ndarray  # log2 of the counts of word hash buckets
+    hot: np.ndarray  # ascending hashes
+    level: np.ndarray  # their classes
 
+    def classes(self, h: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+        out = np.minimum(weight * 4 // k, 200)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, h), len(self.hot) - 1)
+            out = np.where(self.hot[at] == h, self.level[at], out)
+        return out.astype(np.uint64)
 
-def _sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, ascending, and their text numbers."""
+
+def _sets(data: np.ndarray, offsets: np.ndarray, k: int, order: Order | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, ascending, and their text numbers. A shingle is 56 bits of its hash below its class."""
+    n = len(offsets) - 1
     start, end, doc = words(data, offsets)
-    h, of = shingles(word_hashes(data, start, end), doc, len(offsets) - 1, k)
-    order = np.lexsort((h, of))
-    h, of = h[order], of[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-    return h[new], of[new]
+    hashes = word_hashes(data, start, end)
+    if order is None:
+        h, of = shingles(hashes, doc, n, k)
+        key = mix(h) >> np.uint64(8)
+    else:
+        h, of, weight = shingles(hashes, doc, n, k, order.words[_bucket(hashes)])
+        key = mix(h) >> np.uint64(8) | order.classes(h, weight, k) << np.uint64(56)
+    at = np.searchsorted(of, np.arange(n + 1)).tolist()
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        key[a:b].sort()
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+    return key[new], of[new]
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - WORD_BUCKETS)).astype(np.int64)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def _prints(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _prints(key: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Two sums over each set that don't depend on its order; equal sets have equal sums."""
     out = []
     for salt in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
         with np.errstate(over="ignore"):
-            sums = np.append(np.uint64(0), np.cumsum(mix(h ^ np.uint64(salt)), dtype=np.uint64))
+            sums = np.append(np.uint64(0), np.cumsum(mix(key & _BODY ^ np.uint64(salt)), dtype=np.uint64))
             at = np.searchsorted(of, np.arange(n + 1))
             out.append(sums[at[1:]] - sums[at[:-1]])
     return out[0], out[1]
 
 
+def _parities(key: np.ndarray, of: np.ndarray, bits: np.ndarray) -> list[bytes]:
+    """For each text, the parity of its shingles in each of `bits` (powers of two) residues; half as many are the xor of the halves."""
+    base = np.append(0, np.cumsum(bits))
+    at = base[of] + (key & (bits[of] - 1).astype(np.uint64)).astype(np.int64)
+    raw = np.packbits((np.bincount(at, minlength=base[-1]) & 1).astype(np.uint8)).tobytes()
+    ends = (base // 8).tolist()
+    return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets by their parities."""
+    if len(x) > len(y):
+        x, y = y, x
+    a, b, size = int.from_bytes(x, "little"), int.from_bytes(y, "little"), len(y)
+    while size > len(x):
+        size //= 2
+        b = (b >> 8 * size) ^ (b & ((1 << 8 * size) - 1))
+    return (a ^ b).bit_count()
+
+
 def needed(a, b, percent: int):
     """The least intersection of sets of sizes a and b that reaches the threshold."""
     return -(-percent * (a + b) // (100 + percent))
 
 
-def frequent_shingles(texts: DataFrame, k: int = SHINGLE, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles and their ranks, at most `most` of them: a fixed 1 MB."""
+def shingle_order(texts: DataFrame, k: int = SHINGLE, most: int = FREQUENT) -> Order:
+    """Counts over all texts; only 2^16 word buckets and at most `most` shingles, a fixed 5 MB, reach the driver."""
 
     def run(batches):
-        for _, data, offsets in blocks(batches, "text"):
-            h, n = np.unique(_sets(data, offsets, k)[0], return_counts=True)
+        buckets = np.zeros(1 << WORD_BUCKETS, np.int64)
+        held: list[np.ndarray] = []
+
+        def frequent():
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
             some = n >= SEEN
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(h[some])), pa.array(n[some])], ["h", "n"])
+            return row(h[some], n[some], False)
 
-    counts = written(texts.mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")))
-    top = most_frequent(counts, "n", most).toPandas().sort_values(["n", "h"], ascending=[False, True])
+        def row(h, n, word):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), word)), pa.array(_signed(h)), pa.array(n)], ["word", "h", "n"])
+
+        for _, data, offsets in blocks(batches, "text"):
+            start, end, doc = words(data, offsets)
+            hashes = word_hashes(data, start, end)
+            buckets += np.bincount(_bucket(hashes), minlength=len(buckets))
+            held.append(shingles(hashes, doc, len(offsets) - 1, k)[0])
+            if sum(map(len, held)) > GROUP:
+                yield frequent()
+        if held:
+            yield frequent()
+        some = np.flatnonzero(buckets)
+        yield row(some.astype(np.uint64), buckets[some], True)
+
+    counts = written(texts.mapInArrow(run, "word boolean, h bigint, n bigint").groupBy("word", "h").agg(F.sum("n").alias("n")))
+    by_word = counts.where("word").select("h", "n").toPandas()
+    logs = np.zeros(1 << WORD_BUCKETS, np.int64)
+    logs[by_word.h] = np.round(np.log2(by_word.n + 1)).astype(np.int64)
+    top = most_frequent(counts.where("not word").select("h", "n"), "n", most).toPandas()
+    discard(counts)
     hashes = top.h.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return hashes[order], (len(top) - np.arange(len(top)))[order]
+    level = np.minimum(201 + np.log2(np.maximum(top.n.to_numpy(np.int64), 1)), 255).astype(np.int64)
+    return Order(logs, hashes[order], level[order])
 
 
-def _described(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, k: int, percent: int) -> DataFrame:
+def _described(docs: DataFrame, order: Order, k: int, percent: int) -> DataFrame:
     """doc_id, n, two prints, the prefix in the global order and the parities of each text's set."""
 
     def run(batches):
         for part, data, offsets in blocks(batches, "text"):
             m = part.num_rows
-            h, of = _sets(data, offsets, k)
+            key, of = _sets(data, offsets, k, order)
             n = np.bincount(of, minlength=m)
-            one, two = _prints(h, of, m)
-            place = np.zeros(len(h), np.int64)
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-                place = np.where(hot[at] == h, rank[at], 0)
-            order = np.lexsort((mix(h), place, of))
-            first = np.cumsum(n) - n
-            position = np.arange(len(h)) - first[of]
+            one, two = _prints(key, of, m)
+            position = np.arange(len(key)) - (np.cumsum(n) - n)[of]
             length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
-            inside = position < length[of]
-            prefix = h[order][inside]
-            bits = np.zeros((m, PARITY), np.uint8)
-            np.add.at(bits, (of, (h >> np.uint64(20)).astype(np.int64) % PARITY), 1)  # wraps at 256, which keeps parity
-            raw = np.packbits(bits & 1, axis=1).tobytes()
-            width = PARITY // 8
+            bits = np.minimum(np.maximum(2 ** np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), PARITY), WIDEST)
             columns = [
                 part.column("doc_id"),
                 pa.array(n.astype(np.int32)),
                 pa.array(_signed(one)),
                 pa.array(_signed(two)),
-                pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(_signed(prefix))),
-                pa.array([raw[i * width : (i + 1) * width] for i in range(m)], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(_signed(key[position < length[of]]))),
+                pa.array(_parities(key, of, np.full(m, PARITY)), pa.binary()),
+                pa.array(_parities(key, of, bits), pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "one", "two", "prefix", "parity"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "one", "two", "prefix", "parity", "wide"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n int, one bigint, two bigint, prefix array<bigint>, parity binary")
+    return docs.mapInArrow(run, "doc_id bigint, n int, one bigint, two bigint, prefix array<bigint>, parity binary, wide binary")
 
 
 def _lists(batches, names: tuple[str, ...]):
@@ -153,7 +224,7 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
             if not len(token):
                 continue
             band = (np.log(n) / -np.log(percent / 100)).astype(np.int64)
-            order = np.lexsort((key, pos, band, token))
+            order = np.lexsort((key, band, token))
             token, key, n, pos, band = (x[order] for x in (token, key, n, pos, band))
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (band[1:] != band[:-1])
@@ -169,62 +240,80 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
 
     nearest: of a set and another component, only the pair that looks most alike in a list."""
 
+    def fits(n, p, c, w, row, col):
+        """The pairs (row, col) that sizes, positions, components and parities allow, and their least difference."""
+        ok = (c[row] != c[col]) & (np.minimum(n[row] - p[row], n[col] - p[col]) >= needed(n[row], n[col], percent))
+        row, col = row[ok], col[ok]
+        apart = np.bitwise_count(w[row] ^ w[col]).sum(1, dtype=np.int64)
+        ok = apart <= n[row] + n[col] - 2 * needed(n[row], n[col], percent)
+        return row[ok], col[ok], apart[ok]
+
+    def side_by_side(of, n, p, c, w):
+        """Pairs of many short lists, those at the same distance in the order of sizes at once."""
+        alive, far, out = np.arange(len(n)), 0, []
+        while len(alive):
+            far += 1
+            alive = alive[alive + far < len(n)]
+            alive = alive[(of[alive] == of[alive + far]) & (100 * n[alive] >= percent * n[alive + far])]
+            out.append(fits(n, p, c, w, alive, alive + far))
+        return out
+
+    def by_block(n, p, c, w):
+        """Pairs of a long list: sets outside its largest component against blocks that may hold a partner."""
+        kinds, counts = np.unique(c, return_counts=True)
+        probe = np.flatnonzero(c != kinds[counts.argmax()])
+        begin = np.arange(0, len(n), BLOCK)
+        low, high = n[begin], np.append(n[begin[1:] - 1], n[-1])
+        front = np.minimum.reduceat(p, begin)
+        same = np.minimum.reduceat(c, begin) == np.maximum.reduceat(c, begin)
+        out = []
+        for i in range(0, len(probe), 4096):
+            who = probe[i : i + 4096]
+            ni, pi = n[who][:, None], p[who][:, None]
+            least = needed(np.maximum(low, -(-percent * ni // 100)), ni, percent)
+            alive = (100 * high >= percent * ni) & (100 * ni >= percent * low) & (np.minimum(high - front, ni - pi) >= least) & ~(same & (c[begin] == c[who][:, None]))
+            x, block = np.nonzero(alive)
+            for j in range(0, len(x), 8192):
+                row = np.repeat(who[x[j : j + 8192]], BLOCK)
+                col = (begin[block[j : j + 8192]][:, None] + np.arange(BLOCK)).ravel()
+                inside = col < len(n)
+                found = fits(n, p, c, w, row[inside], col[inside])
+                out.append(closest(c, *found) if nearest else found)
+        return out
+
+    def closest(c, row, col, apart):
+        order = np.lexsort((apart, c[col], row))
+        row, col, apart = row[order], col[order], apart[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (c[col][1:] != c[col][:-1])
+        return row[new], col[new], apart[new]
+
     def run(batches):
-        done: set = set()
-        for token, size, pos, key, comp, parity in _lists(_unpacked(batches), ("token", "n", "pos", "key", "comp", "row")):
-            bounds = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-            for a, b in zip(bounds, np.append(bounds[1:], len(token)), strict=True):
-                n, p, k, c, w = size[a:b].astype(np.int64), pos[a:b].astype(np.int64), key[a:b], comp[a:b], parity[a:b]
-                kinds, counts = np.unique(c, return_counts=True)
-                if len(kinds) < 2:
-                    continue  # the whole list is one component
-                probe = np.flatnonzero(c != kinds[counts.argmax()])
-                begin = np.arange(0, len(n), BLOCK)
-                low, high = n[begin], np.append(n[begin[1:] - 1], n[-1])
-                front = np.minimum.reduceat(p, begin)
-                same = (np.minimum.reduceat(c, begin) == np.maximum.reduceat(c, begin)).astype(bool)
-                left, right = [], []
-                for i in range(0, len(probe), 4096):
-                    who = probe[i : i + 4096]
-                    ni, pi = n[who][:, None], p[who][:, None]
-                    least = needed(np.maximum(low, -(-percent * ni // 100)), ni, percent)
-                    alive = (100 * high >= percent * ni) & (100 * ni >= percent * low) & (np.minimum(high - front, ni - pi) >= least) & ~(same & (c[begin] == c[who][:, None]))
-                    x, block = np.nonzero(alive)
-                    for j in range(0, len(x), 8192):
-                        row = np.repeat(who[x[j : j + 8192]], BLOCK)
-                        col = (begin[block[j : j + 8192]][:, None] + np.arange(BLOCK)).ravel()
-                        inside = col < len(n)
-                        row, col = row[inside], col[inside]
-                        ok = c[row] != c[col]
-                        row, col = row[ok], col[ok]
-                        ok = np.minimum(n[row] - p[row], n[col] - p[col]) >= needed(n[row], n[col], percent)
-                        row, col = row[ok], col[ok]
-                        apart = np.bitwise_count(w[row] ^ w[col]).sum(1, dtype=np.int64)
-                        ok = apart <= n[row] + n[col] - 2 * needed(n[row], n[col], percent)
-                        row, col, apart = row[ok], col[ok], apart[ok]
-                        if nearest and len(row):
-                            order = np.lexsort((apart, c[col], row))
-                            row, col = row[order], col[order]
-                            new = np.append(True, (row[1:] != row[:-1]) | (c[col][1:] != c[col][:-1]))
-                            row, col = row[new], col[new]
-                        left.append(row)
-                        right.append(col)
-                if not left:
-                    continue
-                row, col = np.concatenate(left), np.concatenate(right)
-                swap = k[row] > k[col]
-                row, col = np.where(swap, col, row), np.where(swap, row, col)
-                fresh = []
-                for r, q in zip(row.tolist(), col.tolist(), strict=True):
-                    pair = (k[r], k[q])
-                    if pair not in done:
-                        done.add(pair)
-                        fresh.append((r, q))
-                if len(done) > 500_000:
-                    done.clear()
-                if fresh:
-                    r, q = np.array(fresh).T
-                    yield pa.RecordBatch.from_arrays([pa.array(k[r]), pa.array(k[q]), pa.array(n[r].astype(np.int32)), pa.array(n[q].astype(np.int32))], ["a", "b", "na", "nb"])
+        for token, n, p, k, c, w in _lists(_unpacked(batches), ("token", "n", "pos", "key", "comp", "row")):
+            n, p = n.astype(np.int64), p.astype(np.int64)
+            first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            size = np.diff(np.append(first, len(token)))
+            mixed = np.minimum.reduceat(c, first) != np.maximum.reduceat(c, first)  # else the whole list is one component
+            parts = []
+            short = np.flatnonzero(np.repeat(mixed & (size <= SMALL), size))
+            if len(short):
+                found = [np.concatenate(x) for x in zip(*side_by_side(token[short], n[short], p[short], c[short], w[short]), strict=True)]
+                row, col, _ = closest(c[short], *found) if nearest else found
+                parts.append((short[row], short[col]))
+            for a, m in zip(first[mixed & (size > SMALL)], size[mixed & (size > SMALL)], strict=True):
+                own = slice(a, a + m)
+                parts += [(row + a, col + a) for row, col, _ in by_block(n[own], p[own], c[own], w[own])]
+            if not parts:
+                continue
+            row, col = (np.concatenate(x) for x in zip(*parts, strict=True))
+            swap = k[row] > k[col]
+            row, col = np.where(swap, col, row), np.where(swap, row, col)
+            order = np.lexsort((k[col], k[row]))
+            row, col = row[order], col[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (k[row][1:] != k[row][:-1]) | (k[col][1:] != k[col][:-1])
+            row, col = row[new], col[new]
+            yield pa.RecordBatch.from_arrays([pa.array(k[row]), pa.array(k[col]), pa.array(n[row].astype(np.int32)), pa.array(n[col].astype(np.int32))], ["a", "b", "na", "nb"])
 
     return postings.repartition("token").sortWithinPartitions("token", "n").mapInArrow(run, "a bigint, b bigint, na int, nb int").distinct()
 
@@ -258,39 +347,56 @@ def _packed_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """(key, packed) of the classes: the whole set as ascending 40-bit hashes, made again from one text of each."""
 
     def run(batches):
+        last = None
         for part, data, offsets in blocks(batches, "text"):
-            h, of = _sets(data, offsets, k)
-            one, two = _prints(h, of, part.num_rows)
+            key, of = _sets(data, offsets, k)
+            one, two = _prints(key, of, part.num_rows)
             right = (_signed(one) == part.column("one").to_numpy()) & (_signed(two) == part.column("two").to_numpy())
             at = np.searchsorted(of, np.arange(part.num_rows + 1))
-            packed = []
-            for i in range(part.num_rows):
-                short = np.unique(h[at[i] : at[i + 1]] & np.uint64((1 << 40) - 1)) if right[i] else h[:0]
-                packed.append(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_LOW5].tobytes())
-            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(packed, pa.binary())], ["key", "packed"])
+            keys, packed = [], []
+            for i in np.flatnonzero(right).tolist():
+                own = part.column("key")[i].as_py()
+                if own != last:  # rows that repeat stand together
+                    short = np.unique(key[at[i] : at[i + 1]] >> np.uint64(16))
+                    keys.append(own)
+                    packed.append(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_LOW5].tobytes())
+                    last = own
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], ["key", "packed"])
 
     some = classes.select(F.col("doc_id").alias("_id"), "key", "one", "two")
     texts = docs.join(some, F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "one", "two", "text")
-    return texts.mapInArrow(run, "key bigint, packed binary").where(F.length("packed") > 0).dropDuplicates(["key"])
+    return texts.mapInArrow(run, "key bigint, packed binary")
+
+
+def _plausible(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b, na, nb) whose parities allow the threshold."""
+
+    def run(batches):
+        for batch in batches:
+            na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
+            most = (na + nb - 2 * needed(na, nb, percent)).tolist()
+            keep = [_apart(x, y) <= d for x, y, d in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), most, strict=True)]
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(wide.select(F.col("key").alias("a"), F.col("wide").alias("x")), "a").join(wide.select(F.col("key").alias("b"), F.col("wide").alias("y")), "b")
+    return both.select("a", "b", "na", "nb", "x", "y").mapInArrow(run, "a bigint, b bigint, na int, nb int")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b, na, nb) with delta, the exact size of the symmetric difference."""
 
-    def wide(raw: bytes) -> np.ndarray:
+    def unpacked(raw: bytes) -> np.ndarray:
         out = np.zeros((len(raw) // _LOW5, 8), np.uint8)
         out[:, :_LOW5] = np.frombuffer(raw, np.uint8).reshape(-1, _LOW5)
         return out.view(np.uint64).ravel()
 
     def run(batches):
         for batch in batches:
-            delta, last, left = [], None, None
-            for a, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "left", "right")), strict=True):
-                if a != last:
-                    last, left = a, wide(x)
-                right = wide(y)
-                common = len(left) + len(right) - len(np.unique(np.concatenate([left, right])))
-                delta.append(len(left) + len(right) - 2 * common)
+            delta = []
+            for x, y in zip(*(batch.column(c).to_pylist() for c in ("left", "right")), strict=True):
+                every = np.concatenate([unpacked(x), unpacked(y)])
+                every.sort()
+                delta.append(len(every) - 2 * int((every[1:] == every[:-1]).sum()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(delta, pa.int32())], ["a", "b", "na", "nb", "delta"])
 
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("packed").alias("left")), "a").join(sets.select(F.col("key").alias("b"), F.col("packed").alias("right")), "b")
@@ -316,36 +422,39 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         jump = step.select(F.col("key").alias("low"), F.col("low").alias("lower"))
         now = written(step.join(jump, "low").select("key", "lower", "comp"))
         changed = now.where("lower != comp").limit(1).count()
-        labels = now.select("key", F.col("lower").alias("comp"))
+        discard(labels)
+        labels = now.withColumnsRenamed({"comp": "_comp", "lower": "comp"}).drop("_comp")
+        labels.halyard_path = now.halyard_path
         if not changed:
+            discard(both)
             return labels
 
 
 def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The described texts, and one row a class of equal sets: n, one, two, component_id."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hot, rank = frequent_shingles(texts.select("text"), k)
-    described = written(_described(texts, hot, rank, k, percent).withColumn("key", F.monotonically_increasing_id()))
+    order = shingle_order(texts.select("text"), k)
+    described = written(_described(texts, order, k, percent).withColumn("key", F.monotonically_increasing_id()))
     classes = written(described.where("n > 0").groupBy("n", "one", "two").agg(F.min(F.struct("key", "doc_id")).alias("first"), F.min("doc_id").alias("least")).select("n", "one", "two", F.col("first.key").alias("key"), F.col("first.doc_id").alias("doc_id"), "least"))
     sets = described.select("key", "n", "prefix").join(classes.select("key"), "key", "left_semi")
     postings = written(_postings(sets, percent))
-    met = written(postings.select("key").distinct())
-    known = classes.join(met, "key", "left_semi")
-    packed = written(_packed_sets(texts, known, k))
+    met = written(described.select("key", "n", "parity", "wide").join(postings.select("key").distinct(), "key", "left_semi"))
+    sizes = met.select("key", "n")
 
-    sizes = known.select("key", "n")
     stars = postings.where("key != lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
     stars = stars.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
     stars = stars.where((100 * F.least("na", "nb")) >= percent * F.greatest("na", "nb"))
+    stars = written(_plausible(stars.select("a", "b", "na", "nb"), met, percent))
+    packed = written(_packed_sets(texts, classes.join(sizes.select("key"), "key", "left_semi"), k))
     answers = written(_compared(stars, packed))
-    links = answers.where(_within(percent)).select("a", "b")
-    labels = components(met, links)
+    discard(stars)
+    links = written(answers.where(_within(percent)).select("a", "b"))
+    labels = components(sizes, links)
 
-    parity = described.select("key", "parity").join(met, "key", "left_semi")
     leaders = answers.select("a", "b", "delta").union(answers.select(F.col("b"), F.col("a"), "delta")).toDF("x", "y", "apart")
     for nearest in (True, False):
-        lists = postings.select("token", "key", "n", "pos").join(labels, "key").join(parity, "key")
-        pairs = written(_pairs_across(lists, percent, nearest))
+        lists = postings.select("token", "key", "n", "pos").join(labels.join(met.select("key", "parity"), "key"), "key")
+        pairs = written(_plausible(_pairs_across(lists, percent, nearest), met, percent))
         # answers derived from those of a common neighbour x
         derived = (
             pairs.join(leaders.select("x", F.col("y").alias("a"), F.col("apart").alias("to_a")), "a")
@@ -357,8 +466,11 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
         held = pairs.join(derived, ["a", "b"], "left").join(direct, ["a", "b"], "left")
         sure = held.where(_within(percent, "exact") | _within(percent, "most")).select("a", "b")
         unsure = held.where(F.col("exact").isNull() & ~F.coalesce(_within(percent, "most"), F.lit(False)) & F.coalesce(_within(percent, "fewest"), F.lit(True))).select("a", "b", "na", "nb")
+        before = (links, labels, pairs)
         links = written(links.union(sure).union(_compared(unsure, packed).where(_within(percent)).select("a", "b")))
-        labels = components(met, links)
+        labels = components(sizes, links)
+        discard(*before)
+    discard(postings, met, packed, answers, links)
 
     all_ = classes.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = all_.groupBy("comp").agg(F.min("least").alias("component_id"))

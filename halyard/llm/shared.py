@@ -45,7 +45,15 @@ def written(df: DataFrame, *by: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/halyard-{uuid.uuid4().hex}"
     (df.write.partitionBy(*by) if by else df.write).parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.halyard_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that written() made, once no query that is still to run reads them."""
+    for df in tables:
+        _remove(df.sparkSession, df.halyard_path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -169,8 +177,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
-def shingles(hashes: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of each run of k words; a shorter text with words is one run."""
+def shingles(hashes: np.ndarray, doc: np.ndarray, n_docs: int, k: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Hash and text number of each run of k words; a shorter text with words is one run.
+
+    weight: a whole number for each word; then the sum over each run is the third result (0 for shorter texts)."""
     with np.errstate(over="ignore"):
         run = np.zeros(max(0, len(hashes) - k + 1), np.uint64)
         for i in range(k if len(run) else 0):
@@ -185,4 +195,7 @@ def shingles(hashes: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> tuple[
             tail[has] += hashes[first[short[has]] + i] * _PLACE[i]
         every, of = np.concatenate([mix(run[whole]), mix(tail)]), np.concatenate([doc[: len(run)][whole], short])
     order = np.argsort(of, kind="stable")
-    return every[order], of[order]
+    if weight is None:
+        return every[order], of[order]
+    sums = np.append(0, np.cumsum(weight))
+    return every[order], of[order], np.append((sums[k:] - sums[:-k])[whole] if len(run) else sums[:0], np.zeros(len(short), np.int64))[order]
