@@ -39,7 +39,7 @@ SHINGLE = 4
 PERCENT = 85
 FREQUENT = 1 << 19
 #: Shingles are counted in groups of about so many; a group reports those that it has SEEN times.
-GROUP = 4_000_000
+GROUP = 1_000_000
 SEEN = 3
 WORD_BUCKETS = 16
 PARITY = 256
@@ -273,9 +273,9 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
             least = needed(np.maximum(low, -(-percent * ni // 100)), ni, percent)
             alive = (100 * high >= percent * ni) & (100 * ni >= percent * low) & (np.minimum(high - front, ni - pi) >= least) & ~(same & (c[begin] == c[who][:, None]))
             x, block = np.nonzero(alive)
-            for j in range(0, len(x), 8192):
-                row = np.repeat(who[x[j : j + 8192]], BLOCK)
-                col = (begin[block[j : j + 8192]][:, None] + np.arange(BLOCK)).ravel()
+            for j in range(0, len(x), 1024):
+                row = np.repeat(who[x[j : j + 1024]], BLOCK)
+                col = (begin[block[j : j + 1024]][:, None] + np.arange(BLOCK)).ravel()
                 inside = col < len(n)
                 found = fits(n, p, c, w, row[inside], col[inside])
                 out.append(closest(c, *found) if nearest else found)
@@ -385,16 +385,16 @@ def _plausible(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b, na, nb) with delta, the exact size of the symmetric difference."""
 
-    def unpacked(raw: bytes) -> np.ndarray:
-        out = np.zeros((len(raw) // _LOW5, 8), np.uint8)
+    def unpacked(raw: pa.Buffer) -> np.ndarray:
+        out = np.zeros((raw.size // _LOW5, 8), np.uint8)
         out[:, :_LOW5] = np.frombuffer(raw, np.uint8).reshape(-1, _LOW5)
         return out.view(np.uint64).ravel()
 
     def run(batches):
         for batch in batches:
             delta = []
-            for x, y in zip(*(batch.column(c).to_pylist() for c in ("left", "right")), strict=True):
-                every = np.concatenate([unpacked(x), unpacked(y)])
+            for x, y in zip(batch.column("left"), batch.column("right"), strict=True):  # views of the batch, no copies
+                every = np.concatenate([unpacked(x.as_buffer()), unpacked(y.as_buffer())])
                 every.sort()
                 delta.append(len(every) - 2 * int((every[1:] == every[:-1]).sum()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(delta, pa.int32())], ["a", "b", "na", "nb", "delta"])

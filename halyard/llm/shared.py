@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space: what separates words.
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_BYTES = 2 << 20
-SEGMENT = 1 << 20
+BLOCK_BYTES = 1 << 20
+SEGMENT = 1 << 19
 _DOCUMENT = (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"))
 
 
