@@ -6,9 +6,9 @@ end of a text is a class too. Shares come from counts over all training texts (c
 one unknown event, whose probability is the same in all states and equals that of the base model, sum to one.
 
 Training is Baum-Welch: each task adds up the expected counts of its own texts, Spark sums them by
-(state, class), and only that table, of fixed size, reaches the driver. The first rounds use nested slices of the
-texts to find the states, the last round counts over all of them. Training texts are cut into windows of 128
-words; scores are not: the scaled forward recursion runs over each whole text.
+(state, class), and only that table, of fixed size, reaches the driver. Each of the ROUNDS counts over all
+training texts, however many they are. Training texts are cut into windows of 128 words; scores are not: the
+scaled forward recursion runs over each whole text.
 
 The vocabulary grows with the data, so it's never sent whole to a task: the MOST_SENT most frequent words are
 (16 bytes each), and all others meet their counts in a join.
@@ -33,11 +33,7 @@ UNKNOWN = END + 1
 MOST_SENT = 1 << 18
 STATES = 8
 WINDOW = 128
-#: Share of the training texts in each nested slice, and the slices of the rounds; the last takes all.
-SLICES = (1 / 64, 1 / 16, 1 / 4, 1.0)
-ROUNDS = (0, 0, 0, 0, 0, 0, 1, 1, 2, 3)
-#: A slice has about this many texts at least.
-LEAST_TEXTS = 1500
+ROUNDS = 10
 PSEUDO = 20.0
 ADD = 0.1
 
@@ -244,19 +240,16 @@ def scored(docs: DataFrame, states: int = STATES, held_out=None, doc_id: str = "
     log_all = np.log10(n + ADD * (v + 1))
     unknown = ADD / (n + ADD * (v + 1))
 
-    level = F.lit(len(SLICES) - 1)
-    for k in range(len(SLICES) - 2, -1, -1):
-        level = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 16)) < round(min(1.0, max(SLICES[k], LEAST_TEXTS / max(ends, 1))) * (1 << 16)), F.lit(k)).otherwise(level)
-    coded = _coded(texts, hashes[order], counts[order], classes[order], ends).withColumn("slice", level)
-    coded = written(coded.withColumn("key", F.monotonically_increasing_id()), "slice")
+    coded = _coded(texts, hashes[order], counts[order], classes[order], ends)
+    coded = written(coded.withColumn("key", F.monotonically_increasing_id()))
 
     share = mass / max(mass.sum(), 1.0)
     rng = np.random.default_rng(seed)
     emit = np.exp(rng.normal(0, 0.5, (END + 1, states))) * (share[:, None] + 1e-12)
     model = _model(np.ones(states), np.eye(states) * 1e3, emit / emit.sum(0) * 1e6, share)
     if ends:
-        for k in ROUNDS:
-            model = _model(*_round(coded.where((F.col("slice") <= k) & ~F.col("held_out")), *model), share)
+        for _ in range(ROUNDS):
+            model = _model(*_round(coded.where(~F.col("held_out")), *model), share)
     start, step, emit = model
     # share of a class within itself; the last row is the unknown event, alike in all states
     emit = np.vstack([emit * (1 - unknown) / np.where(mass > 0, mass, 1.0)[:, None], np.full((1, states), unknown)])

@@ -284,6 +284,21 @@ def test_base_scores_and_gain(spark):
     assert sum(r.score for r in away) > sum(r.base_score for r in away) + 5 * len(away)
 
 
+def test_every_round_counts_all_training_texts(spark, monkeypatch):
+    rows = [(k, "one two three") for k in range(2000)]
+    seen = []
+    inner = hmm._round
+
+    def counted(coded, *model):
+        out = inner(coded, *model)
+        seen.append(round(float(out[0].sum())))
+        return out
+
+    monkeypatch.setattr(hmm, "_round", counted)
+    got = hmm.scored(spark.createDataFrame(rows, "doc_id long, text string"), states=2)
+    assert seen == [got.where("not held_out").count()] * hmm.ROUNDS and seen[0] > 1700
+
+
 def test_probabilities_of_one_token_sum_to_one(spark):
     """Over the known words, the end and the unknown event, from the scores of one-word texts in a model without memory."""
     rows = [(k, t) for k, t in enumerate("a b b c c c d".split() * 3)]
