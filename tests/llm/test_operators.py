@@ -190,6 +190,32 @@ def test_components_on_odd_tables(odd, none):
     assert jaccard.one_of_each(none).count() == 0
 
 
+def test_pipeline_stage_equals_all_pairs_at_its_own_threshold(spark):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    base = prose(rng, 200)
+    # an added passage of 22 %: alike at 0.8, not at 0.85
+    rows = [base, base + " " + prose(rng, 44)]
+    for size, n, edits in ((150, 30, 8), (60, 30, 4), (5, 10, 1)):
+        rows += near_copies(rng, prose(rng, size), n, edits)
+
+    def runs(text):
+        w = WORD.findall(lower(text))
+        return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4)))
+
+    sets = [runs(t) for t in rows]
+    of = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and of[i] != of[j]:
+                of = [min(of[i], of[j]) if x in (of[i], of[j]) else x for x in of]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    got = sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect())
+    assert got == sorted({*of}) and 1 not in got
+    assert 1 in {r.doc_id for r in jaccard.one_of_each(docs).collect()}
+
+
 # --- 4 -----------------------------------------------------------------------------------------
 
 
