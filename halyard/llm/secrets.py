@@ -11,7 +11,10 @@ The lists of postings are bounded by documents times the rules' trigrams, and ar
 (document, clause) before they are shuffled, so a trigram that all documents hold burdens no task.
 
 Defined results: a null text counts as empty; an empty one has no span; rows with the same doc_id share
-their candidate rules and are verified each for itself; offsets count code points, ends are exclusive.
+share their candidate rules and are verified each for itself; offsets count code points, ends are exclusive.
+A private key's span goes from BEGIN through the next END line; without one, through the base64 lines that
+follow, if any. A login's password has any length and all characters but white space, controls and / ? # " < >,
+which end a URL's authority or the URL.
 """
 
 from __future__ import annotations
@@ -37,6 +40,15 @@ class Rule(NamedTuple):
     least: int
 
 
+_LABEL = r"[A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+#: To the END line, over no other run of five dashes. Loops over groups have a bound, since Java's recur.
+_TO_END = rf"[^-]*(?:-{{1,4}}[^-]+){{0,240}}-{{5,}}END {_LABEL}"
+_GAP = r"""[\x20\t\r\n\\>#|*"',-]+"""
+#: A line of at least 16 characters, written out: counted in a loop, they pass RE2's limit.
+_LINE = "[A-Za-z0-9+/=]" * 16 + "[A-Za-z0-9+/=]*"
+#: PEM headers, whole lines and a short last one.
+_TO_LAST_LINE = rf"(?:\r?\n[A-Za-z-]+:[^\r\n]*){{0,8}}(?:{_GAP}{_LINE}){{1,500}}(?:{_GAP}[A-Za-z0-9+/=]{{1,15}}(?:[\x20\t\r\n\\\"',]|$))?"
+
 #: Fixed by the contract: the first three, in this order.
 BASE = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -44,11 +56,11 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 1),
+    Rule("private_key", rf"-----BEGIN {_LABEL}(?:{_TO_END}|{_TO_LAST_LINE})?", 0, 1),
     Rule("github", r"gh[opsur]_[A-Za-z0-9]{36,}", 0, 40),
     Rule("slack", r"xox[abeprs]-[A-Za-z0-9-]{10,}", 0, 15),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._%-]{1,64}:[A-Za-z0-9._%!-]{3,64}@[A-Za-z0-9.-]{3,}", 0, 12),
+    Rule("url_login", r"""[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._%-]{1,64}:[^\x00-\x20/?#"<>]{3,}@[A-Za-z0-9.-]{3,}""", 0, 12),
 )
 RULES = BASE + ADDED
 _WIDEST = 64
