@@ -10,7 +10,7 @@ no item has are dropped first.
 
 The items are sent to the tasks in blocks of at most `block_chars` characters, and the documents are read
 once for each block. Documents are mapped row by row, so neither a hot source nor a popular item gathers in
-one task.
+one task; with several blocks, a row's matches meet again by a key that it has in a written table.
 
 Defined results: null or empty texts match nothing; a null item, or one under q characters, is no evidence
 and matches nothing; equal items match each under its own id; repeated rows each give their own row.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.shared import blocks, packed
+from halyard.llm.shared import blocks, packed, written
 
 Q = 8
 EDITS = 0.1
@@ -159,9 +159,9 @@ def _mapped(docs: DataFrame, items: list[tuple[int, str]], q: int, edits: float)
             rows: list[list[dict]] = [[] for _ in range(part.num_rows)]
             for d, item, a, b, x in found(_chars(data.tobytes()), places, index, q):
                 rows[d].append({"item_id": int(index.ids[item]), "start": a, "end": b, "edits": x})
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, kind)], ["doc_id", "matches"])
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("doc_id"), pa.array(rows, kind)], ["key", "doc_id", "matches"])
 
-    return docs.mapInArrow(run, f"doc_id bigint, matches {_MATCHES}")
+    return docs.mapInArrow(run, f"key bigint, doc_id bigint, matches {_MATCHES}")
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
@@ -175,14 +175,16 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterato
 
 def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block_chars: int = BLOCK_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and matches (item_id, start, end in code points, edits) of each document: the best occurrence of each item."""
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    parts = [_mapped(texts, items, Q, edits) for items in item_blocks(benchmark, block_chars)]
-    out = parts[0]
-    if len(parts) > 1:  # rows of one document meet again by its id
-        for other in parts[1:]:
-            out = out.unionAll(other)
-        out = out.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("matches")))).alias("matches"))
-    return out
+    texts = docs.select(F.monotonically_increasing_id().alias("key"), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    held = list(item_blocks(benchmark, block_chars))
+    if len(held) > 1:
+        texts = written(texts)  # the keys are the same for all blocks
+    out = _mapped(texts, held[0], Q, edits)
+    for items in held[1:]:
+        out = out.unionAll(_mapped(texts, items, Q, edits))
+    if len(held) > 1:  # the parts of one row meet again; doc_id may repeat or be null
+        out = out.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.flatten(F.collect_list("matches")).alias("matches"))
+    return out.select("doc_id", F.array_sort("matches").alias("matches"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -84,6 +84,19 @@ def test_leaks_on_odd_tables(spark, odd, none, benchmark_table):
     assert decontaminate.report(odd, benchmark_table.limit(0)).where("contaminated").count() == 0
 
 
+def test_rows_keep_their_own_matches_in_blocks_of_items(spark):
+    rng = random.Random(4)
+    items = [prose(rng, 12) for _ in range(6)]
+    bench = spark.createDataFrame([*enumerate(items), (0, items[0])], "item_id long, text string")
+    docs = [(1, f"a {items[0]} b"), (1, f"a {items[1]} b"), (1, "nothing"), (None, items[2]), (None, f"{items[3]} {items[0]}"), (None, None), (2, items[4]), (2, items[4])]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    whole = Counter((r.doc_id, tuple(map(tuple, r.matches))) for r in decontaminate.leaks(table, bench).collect())
+    parts = Counter((r.doc_id, tuple(map(tuple, r.matches))) for r in decontaminate.leaks(table, bench, block_chars=100).collect())
+    assert len(list(decontaminate.item_blocks(bench, 100))) > 1
+    assert parts == whole and sum(parts.values()) == len(docs)
+    assert sorted((d or -1, sorted({m[0] for m in ms})) for d, ms in parts.elements()) == [(-1, []), (-1, [0, 3]), (-1, [2]), (1, []), (1, [0]), (1, [1]), (2, [4]), (2, [4])]
+
+
 # --- 2 -----------------------------------------------------------------------------------------
 
 
