@@ -7,8 +7,8 @@ one unknown event, whose probability is the same in all states and equals that o
 
 Training is Baum-Welch: each task adds up the expected counts of its own texts, Spark sums them by
 (state, class), and only that table, of fixed size, reaches the driver. Each of the ROUNDS counts over all
-training texts, however many they are. Training texts are cut into windows of 128 words; scores are not: the
-scaled forward recursion runs over each whole text.
+training texts, however many they are, and over whole texts: a very long one is cut into stretches, whose
+transfer matrices carry the messages across. Scores too come from the scaled forward recursion over each whole text.
 
 The vocabulary grows with the data, so it's never sent whole to a task: the MOST_SENT most frequent words are
 (16 bytes each), and all others meet their counts in a join.
@@ -32,7 +32,11 @@ END = COMMON + ENDINGS
 UNKNOWN = END + 1
 MOST_SENT = 1 << 18
 STATES = 8
-WINDOW = 128
+#: Tokens of a stretch; longer texts are cut into several, across which the messages are exact.
+STRETCH = 8192
+#: Tokens that are worked on at once.
+BLOCK = 1 << 18
+EVERY = 8
 ROUNDS = 10
 PSEUDO = 20.0
 ADD = 0.1
@@ -120,46 +124,123 @@ def _coded(docs: DataFrame, hashes: np.ndarray, counts: np.ndarray, classes: np.
     return docs.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, seq binary, rare array<bigint>, rare_at array<int>")
 
 
-def _expected(seqs: list[np.ndarray], start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of first states, steps and emissions; emit has a row for each class."""
-    s = len(start)
-    flat = np.concatenate(seqs).astype(np.int64)
-    n = np.array([len(x) for x in seqs])
-    first = np.cumsum(n) - n
-    of = np.repeat(first, -(-n // WINDOW))
-    k = np.arange(len(of)) - np.repeat(np.cumsum(-(-n // WINDOW)) - -(-n // WINDOW), -(-n // WINDOW))
-    begin = of + k * WINDOW
-    size = np.minimum(WINDOW, np.repeat(first + n, -(-n // WINDOW)) - begin)
+def _transfers(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, step: np.ndarray, emit: np.ndarray) -> np.ndarray:
+    """For each stretch of tokens the product of its steps and emissions, up to a factor: what carries messages across it."""
     order = np.argsort(-size, kind="stable")
-    begin, size, head = begin[order], size[order], (k == 0)[order]
-    steady = np.linalg.matrix_power(step, 64).mean(0)
-    alive = np.searchsorted(-size, -np.arange(1, WINDOW + 1), "right")  # windows longer than t
-    longest = int(size[0])
-    alphas, scales = [], []
-    alpha = np.where(head[:, None], start, steady)
+    begin, size = begin[order], size[order]
+    s = len(step)
+    out = np.tile(np.eye(s), (len(begin), 1, 1))
+    for t in range(int(size[0])):
+        m = int(np.searchsorted(-size, -t, "left"))
+        out[:m] = (out[:m].reshape(-1, s) @ step).reshape(m, s, s) * emit[flat[begin[:m] + t]][:, None, :]
+        if t % EVERY == 0:
+            out[:m] /= out[:m].sum((1, 2), keepdims=True)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def _stretches(flat: np.ndarray, n: np.ndarray, start: np.ndarray, step: np.ndarray, emit: np.ndarray, most: int):
+    """Begin, size, whether it is a text's first, and the messages into both ends of each stretch of at most `most` tokens.
+
+    A text that is one stretch gets none; across the stretches of a longer text the messages are exact."""
+    parts = -(-n // most)
+    k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    text = np.repeat(np.arange(len(n)), parts)
+    begin = (np.cumsum(n) - n)[text] + k * most
+    size = np.minimum(most, n[text] - k * most)
+    before, after = np.zeros((len(k), len(step))), np.ones((len(k), len(step)))
+    cut = np.flatnonzero(parts[text] > 1)
+    if len(cut):
+        head = k[cut] == 0
+        across = dict(zip(cut.tolist(), _transfers(flat, begin[cut] + head, size[cut] - head, step, emit), strict=True))
+        for i in cut[1:].tolist():  # ascending: a text's stretches follow each other
+            if k[i]:
+                known = before[i - 1] if k[i] > 1 else start * emit[flat[begin[i - 1]]]
+                before[i] = known @ across[i - 1]
+                before[i] /= before[i].sum()
+        for i in cut[-2::-1].tolist():
+            if k[i + 1]:
+                after[i] = across[i + 1] @ after[i + 1]
+                after[i] /= after[i].sum()
+    return begin, size, k == 0, before, after
+
+
+class _Space:
+    """Work space that is kept from block to block: fresh memory costs more than the arithmetic."""
+
+    def __init__(self, n: int, states: int):
+        self.arrays = [np.empty((n, states), np.float32) for _ in range(3)]
+
+
+def _side_by_side(flat, begin, size, first, before, after, start, step, emit, space: _Space, total) -> None:
+    """Adds the expected counts of stretches, the longest first, to total (first states, steps, emissions).
+
+    Tokens lie by time, then stretch. Messages are scaled at every EVERY-th time by the same factor in both
+    directions, so that their product is the posterior at each time."""
+    s, longest = len(step), int(size[0])
+    alive = np.searchsorted(-size, -np.arange(longest), "left")
+    off = np.cumsum(alive) - alive
+    n = int(size.sum())
+    at = np.arange(n) - np.repeat(off, alive)
+    seen = flat[begin[at] + np.repeat(np.arange(longest), alive)].astype(np.int64)
+    e, alpha, beta = (x[:n] for x in space.arrays)
+    np.take(emit, seen, axis=0, out=e, mode="clip")
+    back, ones, scale = step.T.copy(), np.ones(s, np.float32), {}
+    alive, off = alive.tolist(), off.tolist()
+    lead = np.where(first[:, None], start, before @ step).astype(np.float32)
+    np.multiply(lead, e[: alive[0]], out=alpha[: alive[0]])
     for t in range(longest):
-        m = alive[t]
-        alpha = (alpha[:m] if t == 0 else alpha[:m] @ step) * emit[flat[begin[:m] + t]]
-        scale = alpha.sum(1)
-        alpha = alpha / scale[:, None]
-        alphas.append(alpha)
-        scales.append(scale)
-    steps, emitted = np.zeros((s, s)), np.zeros_like(emit)
-    beta = np.ones_like(alphas[-1])
-    gammas, seen = [], []
+        now = alpha[off[t] : off[t] + alive[t]]
+        if t:
+            np.matmul(alpha[off[t - 1] : off[t - 1] + alive[t]], step, out=now)
+            now *= e[off[t] : off[t] + alive[t]]
+        if t % EVERY == 0:
+            scale[t] = (1 / (now @ ones))[:, None]
+            now *= scale[t]
+    steps, ahead, following = np.zeros((s, s), np.float64), None, 0
     for t in range(longest - 1, -1, -1):
-        m = alive[t]
-        if t < longest - 1:
-            ahead = emit[flat[begin[: alive[t + 1]] + t + 1]] * beta / scales[t + 1][:, None]
-            steps += step * (alphas[t][: alive[t + 1]].T @ ahead)
-            beta = np.ones((m, s))
-            beta[: alive[t + 1]] = ahead @ step.T
-        gammas.append(alphas[t] * beta)
-        seen.append(flat[begin[:m] + t])
-    gamma, seen = np.concatenate(gammas), np.concatenate(seen)
+        o, m = off[t], alive[t]
+        b = beta[o : o + m]
+        if following:
+            np.matmul(ahead, back, out=b[:following])
+        if following < m:  # these stretches end here
+            end = after[following:m]
+            b[following:] = end / ((alpha[o + following : o + m] * end) @ np.ones(s))[:, None]
+        ahead = e[o : o + m]
+        ahead *= b
+        if t % EVERY == 0:
+            ahead *= scale[t]
+        if t:
+            steps += alpha[off[t - 1] : off[t - 1] + m].T @ ahead
+        following = m
+    steps += before.T @ ahead
+    alpha *= beta
+    total[0] += alpha[: alive[0]][first].sum(0, dtype=np.float64)
+    total[1] += step * steps
     for j in range(s):
-        emitted[:, j] = np.bincount(seen, gamma[:, j], len(emit))
-    return gammas[-1][head].sum(0), steps, emitted
+        total[2][:, j] += np.bincount(seen, alpha[:, j], len(emit))
+
+
+def _expected(flat: np.ndarray, n: np.ndarray, start: np.ndarray, step: np.ndarray, emit: np.ndarray, total: list[np.ndarray], stretch: int = STRETCH) -> None:
+    """Adds the expected counts of first states, steps and emissions over whole sequences (flat, of lengths n) to total.
+
+    emit has a row for each class; only the ratios within a row matter here. Messages are in single precision, sums in double."""
+    if not len(n):
+        return
+    top = emit.max(1, keepdims=True)
+    emit = emit / np.where(top > 0, top, 1.0)
+    begin, size, first, before, after = _stretches(flat, n, start, step, emit, stretch)
+    order = np.argsort(-size, kind="stable")
+    ends = np.cumsum(size[order])
+    space = _Space(max(BLOCK, int(size.max())), len(step))
+    emit, step = emit.astype(np.float32), step.astype(np.float32)
+    a = 0
+    while a < len(order):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
+        own = order[a:b]
+        _side_by_side(flat, begin[own], size[own], first[own], before[own], after[own], start, step, emit, space, total)
+        a = b
 
 
 def log_forward(seqs: list[np.ndarray], start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> np.ndarray:
@@ -183,16 +264,21 @@ def log_forward(seqs: list[np.ndarray], start: np.ndarray, step: np.ndarray, emi
     return out
 
 
+def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The class sequences of a column, one after another, and their lengths; no copies."""
+    column = pa.concat_arrays([column.cast(pa.large_binary())])
+    _, at, data = column.buffers()
+    offsets = np.frombuffer(at, np.int64)[: len(column) + 1]
+    return np.frombuffer(data, np.uint16)[offsets[0] // 2 : offsets[-1] // 2] if len(column) else np.zeros(0, np.uint16), np.diff(offsets) // 2
+
+
 def _round(coded: DataFrame, start, step, emit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     s, c = len(start), len(emit)
 
     def run(batches):
         total = [np.zeros(s), np.zeros((s, s)), np.zeros((c, s))]
         for batch in batches:
-            seqs = [np.frombuffer(x, np.uint16) for x in batch.column("seq").to_pylist()]
-            for k in range(0, len(seqs), 1000):
-                for a, b in zip(total, _expected(seqs[k : k + 1000], start, step, emit), strict=True):
-                    a += b
+            _expected(*_sequences(batch.column("seq")), start, step, emit, total)
         # rows of one table: classes, then the previous states, then the start
         every = np.concatenate([total[2], total[1], total[0][None, :]])
         row, state = np.nonzero(every)

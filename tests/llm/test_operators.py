@@ -301,8 +301,11 @@ def test_expected_counts_are_those_of_all_paths():
                 want[1][a, b] += w
             for s, o in zip(p, seq, strict=True):
                 want[2][o, s] += w
-    for a, b in zip(hmm._expected(seqs, start, step, emit), want, strict=True):
-        assert np.allclose(a, b)
+    for stretch in (1, 2, 3, 100):
+        got = [np.zeros_like(x) for x in want]
+        hmm._expected(np.concatenate(seqs), np.array([len(x) for x in seqs]), start, step, emit, got, stretch)
+        for a, b in zip(got, want, strict=True):
+            assert np.allclose(a, b, atol=1e-5)
 
 
 def plain_base(rows):
@@ -323,6 +326,60 @@ def test_base_scores_and_gain(spark):
     assert sum(r.score for r in away) > sum(r.base_score for r in away) + 5 * len(away)
 
 
+def test_scores_equal_a_plain_hidden_markov_model(spark):
+    rng = random.Random(16)
+    rows = [(k, " ".join(rng.choice(("aa bb cc", "dd ee", "bb dd ff gg")[k % 3].split()) for _ in range(rng.randint(0, 15)))) for k in range(60)] + [(60, "aa never bb")]
+    states = 2
+    got = {r.doc_id: r.score for r in hmm.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), states=states, held_out=F.col("doc_id") % 5 == 0).collect()}
+
+    count = Counter(w for k, t in rows if k % 5 for w in t.split())
+    ends = sum(k % 5 > 0 for k, _ in rows)
+
+    def h(w):
+        raw = np.frombuffer(w.encode(), np.uint8)
+        return int(hmm.word_hashes(raw, np.array([0]), np.array([len(raw)]))[0].view(np.int64))
+
+    order = sorted(count, key=lambda w: (-count[w], h(w)))
+    of = {w: i for i, w in enumerate(order)}
+    mass = np.zeros(hmm.END + 1)
+    mass[: len(order)] = [count[w] + 0.1 for w in order]
+    mass[hmm.END] = ends + 0.1
+    share = mass / mass.sum()
+    emit = np.exp(np.random.default_rng(11).normal(0, 0.5, (hmm.END + 1, states))) * (share[:, None] + 1e-12)
+
+    def model(first, steps, emitted):
+        first, steps, emitted = first + 1, steps + np.eye(states) * hmm.PSEUDO + 1, emitted + hmm.PSEUDO * share[:, None]
+        return first / first.sum(), steps / steps.sum(1, keepdims=True), emitted / emitted.sum(0)
+
+    start, step, emit = model(np.ones(states), np.eye(states) * 1e3, emit / emit.sum(0) * 1e6)
+    for _ in range(hmm.ROUNDS):
+        total = [np.zeros(states), np.zeros((states, states)), np.zeros_like(emit)]
+        for k, t in rows:
+            if k % 5:
+                seq = [*(of[w] for w in t.split()), hmm.END]
+                alpha, beta = [start * emit[seq[0]]], [np.ones(states)]
+                for o in seq[1:]:
+                    alpha.append(alpha[-1] @ step * emit[o])
+                for o in seq[:0:-1]:
+                    beta.insert(0, step @ (emit[o] * beta[0]))
+                p = alpha[-1].sum()
+                total[0] += alpha[0] * beta[0] / p
+                for i, o in enumerate(seq):
+                    total[2][o] += alpha[i] * beta[i] / p
+                    if i:
+                        total[1] += np.outer(alpha[i - 1], emit[o] * beta[i]) * step / p
+        start, step, emit = model(*total)
+    n = sum(count.values()) + ends
+    unknown = 0.1 / (n + 0.1 * (len(count) + 2))
+    for k, t in rows:
+        alpha, p = None, 0.0
+        for w in [*t.split(), None]:
+            o = hmm.END if w is None else of.get(w)
+            b = np.full(states, unknown) if o is None else emit[o] * (1 - unknown)
+            alpha = (start if alpha is None else alpha @ step) * b
+        assert np.isclose(got[k], np.log10(alpha.sum()), rtol=1e-5), k
+
+
 def test_every_round_counts_all_training_texts(spark, monkeypatch):
     rows = [(k, "one two three") for k in range(2000)]
     seen = []
