@@ -29,11 +29,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.llm.shared import blocks, discard, mix, most_frequent, packed, shingles, word_hashes, words, written
+from halyard.llm.shared import blocks, discard, mix, most_frequent, packed, shingles, skewed_join, word_hashes, words, written
 
 SHINGLE = 4
 PERCENT = 85
@@ -47,7 +47,11 @@ WIDEST = 1 << 17
 BLOCK = 128
 #: Lists up to this size are searched side by side, longer ones block by block.
 SMALL = 64
-_LOW5 = 5
+#: Shingles that occur 2^13 times or more have lists in pieces of about 2^12 sets.
+PIECE_BITS = 12
+#: The first class of frequent shingles; from there on a class is this plus log2 of the count.
+_FREQUENT_CLASS = 201
+_BYTES = 7
 _BODY = np.uint64((1 << 56) - 1)
 
 
@@ -165,12 +169,12 @@ def shingle_order(texts: DataFrame, k: int = SHINGLE, most: int = FREQUENT) -> O
     discard(counts)
     hashes = top.h.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    level = np.minimum(201 + np.log2(np.maximum(top.n.to_numpy(np.int64), 1)), 255).astype(np.int64)
+    level = np.minimum(_FREQUENT_CLASS + np.log2(np.maximum(top.n.to_numpy(np.int64), 1)), 255).astype(np.int64)
     return Order(logs, hashes[order], level[order])
 
 
 def _described(docs: DataFrame, order: Order, k: int, percent: int) -> DataFrame:
-    """doc_id, n, two prints, the prefix in the global order and the parities of each text's set."""
+    """doc_id, n, two prints, the prefix in the global order and the parities of each text's set; raw and tie as they are."""
 
     def run(batches):
         for part, data, offsets in blocks(batches, "text"):
@@ -182,7 +186,7 @@ def _described(docs: DataFrame, order: Order, k: int, percent: int) -> DataFrame
             length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
             bits = np.minimum(np.maximum(2 ** np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), PARITY), WIDEST)
             columns = [
-                part.column("doc_id"),
+                *(part.column(c) for c in ("doc_id", "raw", "tie")),
                 pa.array(n.astype(np.int32)),
                 pa.array(_signed(one)),
                 pa.array(_signed(two)),
@@ -190,75 +194,128 @@ def _described(docs: DataFrame, order: Order, k: int, percent: int) -> DataFrame
                 pa.array(_parities(key, of, np.full(m, PARITY)), pa.binary()),
                 pa.array(_parities(key, of, bits), pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "one", "two", "prefix", "parity", "wide"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "raw", "tie", "n", "one", "two", "prefix", "parity", "wide"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n int, one bigint, two bigint, prefix array<bigint>, parity binary, wide binary")
+    return docs.mapInArrow(run, "doc_id bigint, raw bigint, tie bigint, n int, one bigint, two bigint, prefix array<bigint>, parity binary, wide binary")
+
+
+def _pieces(token: Column) -> Column:
+    """In how many pieces a token's list lies, by the frequency that its class tells."""
+    return F.pow(F.lit(2.0), F.greatest(F.shiftrightunsigned(token, 56) - (_FREQUENT_CLASS + PIECE_BITS), F.lit(0))).cast("long")
+
+
+def _piece(token: Column, key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), _pieces(token))
 
 
 def _lists(batches, names: tuple[str, ...]):
     """Columns of whole lists (equal token) from batches sorted by token."""
-    held = None
+    held: list[list[np.ndarray]] = []  # the parts of the list that is still open
     for batch in batches:
         now = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
-        if held is not None:
-            now = [np.concatenate([a, b]) for a, b in zip(held, now, strict=True)]
         if not len(now[0]):
             continue
         cut = int(np.searchsorted(now[0], now[0][-1]))
-        held = [x[cut:] for x in now]
-        if cut:
-            yield [x[:cut] for x in now]
-    if held is not None and len(held[0]):
-        yield held
+        if held and not cut and held[0][0][0] == now[0][0]:
+            held.append(now)
+            continue
+        if held or cut:
+            yield [np.concatenate(x) for x in zip(*held, [x[:cut] for x in now], strict=True)]
+        held = [[x[cut:] for x in now]]
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, key, n, pos, lead) of the sets that have a neighbour of suitable size in the token's list."""
+    """(token, key, n, pos, band, lead) of the sets that have a neighbour of suitable size in the token's list, or are in a piece of one.
+
+    A list (or its piece) passes in the order of sizes, a batch in memory at a time; the first set of a band of sizes leads."""
+
+    frequent = _FREQUENT_CLASS + PIECE_BITS
 
     def run(batches):
-        for token, key, packed in _lists(batches, ("token", "key", "packed")):
-            n, pos = packed >> 32, packed & 0xFFFFFFFF
-            near = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            keep = np.append(near, False) | np.append(False, near)
-            token, key, n, pos = token[keep], key[keep], n[keep], pos[keep]
+        last = None  # the row that waits for its successor: token, piece, packed, key, lead, whether it has a neighbour
+        for batch in batches:
+            token, piece, packed, key = (batch.column(c).to_numpy() for c in ("token", "piece", "packed", "key"))
             if not len(token):
                 continue
+            if last is not None:
+                token, piece, packed, key = (np.append(a, x) for a, x in zip(last[:4], (token, piece, packed, key), strict=True))
+            n, pos = packed >> 32, packed & 0xFFFFFFFF
             band = (np.log(n) / -np.log(percent / 100)).astype(np.int64)
-            order = np.lexsort((key, band, token))
-            token, key, n, pos, band = (x[order] for x in (token, key, n, pos, band))
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (band[1:] != band[:-1])
-            lead = key[new][np.cumsum(new) - 1]
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(key), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(lead)], ["token", "key", "n", "pos", "lead"])
-
-    rows = sets.select(F.posexplode("prefix").alias("pos", "token"), "key", "n").select("token", "key", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("packed"))
-    return rows.repartition("token").sortWithinPartitions("token", "packed").mapInArrow(run, "token bigint, key bigint, n int, pos int, lead bigint")
+            same = (token[1:] == token[:-1]) & (piece[1:] == piece[:-1])
+            near = same & (100 * n[:-1] >= percent * n[1:])
+            new = np.append(True, ~same | (band[1:] != band[:-1]))
+            lead = key[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+            keep = np.append(near, False) | np.append(False, near)
+            if last is not None:
+                second = int(np.argmax(new[1:])) + 1 if new[1:].any() else len(new)
+                lead[:second] = last[4]
+                keep[0] |= last[5]
+            last = (token[-1:], piece[-1:], packed[-1:], key[-1:], lead[-1], keep[-1])
+            keep |= (token.view(np.uint64) >> np.uint64(56)) > frequent
+            keep[-1] = False
+            yield row(token[keep], key[keep], n[keep], pos[keep], band[keep], lead[keep])
+        if last is not None and (last[5] or int(last[0].view(np.uint64)[0] >> np.uint64(56)) > frequent):
+            n = last[2] >> 32
+            yield row(last[0], last[3], n, last[2] & 0xFFFFFFFF, (np.log(n) / -np.log(percent / 100)).astype(np.int64), np.array([last[4]]))
+
+    def row(token, key, n, pos, band, lead):
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(key), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(band.astype(np.int32)), pa.array(lead)], ["token", "key", "n", "pos", "band", "lead"])
+
+    rows = sets.select(F.posexplode("prefix").alias("pos", "token"), "key", "n").select("token", _piece(F.col("token"), F.col("key")).alias("piece"), "key", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("packed"))
+    return rows.repartition("token", "piece").sortWithinPartitions("token", "piece", "packed", "key").mapInArrow(run, "token bigint, key bigint, n int, pos int, band int, lead bigint")
+
+
+def _stars(postings: DataFrame) -> DataFrame:
+    """(a, b) of each set and its leader, and of the leaders of a list's pieces and the least of them."""
+    pairs = postings.where("key != lead").select("key", "lead")
+    leaders = postings.where((_pieces(F.col("token")) > 1) & (F.col("key") == F.col("lead"))).select("token", "band", "key")
+    least = leaders.groupBy("token", "band").agg(F.min("key").alias("lead"))
+    pairs = pairs.union(leaders.join(least, ["token", "band"]).where("key != lead").select("key", "lead"))
+    return pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+
+
+def _for_search(lists: DataFrame) -> DataFrame:
+    """lists (token, key, comp, ...) dealt to the pieces in which their pairs are searched; own tells a piece's own sets.
+
+    A list in pieces whose sets are one component is left out. Else those outside its largest component visit every
+    piece, so each pair of different components meets. Only frequent shingles, at most FREQUENT, are broadcast."""
+    token, pieces = F.col("token"), _pieces(F.col("token"))
+    kinds = lists.where(pieces > 1).groupBy("token", "comp").agg(F.count("*").alias("sets"))
+    mixed = kinds.groupBy("token").agg(F.max_by("comp", "sets").alias("largest"), F.count("*").alias("kinds")).where("kinds > 1").select("token", "largest")
+    mine = _piece(token, F.col("key"))
+    to = F.when(pieces == 1, F.array(F.struct(F.lit(0).cast("long").alias("piece"), F.lit(True).alias("own")))).when(F.col("comp") == F.col("largest"), F.array(F.struct(mine.alias("piece"), F.lit(True).alias("own"))))
+    to = to.otherwise(F.transform(F.sequence(F.lit(0).cast("long"), pieces - 1), lambda p: F.struct(p.alias("piece"), (p == mine).alias("own"))))
+    dealt = lists.join(F.broadcast(mixed), "token", "left").where((pieces == 1) | F.col("largest").isNotNull()).withColumn("to", F.explode(to))
+    # lists that share a hash only share a search
+    return dealt.withColumn("token", F.when(pieces == 1, token).otherwise(F.xxhash64("token", "to.piece"))).withColumn("own", F.col("to.own")).drop("to", "largest")
 
 
 def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b, na, nb) of one list and different components that no filter rules out.
+    """Pairs (a, b, na, nb) of one list and different components (ca, cb) that no filter rules out.
 
     nearest: of a set and another component, only the pair that looks most alike in a list."""
 
-    def fits(n, p, c, w, row, col):
+    def fits(n, p, c, w, own, row, col):
         """The pairs (row, col) that sizes, positions, components and parities allow, and their least difference."""
-        ok = (c[row] != c[col]) & (np.minimum(n[row] - p[row], n[col] - p[col]) >= needed(n[row], n[col], percent))
+        ok = (own[row] | own[col]) & (c[row] != c[col]) & (np.minimum(n[row] - p[row], n[col] - p[col]) >= needed(n[row], n[col], percent))
         row, col = row[ok], col[ok]
         apart = np.bitwise_count(w[row] ^ w[col]).sum(1, dtype=np.int64)
         ok = apart <= n[row] + n[col] - 2 * needed(n[row], n[col], percent)
         return row[ok], col[ok], apart[ok]
 
-    def side_by_side(of, n, p, c, w):
+    def side_by_side(of, n, p, c, w, own):
         """Pairs of many short lists, those at the same distance in the order of sizes at once."""
         alive, far, out = np.arange(len(n)), 0, []
         while len(alive):
             far += 1
             alive = alive[alive + far < len(n)]
             alive = alive[(of[alive] == of[alive + far]) & (100 * n[alive] >= percent * n[alive + far])]
-            out.append(fits(n, p, c, w, alive, alive + far))
+            out.append(fits(n, p, c, w, own, alive, alive + far))
         return out
 
-    def by_block(n, p, c, w):
+    def by_block(n, p, c, w, own):
         """Pairs of a long list: sets outside its largest component against blocks that may hold a partner."""
         kinds, counts = np.unique(c, return_counts=True)
         probe = np.flatnonzero(c != kinds[counts.argmax()])
@@ -277,7 +334,7 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
                 row = np.repeat(who[x[j : j + 1024]], BLOCK)
                 col = (begin[block[j : j + 1024]][:, None] + np.arange(BLOCK)).ravel()
                 inside = col < len(n)
-                found = fits(n, p, c, w, row[inside], col[inside])
+                found = fits(n, p, c, w, own, row[inside], col[inside])
                 out.append(closest(c, *found) if nearest else found)
         return out
 
@@ -289,7 +346,7 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
         return row[new], col[new], apart[new]
 
     def run(batches):
-        for token, n, p, k, c, w in _lists(_unpacked(batches), ("token", "n", "pos", "key", "comp", "row")):
+        for token, n, p, k, c, w, g in _lists(_unpacked(batches), ("token", "n", "pos", "key", "comp", "row", "own")):
             n, p = n.astype(np.int64), p.astype(np.int64)
             first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             size = np.diff(np.append(first, len(token)))
@@ -297,12 +354,12 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
             parts = []
             short = np.flatnonzero(np.repeat(mixed & (size <= SMALL), size))
             if len(short):
-                found = [np.concatenate(x) for x in zip(*side_by_side(token[short], n[short], p[short], c[short], w[short]), strict=True)]
+                found = [np.concatenate(x) for x in zip(*side_by_side(*(x[short] for x in (token, n, p, c, w, g))), strict=True)]
                 row, col, _ = closest(c[short], *found) if nearest else found
                 parts.append((short[row], short[col]))
             for a, m in zip(first[mixed & (size > SMALL)], size[mixed & (size > SMALL)], strict=True):
                 own = slice(a, a + m)
-                parts += [(row + a, col + a) for row, col, _ in by_block(n[own], p[own], c[own], w[own])]
+                parts += [(row + a, col + a) for row, col, _ in by_block(*(x[own] for x in (n, p, c, w, g)))]
             if not parts:
                 continue
             row, col = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -313,9 +370,9 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
             new = np.ones(len(row), bool)
             new[1:] = (k[row][1:] != k[row][:-1]) | (k[col][1:] != k[col][:-1])
             row, col = row[new], col[new]
-            yield pa.RecordBatch.from_arrays([pa.array(k[row]), pa.array(k[col]), pa.array(n[row].astype(np.int32)), pa.array(n[col].astype(np.int32))], ["a", "b", "na", "nb"])
+            yield pa.RecordBatch.from_arrays([pa.array(k[row]), pa.array(k[col]), pa.array(n[row].astype(np.int32)), pa.array(n[col].astype(np.int32)), pa.array(c[row]), pa.array(c[col])], ["a", "b", "na", "nb", "ca", "cb"])
 
-    return postings.repartition("token").sortWithinPartitions("token", "n").mapInArrow(run, "a bigint, b bigint, na int, nb int").distinct()
+    return _for_search(postings).repartition("token").sortWithinPartitions("token", "n").mapInArrow(run, "a bigint, b bigint, na int, nb int, ca bigint, cb bigint").distinct()
 
 
 class _Column:
@@ -337,57 +394,57 @@ class _Batch:
 def _unpacked(batches):
     """Batches with the parities as rows of 64-bit words."""
     for batch in batches:
-        columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "pos", "key", "comp")}
+        columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "pos", "key", "comp", "own")}
         raw = b"".join(batch.column("parity").to_pylist())
         columns["row"] = np.frombuffer(raw, np.uint64).reshape(-1, PARITY // 64)
         yield _Batch(columns)
 
 
-def _packed_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(key, packed) of the classes: the whole set as ascending 40-bit hashes, made again from one text of each."""
+def _packed_sets(texts: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """(key, packed) of the classes: the whole set as ascending 56-bit hashes, made again from the text of each.
+
+    texts and classes meet by (raw, doc_id): the hash of a text's bytes tells rows apart whose id repeats or is null."""
 
     def run(batches):
-        last = None
+        done = set()
         for part, data, offsets in blocks(batches, "text"):
             key, of = _sets(data, offsets, k)
-            one, two = _prints(key, of, part.num_rows)
-            right = (_signed(one) == part.column("one").to_numpy()) & (_signed(two) == part.column("two").to_numpy())
             at = np.searchsorted(of, np.arange(part.num_rows + 1))
             keys, packed = [], []
-            for i in np.flatnonzero(right).tolist():
-                own = part.column("key")[i].as_py()
-                if own != last:  # rows that repeat stand together
-                    short = np.unique(key[at[i] : at[i + 1]] >> np.uint64(16))
+            for i, own in enumerate(part.column("key").to_pylist()):
+                if own not in done:  # rows that repeat share a text
+                    done.add(own)
                     keys.append(own)
-                    packed.append(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_LOW5].tobytes())
-                    last = own
+                    packed.append(np.unique(key[at[i] : at[i + 1]]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], ["key", "packed"])
 
-    some = classes.select(F.col("doc_id").alias("_id"), "key", "one", "two")
-    texts = docs.join(some, F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "one", "two", "text")
-    return texts.mapInArrow(run, "key bigint, packed binary")
+    some = classes.select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"), "key").hint("merge")
+    found = texts.join(some, (F.col("raw") == F.col("_raw")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("key", "text")
+    return found.mapInArrow(run, "key bigint, packed binary")
 
 
 def _plausible(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, b, na, nb) whose parities allow the threshold."""
+    """The rows of pairs (a, b, na, nb and others) whose parities allow the threshold."""
+    names = pairs.columns
 
     def run(batches):
         for batch in batches:
             na, nb = (batch.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
             most = (na + nb - 2 * needed(na, nb, percent)).tolist()
             keep = [_apart(x, y) <= d for x, y, d in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), most, strict=True)]
-            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(wide.select(F.col("key").alias("a"), F.col("wide").alias("x")), "a").join(wide.select(F.col("key").alias("b"), F.col("wide").alias("y")), "b")
-    return both.select("a", "b", "na", "nb", "x", "y").mapInArrow(run, "a bigint, b bigint, na int, nb int")
+    return both.select(*pairs.columns, "x", "y").mapInArrow(run, pairs.schema)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b, na, nb) with delta, the exact size of the symmetric difference."""
+    """pairs (a, b and others) with delta, the exact size of the symmetric difference."""
+    names = pairs.columns
 
     def unpacked(raw: pa.Buffer) -> np.ndarray:
-        out = np.zeros((raw.size // _LOW5, 8), np.uint8)
-        out[:, :_LOW5] = np.frombuffer(raw, np.uint8).reshape(-1, _LOW5)
+        out = np.zeros((raw.size // _BYTES, 8), np.uint8)
+        out[:, :_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _BYTES)
         return out.view(np.uint64).ravel()
 
     def run(batches):
@@ -397,10 +454,10 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 every = np.concatenate([unpacked(x.as_buffer()), unpacked(y.as_buffer())])
                 every.sort()
                 delta.append(len(every) - 2 * int((every[1:] == every[:-1]).sum()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(delta, pa.int32())], ["a", "b", "na", "nb", "delta"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(delta, pa.int32())], [*names, "delta"])
 
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("packed").alias("left")), "a").join(sets.select(F.col("key").alias("b"), F.col("packed").alias("right")), "b")
-    return both.select("a", "b", "na", "nb", "left", "right").mapInArrow(run, "a bigint, b bigint, na int, nb int, delta int")
+    return both.select(*pairs.columns, "left", "right").mapInArrow(run, T.StructType([*pairs.schema.fields, T.StructField("delta", T.IntegerType())]))
 
 
 def _within(percent: int, delta: str = "delta"):
@@ -415,41 +472,42 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     Each round takes the smallest label among the neighbours and then the label's own label; a chain so
     shortens by half, and every round's table is written to the shared folder."""
     both = written(links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct().toDF("a", "b"))
-    labels = written(nodes.select("key", F.col("key").alias("comp")))
+    ends, rows = both.count(), nodes.count()
+    labels, seen = nodes.select("key", F.col("key").alias("comp")), both.groupBy("a").agg(F.min("b").alias("other"))
     while True:
-        seen = both.join(labels.select(F.col("key").alias("b"), F.col("comp").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"))
-        step = labels.join(seen.withColumnRenamed("a", "key"), "key", "left").select("key", F.least("comp", F.coalesce("other", "comp")).alias("low"), "comp")
-        jump = step.select(F.col("key").alias("low"), F.col("low").alias("lower"))
-        now = written(step.join(jump, "low").select("key", "lower", "comp"))
+        step = written(labels.join(seen.withColumnRenamed("a", "key"), "key", "left").select("key", F.least("comp", F.coalesce("other", "comp")).alias("low"), "comp"))
+        now = written(skewed_join(step, step.select(F.col("key").alias("low"), F.col("low").alias("lower")), ["low"], rows).select("key", "lower", "comp"))
         changed = now.where("lower != comp").limit(1).count()
-        discard(labels)
+        discard(step, *([labels] if hasattr(labels, "halyard_path") else []))
         labels = now.withColumnsRenamed({"comp": "_comp", "lower": "comp"}).drop("_comp")
         labels.halyard_path = now.halyard_path
         if not changed:
             discard(both)
             return labels
+        seen = skewed_join(both, labels.toDF("b", "other"), ["b"], ends).groupBy("a").agg(F.min("other").alias("other"))
 
 
 def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The described texts, and one row a class of equal sets: n, one, two, component_id."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """The described texts of docs (doc_id, text, tie), and one row a class of equal sets: n, one, two, comp, component_id."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), "tie", F.xxhash64(F.col("text").cast("string")).alias("raw"))
     order = shingle_order(texts.select("text"), k)
     described = written(_described(texts, order, k, percent).withColumn("key", F.monotonically_increasing_id()))
-    classes = written(described.where("n > 0").groupBy("n", "one", "two").agg(F.min(F.struct("key", "doc_id")).alias("first"), F.min("doc_id").alias("least")).select("n", "one", "two", F.col("first.key").alias("key"), F.col("first.doc_id").alias("doc_id"), "least"))
+    first = described.where("n > 0").groupBy("n", "one", "two").agg(F.min(F.struct("key", "doc_id", "raw")).alias("first"), F.min("doc_id").alias("least"))
+    classes = written(first.select("n", "one", "two", "first.*", "least"))
     sets = described.select("key", "n", "prefix").join(classes.select("key"), "key", "left_semi")
     postings = written(_postings(sets, percent))
     met = written(described.select("key", "n", "parity", "wide").join(postings.select("key").distinct(), "key", "left_semi"))
     sizes = met.select("key", "n")
 
-    stars = postings.where("key != lead").select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
-    stars = stars.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    stars = _stars(postings).join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
     stars = stars.where((100 * F.least("na", "nb")) >= percent * F.greatest("na", "nb"))
     stars = written(_plausible(stars.select("a", "b", "na", "nb"), met, percent))
-    packed = written(_packed_sets(texts, classes.join(sizes.select("key"), "key", "left_semi"), k))
+    packed = written(_packed_sets(texts.select("doc_id", "raw", "text"), classes.join(sizes.select("key"), "key", "left_semi"), k))
     answers = written(_compared(stars, packed))
     discard(stars)
     links = written(answers.where(_within(percent)).select("a", "b"))
     labels = components(sizes, links)
+    discard(links)
 
     leaders = answers.select("a", "b", "delta").union(answers.select(F.col("b"), F.col("a"), "delta")).toDF("x", "y", "apart")
     for nearest in (True, False):
@@ -464,57 +522,58 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
         )
         direct = answers.select("a", "b", F.col("delta").alias("exact"))
         held = pairs.join(derived, ["a", "b"], "left").join(direct, ["a", "b"], "left")
-        sure = held.where(_within(percent, "exact") | _within(percent, "most")).select("a", "b")
-        unsure = held.where(F.col("exact").isNull() & ~F.coalesce(_within(percent, "most"), F.lit(False)) & F.coalesce(_within(percent, "fewest"), F.lit(True))).select("a", "b", "na", "nb")
-        before = (links, labels, pairs)
-        links = written(links.union(sure).union(_compared(unsure, packed).where(_within(percent)).select("a", "b")))
-        labels = components(sizes, links)
-        discard(*before)
-    discard(postings, met, packed, answers, links)
-
-    all_ = classes.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    least = all_.groupBy("comp").agg(F.min("least").alias("component_id"))
-    return described, all_.join(least, "comp").select("n", "one", "two", "component_id")
+        sure = held.where(_within(percent, "exact") | _within(percent, "most")).select("ca", "cb")
+        unsure = held.where(F.col("exact").isNull() & ~F.coalesce(_within(percent, "most"), F.lit(False)) & F.coalesce(_within(percent, "fewest"), F.lit(True))).select(*pairs.columns)
+        new = written(sure.union(_compared(unsure, packed).where(_within(percent)).select("ca", "cb")).distinct().toDF("a", "b"))
+        if new.limit(1).count():  # links between whole components: their least keys are the nodes now
+            joins = components(new.select(F.col("a").alias("key")).union(new.select("b")).distinct(), new)
+            merged = written(skewed_join(labels, joins.toDF("comp", "least"), ["comp"]).select("key", F.col("least").alias("comp")).union(labels.join(joins.select(F.col("key").alias("comp")), "comp", "left_anti").select("key", "comp")))
+            discard(labels, joins)
+            labels = merged
+        discard(pairs, new)
+    discard(postings, met, packed, answers)
+
+    every = written(classes.join(labels, "key", "left").select("n", "one", "two", "least", F.coalesce("comp", "key").alias("comp")))
+    discard(labels, classes)
+    least = every.groupBy("comp").agg(F.min("least").alias("component_id"))
+    return described, skewed_join(every, least, ["comp"]).select("n", "one", "two", "comp", "component_id")
 
 
 def joined(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of each document (columns doc_id and text)."""
-    described, found = classes_and_components(docs, k, percent)
-    rows = described.select("doc_id", "n", "one", "two")
-    return rows.join(found, ["n", "one", "two"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    described, found = classes_and_components(docs.select("doc_id", "text", F.lit(0).cast("long").alias("tie")), k, percent)
+    some = skewed_join(described.select("doc_id", "n", "one", "two").where("n > 0"), found, ["n", "one", "two"]).select("doc_id", "n", "component_id")
+    rest = described.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    return some.unionByName(rest).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, that are the smallest doc_id of their component; one row where such a row repeats.
-
-    Documents without shingles are alike to nothing and stay."""
-    keys = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    described, found = classes_and_components(keys, k, percent)
-    rows = described.where("n > 0").select("doc_id", "n", "one", "two").join(found, ["n", "one", "two"])
-    # the first row of each component, null ids last
-    best = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "one", "two")).alias("b"))
-    # components without any id are told apart by their class
-    best = best.where("component_id is not null").select("b.*").union(rows.where("component_id is null").select(F.lit(True), "doc_id", "n", "one", "two")).toDF("none", "doc_id", "n", "one", "two")
-
-    def id_key(column: str):  # null is a value of its own
-        return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
-
-    kept = best.select(id_key("doc_id").alias("id"), "n", "one", "two", F.lit(True).alias("kept")).distinct()
-    whole = packed(docs, id=id_key(doc_id), text=text)
-    own = ["id", "n", "one", "two"]
-    both = _with_prints(whole, k).join(kept, own, "left")
-    nth = F.row_number().over(Window.partitionBy(*own).orderBy(F.lit(0)))
-    return both.withColumn("nth", nth).where("n = 0 or (kept and nth = 1)").select("row.*")
+    """The rows of docs, with all their columns, that are the smallest doc_id of their component, one of each.
+
+    A null id comes last; rows of one id are ordered by their sets and then by a hash of all their columns, so the
+    survivor doesn't depend on partitions. Documents without shingles are alike to nothing and stay."""
+    every = packed(docs, doc_id=doc_id, text=text).withColumn("tie", F.xxhash64("row"))
+    described, found = classes_and_components(every.select("doc_id", "text", "tie"), k, percent)
+    rows = skewed_join(described.where("n > 0").select("doc_id", "n", "one", "two", "tie"), found, ["n", "one", "two"])
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "one", "two", "tie"))
+    kept = written(rows.groupBy("comp").agg(first.alias("b")).select("b.tie", "b.n", "b.one", "b.two").join(rows.groupBy("tie", "n", "one", "two").agg(F.count("*").alias("alike")), ["tie", "n", "one", "two"]))
+    prints = _with_prints(every.select("row", "tie", "text"), k)
+    own = ["tie", "n", "one", "two"]
+    out = prints.join(kept.where("alike = 1").select(*own, F.lit(True).alias("kept")), own, "left").where("n = 0 or kept").select("row")
+    again = kept.where("alike > 1").select(*own)
+    if again.limit(1).count():  # rows that are alike in all columns: any of them is the one
+        out = out.union(prints.join(again, own, "left_semi").groupBy(*own).agg(F.first("row").alias("row")).select("row"))
+    return out.select("row.*")
 
 
 def _with_prints(rows: DataFrame, k: int) -> DataFrame:
-    """rows (row, id, text) with the size and the prints of the text's set in the text's place."""
+    """rows (row, tie, text) with the size and the prints of the text's set in the text's place."""
 
     def run(batches):
         for part, data, offsets in blocks(batches, "text"):
             h, of = _sets(data, offsets, k)
             one, two = _prints(h, of, part.num_rows)
             n = np.bincount(of, minlength=part.num_rows).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), pa.array(n), pa.array(_signed(one)), pa.array(_signed(two))], ["row", "id", "n", "one", "two"])
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("tie"), pa.array(n), pa.array(_signed(one)), pa.array(_signed(two))], ["row", "tie", "n", "one", "two"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], rows.schema["id"], T.StructField("n", T.IntegerType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], rows.schema["tie"], T.StructField("n", T.IntegerType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType())]))

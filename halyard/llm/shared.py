@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
 SEGMENT = 1 << 19
+HEAVY = 2048
 _DOCUMENT = (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"))
 
 
@@ -31,9 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set, as in tests."""
+    """The folder that driver and executors share; a temporary one only where none is set and all run on one machine, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="halyard-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
@@ -74,14 +77,34 @@ def crc_part(column: str, parts: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def skewed_join(left: DataFrame, right: DataFrame, on: list[str], rows: int | None = None) -> DataFrame:
+    """left joined with right, which has each key once, where a few keys may hold most rows of left (a written table).
+
+    Keys that hold more than 1 in HEAVY rows are fewer than HEAVY, so their rows of right are broadcast and the
+    rows of left stay where they are; the other keys meet by a shuffle. rows: how many left has, where that's known."""
+    rows = left.count() if rows is None else rows
+    heavy = F.broadcast(left.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") * HEAVY > rows).select(*on))
+    some = left.join(F.broadcast(right.join(heavy, on, "left_semi")), on)
+    return some.unionByName(left.join(heavy, on, "left_anti").join(right, on))
+
+
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     """The rows of the largest counts, at most `most`, chosen without a sort.
 
     Counts fall into bands of about 1 %; rows of the highest bands that together fit are taken, so
-    no more than `most` rows exist anywhere and tasks send only a row for each band."""
+    no more than `most` rows exist anywhere and tasks send only a row for each band. Where even the highest
+    band doesn't fit, a part of it is taken by a hash of the whole row."""
     band = F.floor(F.log2(F.col(n).cast("double")) * 64)
     total, least = 0, None
     for r in counts.groupBy(band.alias("band")).agg(F.count("*").alias("rows")).orderBy(F.desc("band")).collect():
+        if total + r.rows > most and not total:
+            first = counts.where(band == r.band)
+            part = F.pmod(F.xxhash64(*counts.columns), F.lit(1024))
+            held = 0
+            for x in first.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).orderBy("part").collect():
+                if held + x.rows > most:
+                    return first.where(part < x.part)
+                held += x.rows
         total += r.rows
         if total > most:
             break
