@@ -10,7 +10,7 @@ The rank of a document comes from counts of (source, size, slot), where slot is
 over those counts, which are few, plus a row number within one (source, size, slot). No task holds a source.
 
 Defined results: a null source is a source of its own, the last; a null or empty text has size 0; repeated
-rows are taken each by their own rank; a source without words, and the only source of an empty table, has
+rows are taken each by their own rank (alike rows together as often as they are taken); a source without words, and the only source of an empty table, has
 target 0; the same rows give the same result on every run.
 """
 
@@ -25,6 +25,7 @@ from halyard.llm.shared import WORD, packed, written
 WEIGHTS = (1, 2, 3)
 MOST = 3.0
 SLOTS = 256
+RUN = 1000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -47,12 +48,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: f
     return per.select("_source", "source_size", F.when(free, F.coalesce(common, F.lit(0.0)) * F.col("_w")).otherwise(F.col("_cap")).alias("target"))
 
 
-def copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most: float = MOST, text: str = "text", source: str = "source", doc_id: str = "doc_id", slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, source_size, target and copies (0 to `most`) of each document; the keys only are shuffled."""
+def copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most: float = MOST, text: str = "text", source: str = "source", doc_id: str = "doc_id", slots: int = SLOTS, tie: Column | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target and copies (0 to `most`) of each document; the keys only are shuffled.
+
+    tie: a number that orders rows which agree in doc_id, source and size; it's kept as a column then."""
+    extra = [] if tie is None else [tie.alias("tie")]
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     digest = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).cast("binary"))
     # the texts are read once; all that follows works on keys and sizes
-    keyed = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("_source"), size.alias("size")))
+    keyed = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("_source"), size.alias("size"), *extra))
+    names = ["tie"] if extra else []
     keyed = keyed.withColumn("_digest", digest).withColumn("_slot", F.conv(F.substring("_digest", 1, 4), 16, 10).cast("int") % slots)
     counted = keyed.groupBy("_source", "size", "_slot").agg(F.count("*").alias("_n"))
     targets = source_targets(counted.select("_source", (F.col("size") * F.col("_n")).alias("size")), weights, most)
@@ -67,31 +72,37 @@ def copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = WEIGHT
         .join(targets.withColumnRenamed("_source", "_t"), F.col("_source").eqNullSafe(F.col("_t")))
         .select(F.col("_source").alias("_gs"), F.col("size").alias("_gz"), F.col("_slot").alias("_gk"), (F.col("_below") + F.col("_earlier")).alias("_before"), "source_size", "target", offset.alias("_u"))
     )
-    own = Window.partitionBy("_source", "size", "_slot").orderBy("_digest", "doc_id")
+    own = Window.partitionBy("_source", "size", "_slot").orderBy("_digest", "doc_id", *names)
     ranked = keyed.withColumn("_k", F.row_number().over(own)).join(groups, F.col("_source").eqNullSafe(F.col("_gs")) & (F.col("size") == F.col("_gz")) & (F.col("_slot") == F.col("_gk")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rank = (F.col("_before") + F.col("_k")).cast("double")
     n = F.floor(rate * rank + F.col("_u")) - F.floor(rate * (rank - 1) + F.col("_u"))
-    return ranked.select("doc_id", F.col("_source").alias("source"), "size", "source_size", F.round("target", 6).alias("target"), F.least(n, F.lit(int(most))).cast("long").alias("copies"))
+    return ranked.select("doc_id", F.col("_source").alias("source"), "size", "source_size", F.round("target", 6).alias("target"), F.least(n, F.lit(int(most))).cast("long").alias("copies"), *names)
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """docs with each row as many times as it is taken and its copy number in mix_copy (from 1; a column of that name is replaced).
 
-    Rows are matched by doc_id, source and size; rows alike in all three are interchangeable."""
-
-    def key(column: str) -> Column:  # null is a value of its own
-        return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
-
+    Rows meet their copies by doc_id and a hash of all columns. Rows alike in all columns are interchangeable:
+    one of them stands for all, as often as they are taken together."""
     docs = docs.drop("mix_copy")
-    taken = copies(docs, text=text, source=source, doc_id=doc_id, **how).where("copies > 0")
-    taken = taken.groupBy(key("doc_id").alias("id"), key("source").alias("src"), "size").agg(F.collect_list(F.col("copies").cast("int")).alias("each"))
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = packed(docs, id=key(doc_id), src=key(source), size=size, tie=F.xxhash64(text))
-    own = Window.partitionBy("id", "src", "size").orderBy("tie")
-    both = rows.join(taken, ["id", "src", "size"]).withColumn("nth", F.row_number().over(own))
-    n = F.coalesce(F.get(F.array_sort("each"), F.col("nth") - 1), F.lit(0))
-    return both.where(n > 0).select("row.*", F.explode(F.sequence(F.lit(1), n)).alias("mix_copy"))
+    each = range(1, int(how.get("most", MOST)) + 1)
+    rows = packed(docs, doc_id=doc_id, text=text, source=source).withColumn("tie", F.xxhash64("row"))
+    id_ = F.coalesce(F.concat(F.lit("v"), F.col("doc_id").cast("string")), F.lit("n"))  # null is a value of its own
+    taken = copies(rows, text="text", source="source", doc_id="doc_id", tie=F.col("tie"), **how).groupBy(id_.alias("id"), "tie")
+    taken = written(taken.agg(F.count("*").alias("alike"), *[F.count_if(F.col("copies") == n).alias(f"times_{n}") for n in each]))
+    whole = rows.select("row", id_.alias("id"), "tie")
+    one = sum((F.col(f"times_{n}") * n for n in each), F.lit(0))
+    out = whole.join(taken.where((F.col("alike") == 1) & (one > 0)).select("id", "tie", one.alias("n")), ["id", "tie"]).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("mix_copy"))
+    again = taken.where("alike > 1")
+    if again.limit(1).count():
+        # runs of (first, last) rows that are taken n times each, dealt anew, so that no task emits all of a large group
+        runs = F.concat(*[F.when(F.col(f"times_{n}") > 0, F.transform(F.sequence(F.lit(0).cast("long"), (F.col(f"times_{n}") - 1).cast("long"), F.lit(RUN).cast("long")), lambda x: F.struct(x.alias("at"), F.least(F.col(f"times_{n}") - x, F.lit(RUN)).alias("rows"), F.lit(n).alias("n")))).otherwise(F.array().cast("array<struct<at:bigint,rows:bigint,n:int>>")) for n in each])  # noqa: B023
+        some = whole.join(again.select("id", "tie"), ["id", "tie"], "left_semi").groupBy("id", "tie").agg(F.first("row").alias("row"))
+        some = some.join(again, ["id", "tie"]).select("row", "id", F.explode(runs).alias("run")).repartition("id", "run.at", "run.n")
+        some = some.select("row", "run.n", F.explode(F.sequence(F.lit(1).cast("long"), "run.rows"))).select("row", F.explode(F.sequence(F.lit(1), "n")).alias("mix_copy"))
+        out = out.unionByName(some.withColumn("mix_copy", F.col("mix_copy").cast("long")))
+    return out.select("row.*", F.col("mix_copy").cast("int").alias("mix_copy"))
 
 
 OP9_SQL = """
