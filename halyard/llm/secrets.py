@@ -8,10 +8,12 @@
    is run over every text.
 
 The lists of postings are bounded by documents times the rules' trigrams, and are reduced to one bit mask for
-(document, clause) before they are shuffled, so a trigram that all documents hold burdens no task.
+(document, clause) before they are shuffled, so a trigram that all documents hold burdens no task. Texts stay where
+they are, but for those that hold the two rarest trigrams of a clause: only they are shuffled to meet their
+candidate rules, by a hash of doc_id and text (equal hashes only add rules to verify).
 
-Defined results: a null text counts as empty; an empty one has no span; rows with the same doc_id share
-share their candidate rules and are verified each for itself; offsets count code points, ends are exclusive.
+Defined results: a null text counts as empty; an empty one has no span; rows that repeat, or whose doc_id does
+or is null, are verified each for itself; offsets count code points, ends are exclusive.
 A private key's span goes from BEGIN through the next END line; without one, through the base64 lines that
 follow, if any. A login's password has any length and all characters but white space, controls and / ? # " < >,
 which end a URL's authority or the URL.
@@ -22,7 +24,7 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halyard.llm.shared import packed
@@ -40,7 +42,7 @@ class Rule(NamedTuple):
     least: int
 
 
-_LABEL = r"[A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+_LABEL = r"[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
 #: To the END line, over no other run of five dashes. Loops over groups have a bound, since Java's recur.
 _TO_END = rf"[^-]*(?:-{{1,4}}[^-]+){{0,240}}-{{5,}}END {_LABEL}"
 _GAP = r"""[\x20\t\r\n\\>#|*"',-]+"""
@@ -60,10 +62,12 @@ ADDED = (
     Rule("github", r"gh[opsur]_[A-Za-z0-9]{36,}", 0, 40),
     Rule("slack", r"xox[abeprs]-[A-Za-z0-9-]{10,}", 0, 15),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
-    Rule("url_login", r"""[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._%-]{1,64}:[^\x00-\x20/?#"<>]{3,}@[A-Za-z0-9.-]{3,}""", 0, 12),
+    Rule("url_login", r"""[a-z][a-z0-9+.-]{1,20}://[A-Za-z0-9._%-]+:[^\x00-\x20/?#"<>]{3,}@[A-Za-z0-9.-]{3,}""", 0, 12),
 )
 RULES = BASE + ADDED
 _WIDEST = 64
+#: Letters, the most usual first; other characters are rarer.
+_USUAL = "etaoinsrhldcumfpgwybvkxjqz"
 
 
 def trigram_query(pattern: str) -> list[frozenset[str]]:
@@ -126,13 +130,14 @@ def trigram_index(docs: DataFrame, grams: list[str], doc_id: str = "doc_id", tex
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """(doc_id, kinds): the rules of which a document's postings meet a clause."""
-    spark: SparkSession = index.sparkSession
     rows = []
     for rule in rules:
         for n, clause in enumerate(trigram_query(rule.pattern)):
             for bit, gram in enumerate(sorted(clause)):
                 rows.append((rule.kind, n, gram, 1 << bit, (1 << len(clause)) - 1))
-    clauses = spark.createDataFrame(rows, "kind string, clause int, gram string, bit long, every long")  # a few rows a rule
+    names = ("kind", "clause", "gram", "bit", "every")
+    each = F.array(*[F.struct(*[F.lit(x).cast("long" if name in ("bit", "every") else "string" if name in ("kind", "gram") else "int").alias(name) for x, name in zip(row, names, strict=True)]) for row in rows])
+    clauses = index.sparkSession.range(1).select(F.inline(each))  # a few rows a rule
     met = index.join(F.broadcast(clauses), "gram").groupBy("doc_id", "kind", "clause", "every").agg(F.bit_or("bit").alias("has")).where("has = every")
     return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
@@ -155,16 +160,34 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), step)["out"]
 
 
+def _rarest(clause: frozenset[str], n: int = 2) -> list[str]:
+    """The n trigrams of a clause that prose is least likely to hold, by the usual order of letters."""
+    return sorted(clause, key=lambda g: (-sum(_USUAL.find(c) % (len(_USUAL) + 1) for c in g), g))[:n]
+
+
 def _found(docs: DataFrame, rules: tuple[Rule, ...], doc_id: str, text: str) -> DataFrame:
     """row (all columns of docs as one, so that no name clashes), text and spans."""
-    rows = packed(docs, doc_id=doc_id, text=text)
-    indexed = [r for r in rules if trigram_query(r.pattern)]
-    grams = sorted({g for r in indexed for c in trigram_query(r.pattern) for g in c})
+    rows = packed(docs, doc_id=doc_id, text=text).withColumn("key", F.xxhash64("doc_id", "text"))
+    queries = {r.kind: trigram_query(r.pattern) for r in rules}
+    indexed = [r for r in rules if queries[r.kind]]
+    grams = sorted({g for r in indexed for c in queries[r.kind] for g in c})
+    none = F.array().cast("array<string>")
     if indexed:
-        some = candidates(trigram_index(rows, grams), rules).withColumnRenamed("doc_id", "of")
-        rows = rows.join(some.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
+        some = candidates(trigram_index(rows, grams, "key"), rules).withColumnRenamed("doc_id", "key")
+
+        def holds(low):
+            test = F.lit(False)
+            for pair in sorted({tuple(_rarest(c)) for r in indexed for c in queries[r.kind]}):
+                both = F.lit(True)
+                for g in pair:
+                    both &= F.contains(low, F.lit(g))
+                test |= both
+            return test
+
+        maybe = F.get(F.transform(F.array(F.lower(F.coalesce(F.col("text"), F.lit("")))), holds), F.lit(0))
+        rows = rows.where(maybe).join(some, "key", "left").select("row", "text", "kinds").union(rows.where(~maybe).select("row", "text", none.alias("kinds")))
     else:
-        rows = rows.withColumn("kinds", F.array().cast("array<string>"))
+        rows = rows.withColumn("kinds", none)
     whole = F.coalesce(F.col("text"), F.lit(""))
     each = []
     for place, rule in enumerate(rules):
