@@ -30,7 +30,7 @@ def texts():
 
 def edits_of(item: str, text: str) -> int:
     """Fewest edits of the item in any stretch of the text, by the full table."""
-    norm = lambda s: re.sub(r"[\x09-\x0d]", " ", lower(s))
+    norm = lambda s: re.sub(r"[\x09-\x0d]", " ", "".join(c.lower() if len(c.lower()) == 1 else c for c in s))
     item, text = norm(item), norm(text)
     row = [0] * (len(text) + 1)
     for i, a in enumerate(item, 1):
@@ -42,10 +42,10 @@ def edits_of(item: str, text: str) -> int:
 
 def test_leaks_equal_the_full_alignment(spark):
     rng = random.Random(2)
-    items = [prose(rng, n) for n in (4, 8, 12, 20)]
+    items = [prose(rng, n) for n in (4, 8, 12, 20)] + [(prose(rng, 30) + "éÖß")[:n] for n in (2, 5, 7, 8, 9, 10, 13, 14, 15, 19, 20, 22, 23, 29, 30, 31, 40, 60)]
     docs = []
-    for k in range(60):
-        item = items[k % 4]
+    for k in range(110):
+        item = items[k % len(items)]
         chars = list(item)
         for _ in range(rng.randint(0, len(item) // 7)):
             at = rng.randrange(len(chars))
@@ -59,13 +59,13 @@ def test_leaks_equal_the_full_alignment(spark):
     for k, text in docs:
         for j, item in enumerate(items):
             e = edits_of(item, text)
-            budget = min(int(len(item) * decontaminate.EDITS), (len(item) - decontaminate.Q) // decontaminate.Q)
+            budget = int(0.1 * len(item))
             assert ((k, j) in got) == (e <= budget), (k, j, e, budget)
             if (k, j) in got:
                 hit += 1
                 m = got[k, j]
                 assert m.edits == e and edits_of(item, text[m.start : m.end]) == e
-    assert 10 < hit < len(docs)
+    assert 60 < hit
     parts = {(r.doc_id, m.item_id) for r in decontaminate.leaks(table, bench, block_chars=100).collect() for m in r.matches}
     assert parts == {*got}
     left = {r.doc_id for r in decontaminate.clean(table, bench, block_chars=100).collect()}
@@ -92,7 +92,7 @@ def test_rows_keep_their_own_matches_in_blocks_of_items(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     whole = Counter((r.doc_id, tuple(map(tuple, r.matches))) for r in decontaminate.leaks(table, bench).collect())
     parts = Counter((r.doc_id, tuple(map(tuple, r.matches))) for r in decontaminate.leaks(table, bench, block_chars=100).collect())
-    assert len(list(decontaminate.item_blocks(bench, 100))) > 1
+    assert decontaminate.item_blocks(bench, 100)[0] > 1
     assert parts == whole and sum(parts.values()) == len(docs)
     assert sorted((d or -1, sorted({m[0] for m in ms})) for d, ms in parts.elements()) == [(-1, []), (-1, [0, 3]), (-1, [2]), (1, []), (1, [0]), (1, [1]), (2, [4]), (2, [4])]
 
@@ -610,6 +610,7 @@ def test_no_key_material_is_left(spark):
         f"{begin}\n{body}\n\n{begin}\n{body}\n{end}\n",
     ]
     rows = [(k, f"Before. {x}{prose_after}") for k, x in enumerate(cases)] + [(90, f"{begin}\n{body}"), (91, f"{begin}\nNote: no key here.\n{prose_after}"), (92, begin + ("\n" + lines[0]) * 450)]
+    rows.append((93, f"a ftp://{'u' * 65}:{'p' * 5000}@h.test b"))
     logins = ["pa$$w&rd*+x", "x" * 300, "p@ss:word", "a!b%20c", "ünï{}|~^"]
     rows += [(100 + k, f"see https://me:{p}@host.test/x?y=1 now") for k, p in enumerate(logins)] + [(120, "at http://host:8080/a?b=c@d.test or http://host:80#me@d.test")]
     cut = {r.doc_id: r.text for r in secrets.redacted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -617,12 +618,27 @@ def test_no_key_material_is_left(spark):
         assert not any(x in cut[k] for x in lines) and "END" not in cut[k] and "[private_key]" in cut[k], (k, cut[k])
     for k in range(len(cases)):
         assert cut[k].startswith(("Before. ", "Before. {")) and cut[k].endswith(prose_after), (k, cut[k])
+    assert cut[93] == "a [url_login] b"
     assert cut[91] == f"[private_key]\nNote: no key here.\n{prose_after}"
     for k in range(len(logins)):
         assert cut[100 + k] == "see [url_login]/x?y=1 now"
     assert cut[120] == dict(rows)[120]
 
 
+def test_rows_without_an_id_are_told_apart(spark):
+    rows = [(None, "token = abcdef1"), (None, "nothing"), (None, "AKIA" + "A" * 16), (1, "token = abcdef1"), (1, "a b"), (1, "token = abcdef1")]
+    got = secrets.digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r.doc_id, r.spans) for r in got) == Counter((d, plain_secrets(t)) for d, t in rows)
+
+
+def test_texts_stay_where_they_are(spark):
+    rows = [(k, "nothing of note " * 50) for k in range(200)] + [(900, "token = abcdef1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plan = secrets.digest(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Union") == 1 and "shuffle_hash" not in plan.lower()
+    assert secrets.digest(df).where("spans <> ''").count() == 1
+
+
 def test_keys_and_logins_equal_the_sql(spark, tmp_path):
     import duckdb
 
