@@ -1,15 +1,21 @@
 """License scans, in DataFrame operations only.
 
-Each segment (line or sentence) of a whole text that names a licence at all is compared with templates by the
-cosine of sparse TF-IDF vectors, a join of the segment's terms with the templates' postings. A file whose
-words are mostly licence, or whose name says so, is a licence file of its directory. A file without a header
-of its own takes the licence of the nearest directory above it, by a join on paths.
+Units of a whole text are compared with templates (notices, headers, licence texts, SPDX tags) by the cosine of
+sparse TF-IDF vectors, a join of a unit's terms with the templates' postings. Units are lines or sentences, and
+blocks of adjacent lines: a wrapped header, or a licence file that is one block. A file whose words are mostly licence, or
+whose name says so, is a licence file of its directory. A file without a header of its own takes the licence of
+the nearest directory above it, by a join on paths.
 
-Ancestors are made for distinct directories, not for files, so a directory with most files costs one row.
-The templates are a short list of the caller's, and only they are broadcast.
+Only units that hold a telling term are joined. That loses none: for each template the terms that aren't
+telling have less than least^2 of its unit vector's square, so a cosine without a telling term stays below least.
+
+The texts are read once; what follows works on a written table of rows with their telling units. Ancestors are
+made for distinct directories, not for files, so a directory with most files costs one row. The templates are
+a short list of the caller's, and only they are broadcast.
 
 Defined results: a null or empty text has no licence of its own; a null path has no directory, so nothing is
-inherited; among equal scores the first licence name wins; rows with the same doc_id share what either has.
+inherited; among equal scores the first licence name wins; each row is scanned for itself, also where its
+doc_id is null or repeats.
 """
 
 from __future__ import annotations
@@ -17,9 +23,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from halyard.llm.shared import skewed_join, written
+
 #: Licence names and the words of their usual notices.
 TEMPLATES = (
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
@@ -35,10 +43,18 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
+    # usual file headers and texts
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    *((name, f"SPDX-License-Identifier: {tag}") for name, tag in (("AGPL-3.0", "AGPL-3.0-only"), ("Apache-2.0", "Apache-2.0"), ("BSD-3-Clause", "BSD-3-Clause"), ("CC0-1.0", "CC0-1.0"), ("GPL-3.0", "GPL-3.0-or-later"), ("GPL-3.0", "GPL-3.0-only"), ("MIT", "MIT"), ("MPL-2.0", "MPL-2.0"))),
 )
 NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
-TRIGGER = "licens|licenc|copyright|rights reserved|permission is hereby|redistribution and use|creative commons|public domain"
 SEGMENT = r"\n|(?<=[.!?|])\x20"
+#: Between blocks of adjacent lines: a line without terms of its own, as comment marks are.
+BLOCK = r"\n[^a-z0-9\n]*\n"
 TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 LEAST = 0.6
 MOSTLY = 0.5
@@ -62,20 +78,57 @@ def _inline(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> D
     return spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows])))
 
 
-def headers(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, license, score and words of each segment that matches a template."""
+def telling(templates=TEMPLATES, least: float = LEAST) -> list[str]:
+    """Terms of which a unit that reaches `least` holds at least one: of each template, those left when its
+    lightest terms, less than least^2 together, are taken away."""
+    by_template: dict[int, list[tuple[float, str]]] = {}
+    for k, _, term, w, _ in _weights(templates)[0]:
+        by_template.setdefault(k, []).append((w, term))
+    out = set()
+    for terms in by_template.values():
+        rest = (least - 2e-6) ** 2
+        for w, term in sorted(terms):
+            rest -= w * w
+            if rest <= 0:
+                out.add(term)
+    return sorted(out)
+
+
+def _units(docs: DataFrame, path: Column, templates, least: float, doc_id: str, text: str) -> DataFrame:
+    """key, doc_id, path, _size (terms of the text) and units (kind, line) with a telling term of each row, as a table."""
+    some = telling(templates, least)
+
+    def tells(terms):
+        return F.exists(terms, lambda t: t.isin(some))
+
+    def units(low):
+        def of(kind: int, pattern: str):
+            return F.transform(F.filter(F.split(low, pattern), lambda u: tells(F.regexp_extract_all(u, F.lit(TERM), 0))), lambda u: F.struct(F.lit(kind).alias("kind"), u.alias("line")))
+
+        return F.concat(of(0, SEGMENT), of(1, BLOCK))
+
+    def described(low):
+        return F.transform(F.array(F.regexp_extract_all(low, F.lit(TERM), 0)), lambda terms: F.struct(F.size(terms).alias("size"), F.when(tells(terms), units(low)).otherwise(F.array().cast("array<struct<kind:int,line:string>>")).alias("units")))
+
+    # each is bound once as a variable: the text is made lower case and cut into terms once
+    found = F.get(F.flatten(F.transform(F.array(F.lower(F.coalesce(F.col(text), F.lit("")))), described)), F.lit(0))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), path.alias("path"), found.alias("x"))
+    return written(rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", "path", F.col("x.size").alias("_size"), F.col("x.units").alias("units")))
+
+
+def headers(units: DataFrame, templates=TEMPLATES, least: float = LEAST) -> DataFrame:
+    """key, seg, kind, license, score and words of each unit that matches a template, from rows (key, units)."""
     postings, unknown = _weights(templates)
-    spark = docs.sparkSession
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.filter(F.split(F.lower(F.col(text)), SEGMENT), lambda s: F.rlike(s, F.lit(TRIGGER)))).alias("seg", "line"))
-    terms = lines.select("doc_id", "seg", F.explode(F.regexp_extract_all("line", F.lit(TERM), 0)).alias("term")).groupBy("doc_id", "seg", "term").agg(F.count("*").alias("tf"))
+    spark = units.sparkSession
+    lines = units.select("key", F.posexplode("units").alias("seg", "u")).select("key", "seg", F.col("u.kind").alias("kind"), F.col("u.line").alias("line"))
+    terms = lines.select("key", "seg", "kind", F.explode(F.regexp_extract_all("line", F.lit(TERM), 0)).alias("term")).groupBy("key", "seg", "kind", "term").agg(F.count("*").alias("tf"))
     vocabulary = _inline(spark, sorted({(t, i) for *_, t, _, i in postings}), ("term", "idf"))
     weights = _inline(spark, [(k, name, t, w) for k, name, t, w, _ in postings], ("template", "license", "term", "w"))
-    valued = terms.join(F.broadcast(vocabulary), "term", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norms = valued.groupBy("doc_id", "seg").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), F.sum("tf").alias("words"))
-    dots = valued.join(F.broadcast(weights), "term").groupBy("doc_id", "seg", "template", "license").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
-    norms = norms.select(F.col("doc_id").alias("_d"), F.col("seg").alias("_s"), "norm", "words")
-    close = dots.join(norms, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("seg") == F.col("_s"))).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= least)
-    return close.groupBy("doc_id", "seg").agg(F.min(F.struct((-F.col("score")).alias("low"), "license", "words")).alias("best")).select("doc_id", F.col("best.license").alias("license"), (-F.col("best.low")).alias("score"), F.col("best.words").alias("words"))
+    valued = written(terms.join(F.broadcast(vocabulary), "term", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
+    norms = valued.groupBy("key", "seg", "kind").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), F.sum("tf").alias("words"))
+    dots = valued.join(F.broadcast(weights), "term").groupBy("key", "seg", "template", "license").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
+    close = dots.join(norms, ["key", "seg"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= least)
+    return close.groupBy("key", "seg", "kind").agg(F.min(F.struct((-F.col("score")).alias("low"), "license", "words")).alias("best")).select("key", "seg", "kind", F.col("best.license").alias("license"), (-F.col("best.low")).alias("score"), F.col("best.words").alias("words"))
 
 
 def _parent(path: Column) -> Column:
@@ -84,18 +137,18 @@ def _parent(path: Column) -> Column:
 
 def scanned(docs: DataFrame, path: Column, templates=TEMPLATES, least: float = LEAST, mostly: float = MOSTLY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, path, license, origin ("own", "inherited" or null), score and licensed_by, the directory it comes from."""
-    own = headers(docs, templates, least, doc_id, text).groupBy("doc_id").agg(F.min(F.struct((-F.col("score")).alias("low"), "license")).alias("best"), F.sum("words").alias("covered"))
-    own = own.select(F.col("doc_id").alias("_id"), F.col("best.license").alias("_license"), (-F.col("best.low")).alias("_score"), "covered")
-    size = F.regexp_count(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM))
-    files = docs.select(F.col(doc_id).alias("doc_id"), path.alias("path"), size.alias("_size")).withColumn("_dir", _parent(F.col("path")))
-    files = files.join(own, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    units = _units(docs, path, templates, least, doc_id, text)
+    own = headers(units, templates, least).groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("low"), "license")).alias("best"), F.greatest(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("words"))), F.lit(0)) for k in (0, 1)]).alias("covered"))
+    own = own.select("key", F.col("best.license").alias("_license"), (-F.col("best.low")).alias("_score"), "covered")
+    files = written(units.select("key", "doc_id", "path", "_size").withColumn("_dir", _parent(F.col("path"))).join(own, "key", "left"))
     rules = files.where(F.col("_license").isNotNull() & (F.rlike("path", F.lit(NAMES)) | (F.col("covered") >= F.col("_size") * mostly))).groupBy("_dir").agg(F.min(F.struct((-F.col("_score")).alias("low"), F.col("_license").alias("license"))).alias("rule")).where("_dir is not null")
     steps = F.split(F.col("_dir"), "/")
     above = files.select("_dir").where("_dir is not null").distinct()
     above = above.select(F.col("_dir").alias("of"), F.explode(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/")))).alias("_dir")).distinct()
     nearest = above.join(rules, "_dir").groupBy("of").agg(F.max(F.struct(F.length("_dir").alias("deep"), F.col("_dir").alias("by"), F.col("rule.license").alias("license"))).alias("near"))
     near = nearest.select(F.col("of").alias("_dir"), "near")
-    found = files.join(near, "_dir", "left")
+    # a directory may hold most files: such ones meet their licence by a bounded broadcast
+    found = skewed_join(files, near, ["_dir"]).select(*files.columns, "near").unionByName(files.join(near.select("_dir"), "_dir", "left_anti").select(*files.columns, F.lit(None).cast(near.schema["near"].dataType).alias("near")))
     mine = F.col("_license").isNotNull()
     return found.select(
         "doc_id",
@@ -119,17 +172,18 @@ def _sql() -> str:
     idf = ", ".join(f"({q(t)}, {i!r}::DOUBLE)" for t, i in sorted({(t, i) for *_, t, _, i in postings}))
     return f"""
 WITH w(template, license, term, w) AS (VALUES {weights}), idf(term, idf) AS (VALUES {idf}),
-d AS (SELECT doc_id, lower(text) AS t, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir, coalesce(doc_id::VARCHAR, '-') AS name FROM documents),
-lines AS (SELECT doc_id, unnest(list_filter(string_split_regex(regexp_replace(t, '([.!?|]) ', '\\1' || chr(10), 'g'), chr(10)), lambda s: regexp_matches(s, '{TRIGGER}'))) AS line FROM d),
-num AS (SELECT doc_id, row_number() OVER () AS seg, line FROM lines),
-terms AS (SELECT doc_id, seg, term, count(*) AS tf FROM (SELECT doc_id, seg, unnest(regexp_extract_all(line, '{TERM}')) AS term FROM num) GROUP BY ALL),
-val AS (SELECT doc_id, seg, terms.term, tf, tf * coalesce(idf, {unknown!r}::DOUBLE) AS v FROM terms LEFT JOIN idf ON terms.term = idf.term),
+d AS (SELECT row_number() OVER () AS key, doc_id, lower(text) AS t, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir, coalesce(doc_id::VARCHAR, '-') AS name FROM documents),
+lines AS (SELECT key, 0 AS kind, unnest(string_split_regex(regexp_replace(t, '([.!?|]) ', '\\1' || chr(10), 'g'), chr(10))) AS line FROM d
+  UNION ALL SELECT key, 1, unnest(string_split_regex(t, '\\n[^a-z0-9\\n]*\\n')) FROM d),
+num AS (SELECT key, kind, row_number() OVER () AS seg, line FROM lines),
+terms AS (SELECT key, kind, seg, term, count(*) AS tf FROM (SELECT key, kind, seg, unnest(regexp_extract_all(line, '{TERM}')) AS term FROM num) GROUP BY ALL),
+val AS (SELECT key, kind, seg, terms.term, tf, tf * coalesce(idf, {unknown!r}::DOUBLE) AS v FROM terms LEFT JOIN idf ON terms.term = idf.term),
 norms AS (SELECT seg, sqrt(sum(v * v)) AS norm, sum(tf) AS words FROM val GROUP BY seg),
-dots AS (SELECT doc_id, seg, template, license, sum(v * w) AS dot FROM val JOIN w ON val.term = w.term GROUP BY ALL),
-sc AS (SELECT doc_id, dots.seg, license, words, round(dot / norm, 6) AS score FROM dots JOIN norms ON dots.seg = norms.seg WHERE round(dot / norm, 6) >= {LEAST}),
+dots AS (SELECT key, kind, seg, template, license, sum(v * w) AS dot FROM val JOIN w ON val.term = w.term GROUP BY ALL),
+sc AS (SELECT key, kind, dots.seg, license, words, round(dot / norm, 6) AS score FROM dots JOIN norms ON dots.seg = norms.seg WHERE round(dot / norm, 6) >= {LEAST}),
 seg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY score DESC, license) AS n FROM sc) WHERE n = 1),
-own AS (SELECT * FROM (SELECT doc_id, license, score, sum(words) OVER (PARTITION BY doc_id) AS covered, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) AS n FROM seg) WHERE n = 1),
-files AS (SELECT d.doc_id, dir, dir || '/' || name AS path, len(regexp_extract_all(coalesce(t, ''), '{TERM}')) AS size, license, score, covered FROM d LEFT JOIN own ON d.doc_id IS NOT DISTINCT FROM own.doc_id),
+own AS (SELECT * FROM (SELECT key, license, score, greatest(sum(words) FILTER (WHERE kind = 0) OVER per, sum(words) FILTER (WHERE kind = 1) OVER per) AS covered, row_number() OVER (PARTITION BY key ORDER BY score DESC, license) AS n FROM seg WINDOW per AS (PARTITION BY key)) WHERE n = 1),
+files AS (SELECT d.doc_id, dir, dir || '/' || name AS path, len(regexp_extract_all(coalesce(t, ''), '{TERM}')) AS size, license, score, covered FROM d LEFT JOIN own ON d.key = own.key),
 rules AS (SELECT dir, license FROM (SELECT dir, license, row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) AS n FROM files WHERE license IS NOT NULL AND covered >= size * {MOSTLY}) WHERE n = 1),
 near AS (SELECT f.dir, r.license, r.dir AS by_dir, row_number() OVER (PARTITION BY f.dir ORDER BY length(r.dir) DESC) AS n FROM (SELECT DISTINCT dir FROM files) f JOIN rules r ON f.dir = r.dir OR starts_with(f.dir, r.dir || '/'))
 SELECT files.doc_id, path, coalesce(files.license, near.license) AS license,
