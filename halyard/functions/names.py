@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import subprocess
 from datetime import UTC, datetime
 
 from pyspark.sql import Column
@@ -17,8 +18,8 @@ def trip_id_of(name: Column) -> Column:
     return F.regexp_replace(name, r"(?s)^.*_([0-9]+)\.parquet$", "$1")
 
 
-def track_file_of(trip: Column, prefix: str) -> Column:
-    return F.format_string(f"{prefix.replace('%', '%%')}_%s.parquet", trip.cast("string"))
+def track_file(prefix: str, trip) -> str:
+    return f"{prefix}_{trip}.parquet"
 
 
 def parts_of(name: Column) -> tuple[Column, Column, Column]:
@@ -37,9 +38,19 @@ def _short(commit: str | None, length: int) -> str:
     return (commit or "")[:length]
 
 
+def commit_id() -> str:
+    """COMMIT_SHA of the environment, else the commit of the working folder, else GITHUB_SHA, else nothing."""
+    if given := os.environ.get("COMMIT_SHA"):
+        return given
+    try:
+        return subprocess.run(["git", "rev-parse", "HEAD"], capture_output=True, text=True, check=True, timeout=10).stdout.strip()
+    except (OSError, subprocess.SubprocessError):
+        return os.environ.get("GITHUB_SHA", "")
+
+
 def versioned(filename: str, extension: str = "", commit: str | None = None, length: int = 7, now: datetime | None = None, separator: str = SEPARATOR) -> str:
-    """filename, the time and the commit (COMMIT_SHA of the environment if there is none), and the extension."""
-    commit = _short(os.environ.get("COMMIT_SHA") if commit is None else commit, length)
+    """filename, the time and the commit (commit_id() if none is given), and the extension."""
+    commit = _short(commit_id() if commit is None else commit, length)
     version = "_".join(x for x in ((now or datetime.now(UTC)).strftime(STAMP), commit) if x)
     return f"{filename}{separator}{version}{separator}{_dotted(extension)}"
 

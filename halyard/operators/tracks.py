@@ -10,12 +10,14 @@ from halyard.schemas import require
 
 #: Cell size in metres and its degrees.
 GRID_DEGREES = {100: 0.001, 250: 0.0025, 500: 0.005, 1000: 0.01}
+#: What a table of points must have; the heading is not read.
+REQUIRED = ("Trip", "Time", "Lat", "Lng", "Speed (M/S)", "Range (Meters)", "Heading")
 COLUMNS = ("Trip", "Time", "Lat", "Lng", "Speed (M/S)", "Range (Meters)")
 
 
 def degrees(grid_size: int) -> float:
     if grid_size not in GRID_DEGREES:
-        raise ValueError("grid_size must be one of: 100, 250, 500, 1000")
+        raise ValueError(f"no cells of {grid_size} m; there are: {', '.join(map(str, GRID_DEGREES))}")
     return GRID_DEGREES[grid_size]
 
 
@@ -31,7 +33,7 @@ def point_gaps(points: DataFrame) -> DataFrame:
 def cells(points: DataFrame, grid_size: int = 500) -> DataFrame:
     """One row for each cell of a trip in which time was spent."""
     step = degrees(grid_size)
-    require(points, *COLUMNS)
+    require(points, *REQUIRED)
     if "seq" not in points.columns:
         points = points.withColumn("seq", F.lit(0))
     at = point_gaps(points.select(*[F.col(f"`{c}`") for c in COLUMNS], "seq")).withColumns({"lat_grid": snap(F.col("Lat"), step), "lng_grid": snap(F.col("Lng"), step)})

@@ -5,12 +5,14 @@ Settings as in conf.toml. Each takes the session and settings; what a run does d
 from __future__ import annotations
 
 import logging
+import uuid
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from halyard.functions.names import track_file
 from halyard.operators import incremental
 from halyard.operators.catalog import trip_ids
 from halyard.operators.metrics import in_usd, unite
@@ -39,7 +41,9 @@ def ingest_trips(spark: SparkSession, conf: dict, today: date | None = None, now
 def ingest_tracks(spark: SparkSession, conf: dict, batch_size: int | None = None) -> DataFrame:
     """Points of trips that aren't stored yet, one object a trip; status, trip_id and message of each.
 
-    A trip that fails is a row with the error; the others are stored all the same."""
+    A trip that fails is a row with the error; the others are stored all the same, also those without points, which
+    so aren't asked for again. Answers are written once as they came, and all that follows reads that table: no lost
+    executor makes a request again whose first answer is in use."""
     http.register(spark)
     api, root, prefix = conf["api"], conf["storage"]["tracks_root"], conf["tracks"]["prefix"]
     trips = store.read_latest(spark, conf["storage"]["root"], conf["trips"]["prefix"], conf["trips"]["version"])
@@ -47,20 +51,26 @@ def ingest_tracks(spark: SparkSession, conf: dict, batch_size: int | None = None
         raise ValueError("no trips are stored")
     have = trip_ids(store.list_objects(spark, root, f"{prefix}_")).select("trip_id")
     fresh = incremental.new_ids(trips.select(F.col("Trip").cast("string").alias("trip_id")), have).where("trip_id is not null")
-    todo = [r.trip_id for r in incremental.batch(fresh.select(F.col("trip_id").cast("bigint").alias("trip_id")), batch_size).collect()]
-    log.info("%d new tracks", len(todo))
-    results = spark.createDataFrame([], RESULTS)
+    todo = incremental.batch(fresh.select(F.col("trip_id").cast("bigint").alias("trip_id")), batch_size)
     with_error = T.StructType([*POINTS.fields, T.StructField("_error", T.StringType())])
-    for k in range(0, len(todo), IDS_AT_ONCE):
-        ids = todo[k : k + IDS_AT_ONCE]
-        got = spark.read.format("trip_points").schema(with_error).options(base_url=api["base_url"], token=api["token"], secret=api["secret"], ids=",".join(map(str, ids)), deviceInfo="true", on_error="row").load().persist()
-        staged = f"{root}/.staged-{k}"
-        got.where("_error is null").drop("_error").withColumn("_of", F.col("Trip")).write.mode("overwrite").option("compression", store.COMPRESSION).partitionBy("_of").parquet(staged)
-        _name_by_trip(spark, staged, root, prefix)
-        failed = got.where("_error is not null").select(F.lit("error").alias("status"), F.col("Trip").alias("trip_id"), F.col("_error").alias("message")).collect()
-        got.unpersist()
-        bad = {r.trip_id for r in failed}
-        results = results.union(spark.createDataFrame([tuple(r) for r in failed] + [("success", i, "Successfully processed") for i in ids if i not in bad], RESULTS))
+    run, last = f"{root}/.run-{uuid.uuid4().hex}", None
+    while ids := [r.trip_id for r in (todo if last is None else todo.where(F.col("trip_id") > last)).orderBy("trip_id").limit(IDS_AT_ONCE).collect()]:
+        last = ids[-1]
+        log.info("%d new tracks", len(ids))
+        got = spark.read.format("trip_points").schema(with_error).options(base_url=api["base_url"], token=api["token"], secret=api["secret"], ids=",".join(map(str, ids)), deviceInfo="true", on_error="row").load()
+        got.write.mode("overwrite").parquet(f"{run}/answers")
+        got = spark.read.schema(with_error).parquet(f"{run}/answers")
+        points = got.where("_error is null").drop("_error").withColumn("_of", F.col("Trip"))
+        points.write.mode("overwrite").option("compression", store.COMPRESSION).partitionBy("_of").parquet(f"{run}/points")
+        _name_by_trip(spark, f"{run}/points", root, prefix)
+        marks = got.where("_error is not null").select("Trip", "_error").collect()  # a row an id of this request list
+        _store_empty(spark, f"{run}/empty", root, prefix, [r.Trip for r in marks if not r["_error"]])
+        failed = {r.Trip: r["_error"] for r in marks if r["_error"]}
+        results = [("error", i, failed[i]) if i in failed else ("success", i, "Successfully processed") for i in ids]
+        spark.createDataFrame(results, RESULTS).coalesce(1).write.mode("append").parquet(f"{run}-results")
+    fs, at = store._fs(spark, run)
+    fs.delete(at, True)
+    results = spark.read.schema(RESULTS).parquet(f"{run}-results") if last is not None else spark.createDataFrame([], RESULTS)
     counts = incremental.status_summary(results).first()
     log.info("%d tracks stored, %d failed", counts.successes, counts.failures)
     return results
@@ -71,8 +81,17 @@ def _name_by_trip(spark: SparkSession, staged: str, root: str, prefix: str) -> N
     fs, at = store._fs(spark, staged)
     path = spark._jvm.org.apache.hadoop.fs.Path
     for s in fs.globStatus(path(at, "_of=*")) or []:
-        fs.rename(s.getPath(), path(root, f"{prefix}_{s.getPath().getName().removeprefix("_of=")}.parquet"))
-    fs.delete(at, True)
+        fs.rename(s.getPath(), path(root, track_file(prefix, s.getPath().getName().removeprefix("_of="))))
+
+
+def _store_empty(spark: SparkSession, staged: str, root: str, prefix: str, ids: list[int]) -> None:
+    """An object without rows for each id."""
+    if not ids:
+        return
+    spark.createDataFrame([], POINTS).coalesce(1).write.mode("overwrite").option("compression", store.COMPRESSION).parquet(staged)
+    fs, at = store._fs(spark, staged)
+    for i in ids:
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at, fs, spark._jvm.org.apache.hadoop.fs.Path(root, track_file(prefix, i)), False, spark._jsc.hadoopConfiguration())
 
 
 def preprocess_tracks(spark: SparkSession, conf: dict, grid_size: int | None = None, now: datetime | None = None) -> tuple[str, str] | None:

@@ -4,7 +4,9 @@
 
 Points come by trip id, one partition an id, or by a range of dates, one partition a day. Trips come by a range
 of dates in one request; equality and IN predicates on IMEI join the request's device list. A status other than 200 fails the task, unless
-on_error is "row" (points by id only): then the id comes back as one row with its message in _error.
+on_error is "row" (points by id only): then the id comes back as one row with its message in _error, and an
+answer without points as one row with an empty _error. A body is parsed whole before its first row is given, so
+an answer comes in full or not at all.
 """
 
 from __future__ import annotations
@@ -105,12 +107,16 @@ class _Reader(DataSourceReader):
     def read(self, piece: _Piece):
         url = request_url(self.options["base_url"], self.options["token"], piece.path, self.options)
         try:
-            yield from parse(fetch(url, self.options["secret"]), self.schema)
+            rows = list(parse(fetch(url, self.options["secret"]), self.schema))
+            message = "" if not rows else None
         except Exception as e:
             if self.options.get("on_error") != "row" or piece.trip is None:
                 raise
-            error = {"Trip": piece.trip, "_error": str(e)}
-            yield tuple(_value(error.get(f.name), f.dataType) for f in self.schema.fields)
+            rows, message = [], str(e) or type(e).__name__
+        yield from rows
+        if message is not None and self.options.get("on_error") == "row" and piece.trip is not None:
+            mark = {"Trip": piece.trip}
+            yield tuple(message if f.name == "_error" else _value(mark.get(f.name), f.dataType) for f in self.schema.fields)
 
 
 class _TripsReader(_Reader):

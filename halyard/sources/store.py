@@ -18,6 +18,31 @@ log = logging.getLogger("halyard")
 COMPRESSION = "lz4_raw"
 
 
+#: Settings of each provider and the file system options that carry them: fixed names of the Hadoop clients.
+CREDENTIALS = {
+    "gcs": {"service_account_key": "fs.gs.auth.service.account.json.keyfile", "project": "fs.gs.project.id"},
+    "s3": {"access_key": "fs.s3a.access.key", "secret_key": "fs.s3a.secret.key", "session_token": "fs.s3a.session.token", "endpoint": "fs.s3a.endpoint"},
+}
+
+
+def authenticate(spark: SparkSession, provider: str, settings: dict) -> list[str]:
+    """Hands a provider's credentials to the file system clients; the names of the options that were set.
+
+    Options that are set already stay, so a session's own credentials win; values are never logged."""
+    if provider not in CREDENTIALS:
+        raise ValueError(f"no provider {provider!r}; there are: {', '.join(CREDENTIALS)}")
+    names = CREDENTIALS[provider]
+    if unknown := set(settings) - set(names):
+        raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+    conf = spark._jsc.hadoopConfiguration()
+    fresh = {names[k]: str(v) for k, v in settings.items() if v and not conf.get(names[k])}
+    if provider == "gcs" and names["service_account_key"] in fresh:
+        fresh["fs.gs.auth.type"] = "SERVICE_ACCOUNT_JSON_KEYFILE"
+    for name, value in fresh.items():
+        conf.set(name, value)
+    return sorted(fresh)
+
+
 def _fs(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at

@@ -1,11 +1,13 @@
 """Gridding of track files as they arrive: a file stream in batches of whole files.
 
 A trip lies in one file, so each batch holds whole trips; time gaps need the next point, which a streaming
-window can't give. The checkpoint remembers the files, so each is gridded once, also across restarts."""
+window can't give. The checkpoint remembers the files, so each is gridded once, also across restarts. A trip that
+an earlier batch has stored is skipped, whatever later files hold of it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from halyard.operators.tracks import grid_tracks
@@ -17,6 +19,11 @@ def grid_new_files(spark: SparkSession, source: str, target: str, checkpoint: st
     points = spark.readStream.schema(POINTS).option("maxFilesPerTrigger", files_at_once).option("recursiveFileLookup", True).parquet(source)
 
     def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(target)
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            known = spark.read.parquet(target).where(F.col("batch") != number).select("Trip").distinct()
+            batch = batch.join(known, "Trip", "left_anti").select(*batch.columns)
         # one folder a batch, overwritten: a batch that is run again leaves its rows once
         grid_tracks(batch, grid_size).write.mode("overwrite").parquet(f"{target}/batch={number}")
 

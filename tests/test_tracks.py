@@ -71,6 +71,8 @@ def test_unknown_grid_size(spark):
 def test_missing_column_is_named(spark):
     with pytest.raises(ValueError, match="Lng"):
         tracks.cells(points(spark, line(7)).drop("Lng"))
+    with pytest.raises(ValueError, match="Heading"):
+        tracks.cells(points(spark, line(7)).drop("Heading"))
 
 
 def test_a_missing_time_makes_both_ends_null(spark):

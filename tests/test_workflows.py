@@ -31,7 +31,8 @@ def server():
             asked.append((url.path, parse_qs(url.query), self.headers["X-API-SECRET"]))
             parts = url.path.split("/")
             if parts[3] == "trips" and parts[-1] == "points":
-                code, text = (500, "broken") if parts[4] == "3" else (200, body(parts[4]))
+                bodies = {"4": body("4").splitlines()[0] + "\n", "5": body("5") + "5,no time,x,y\n", "6": ""}
+                code, text = (500, "broken") if parts[4] == "3" else (200, bodies.get(parts[4], body(parts[4])))
             elif parts[3] == "points":
                 code, text = 200, body(parts[4].replace("-", ""))
             else:
@@ -94,6 +95,40 @@ def test_from_the_server_to_the_collections(spark, conf, server, tmp_path):
     assert store.pull(spark, f"{tmp_path}/db", "grids", "portal").columns[0] == "lat_grid_1km"
 
 
+def test_answers_are_stored_whole_or_not_at_all(spark, conf, server):
+    """A garbled body is an error without a file; one without points is stored, and isn't asked for again."""
+    root = conf["storage"]["tracks_root"]
+    store.write_versioned(spark.createDataFrame([(t,) for t in (1, 4, 5, 6)], "Trip long"), conf["storage"]["root"], "trips")
+    got = {r.trip_id: r.status for r in workflows.ingest_tracks(spark, conf).collect()}
+    assert got == {1: "success", 4: "success", 5: "error", 6: "success"}
+    names = {r.name for r in store.list_objects(spark, root, "tracks_").collect()}
+    assert names == {"tracks_1.parquet", "tracks_4.parquet", "tracks_6.parquet"}
+    assert spark.read.schema(POINTS).parquet(*[f"{root}/{n}" for n in sorted(names)]).count() == 8
+    server[1].clear()
+    assert {r.trip_id: r.status for r in workflows.ingest_tracks(spark, conf).collect()} == {5: "error"}
+    assert [p for p, *_ in server[1]] == ["/tok/v1/trips/5/points"]
+    assert workflows.preprocess_tracks(spark, conf, now=START) is not None
+
+
+def test_ids_come_in_lists(spark, conf, server, monkeypatch):
+    monkeypatch.setattr(workflows, "IDS_AT_ONCE", 2)
+    store.write_versioned(spark.createDataFrame([(t,) for t in (1, 2, 7, 8, 9)], "Trip long"), conf["storage"]["root"], "trips")
+    assert sorted(r.trip_id for r in workflows.ingest_tracks(spark, conf).collect()) == [1, 2, 7, 8, 9]
+    assert workflows.ingest_tracks(spark, conf).count() == 0
+
+
+def test_credentials_reach_the_clients_once(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    assert store.authenticate(spark, "s3", {"access_key": "a", "secret_key": "b"}) == ["fs.s3a.access.key", "fs.s3a.secret.key"]
+    assert store.authenticate(spark, "s3", {"access_key": "c"}) == [] and conf.get("fs.s3a.access.key") == "a"
+    for name in ("fs.s3a.access.key", "fs.s3a.secret.key"):
+        conf.unset(name)
+    with pytest.raises(ValueError, match="gcs, s3"):
+        store.authenticate(spark, "other", {})
+    with pytest.raises(ValueError, match="unknown"):
+        store.authenticate(spark, "gcs", {"pin": 1})
+
+
 def reader(spark, server, **options):
     http.register(spark)
     return spark.read.format("trip_points").options(base_url=server[0], token="tok", secret="sec", **options)
@@ -153,3 +188,6 @@ def test_file_stream_grids_each_file_once(spark, tmp_path):
         put(trip)
         grid_new_files(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination(120)
         assert spark.read.parquet(f"{tmp_path}/out").count() == 3 * (n + 1)
+    put(1)  # more of a stored trip is skipped
+    grid_new_files(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 6
