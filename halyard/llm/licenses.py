@@ -6,10 +6,13 @@ blocks of adjacent lines: a wrapped header, or a licence file that is one block.
 whose name says so, is a licence file of its directory. A file without a header of its own takes the licence of
 the nearest directory above it, by a join on paths.
 
-Only units that hold a telling term are joined. That loses none: for each template the terms that aren't
-telling have less than least^2 of its unit vector's square, so a cosine without a telling term stays below least.
+Only units that hold a telling term, and whose templates' terms make up least^2 of their squared length, are joined.
+That loses none: for each template the terms that aren't telling have less than least^2 of its unit vector's
+square, and a cosine is at most the part of a unit's vector that lies in the templates' terms.
 
-The texts are read once; what follows works on a written table of rows with their telling units. Ancestors are
+The texts are read once; what follows works on a written table of rows with their telling units, of which only
+the templates' terms are kept: all other terms have one weight, so the sum of their squared counts, made where the
+text is, completes a unit's length. Ancestors are
 made for distinct directories, not for files, so a directory with most files costs one row. The templates are
 a short list of the caller's, and only they are broadcast.
 
@@ -94,21 +97,51 @@ def telling(templates=TEMPLATES, least: float = LEAST) -> list[str]:
     return sorted(out)
 
 
+def _squares(terms: Column) -> Column:
+    """The sum of the squared counts of an array's distinct elements."""
+    zero = F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("sum"))
+
+    def step(acc, t):
+        run = F.when(acc["last"] == t, acc["run"]).otherwise(F.lit(0).cast("long"))
+        return F.struct(t.alias("last"), (run + 1).alias("run"), (acc["sum"] + 2 * run + 1).alias("sum"))
+
+    return F.aggregate(F.array_sort(terms), zero, step, lambda acc: acc["sum"])
+
+
+_UNITS = "array<struct<kind:int,words:int,squares:bigint,terms:array<string>>>"
+#: Terms are classed by the number of templates that have them, from these numbers on; a class has its rarest terms' weight.
+_CLASSES = (1, 2, 3, 6)
+
+
 def _units(docs: DataFrame, path: Column, templates, least: float, doc_id: str, text: str) -> DataFrame:
-    """key, doc_id, path, _size (terms of the text) and units (kind, line) with a telling term of each row, as a table."""
+    """key, doc_id, path, _size (terms of the text) and units (kind, words, squares, terms) with a telling term of each row, as a table."""
+    postings, unknown = _weights(templates)
     some = telling(templates, least)
+    idf = {t: i for _, _, t, _, i in postings}
+    steps = [math.log((1 + len(templates)) / (1 + n)) + 1 for n in _CLASSES]
+    classes = [(i, sorted(t for t, x in idf.items() if (k + 1 == len(steps) or x > steps[k + 1] + 1e-9) and x <= i + 1e-9)) for k, i in enumerate(steps)]
 
     def tells(terms):
         return F.exists(terms, lambda t: t.isin(some))
 
+    def may(x):
+        """True unless the templates' terms are too small a part of the unit's squared length."""
+        inside = sum((x[f"s{k}"] * F.lit(i * i) for k, (i, _) in enumerate(classes)), F.lit(0.0))
+        outside = (x["squares"] - sum((x[f"s{k}"] for k in range(len(classes))), F.lit(0))) * F.lit(unknown * unknown)
+        return inside >= (inside + outside) * F.lit((least - 2e-6) ** 2)
+
     def units(low):
         def of(kind: int, pattern: str):
-            return F.transform(F.filter(F.split(low, pattern), lambda u: tells(F.regexp_extract_all(u, F.lit(TERM), 0))), lambda u: F.struct(F.lit(kind).alias("kind"), u.alias("line")))
+            each = F.filter(F.transform(F.split(low, pattern), lambda u: F.regexp_extract_all(u, F.lit(TERM), 0)), tells)
+            known = F.transform(each, lambda t: F.struct(t.alias("all"), *[F.filter(t, lambda x: x.isin(terms)).alias(f"c{k}") for k, (_, terms) in enumerate(classes)]))  # noqa: B023
+            sums = F.transform(known, lambda u: F.struct(u.alias("u"), _squares(u["all"]).alias("squares"), *[_squares(u[f"c{k}"]).alias(f"s{k}") for k in range(len(classes))]))
+            near = F.filter(sums, may)
+            return F.transform(near, lambda x: F.struct(F.lit(kind).alias("kind"), F.size(x["u"]["all"]).alias("words"), x["squares"].alias("squares"), F.concat(*[x["u"][f"c{k}"] for k in range(len(classes))]).alias("terms")))
 
         return F.concat(of(0, SEGMENT), of(1, BLOCK))
 
     def described(low):
-        return F.transform(F.array(F.regexp_extract_all(low, F.lit(TERM), 0)), lambda terms: F.struct(F.size(terms).alias("size"), F.when(tells(terms), units(low)).otherwise(F.array().cast("array<struct<kind:int,line:string>>")).alias("units")))
+        return F.transform(F.array(F.regexp_extract_all(low, F.lit(TERM), 0)), lambda terms: F.struct(F.size(terms).alias("size"), F.when(tells(terms), units(low)).otherwise(F.array().cast(_UNITS)).alias("units")))
 
     # each is bound once as a variable: the text is made lower case and cut into terms once
     found = F.get(F.flatten(F.transform(F.array(F.lower(F.coalesce(F.col(text), F.lit("")))), described)), F.lit(0))
@@ -120,12 +153,14 @@ def headers(units: DataFrame, templates=TEMPLATES, least: float = LEAST) -> Data
     """key, seg, kind, license, score and words of each unit that matches a template, from rows (key, units)."""
     postings, unknown = _weights(templates)
     spark = units.sparkSession
-    lines = units.select("key", F.posexplode("units").alias("seg", "u")).select("key", "seg", F.col("u.kind").alias("kind"), F.col("u.line").alias("line"))
-    terms = lines.select("key", "seg", "kind", F.explode(F.regexp_extract_all("line", F.lit(TERM), 0)).alias("term")).groupBy("key", "seg", "kind", "term").agg(F.count("*").alias("tf"))
+    own = ["key", "seg", "kind", "words", "squares"]
+    lines = units.select("key", F.posexplode("units").alias("seg", "u")).select("key", "seg", "u.*")
+    terms = lines.select(*own, F.explode("terms").alias("term")).groupBy(*own, "term").agg(F.count("*").alias("tf"))
     vocabulary = _inline(spark, sorted({(t, i) for *_, t, _, i in postings}), ("term", "idf"))
     weights = _inline(spark, [(k, name, t, w) for k, name, t, w, _ in postings], ("template", "license", "term", "w"))
-    valued = written(terms.join(F.broadcast(vocabulary), "term", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
-    norms = valued.groupBy("key", "seg", "kind").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), F.sum("tf").alias("words"))
+    valued = written(terms.join(F.broadcast(vocabulary), "term").withColumn("v", F.col("tf") * F.col("idf")))
+    rest = (F.col("squares") - F.sum(F.col("tf") * F.col("tf"))) * F.lit(unknown * unknown)
+    norms = valued.groupBy(*own).agg(F.sqrt(F.sum(F.col("v") * F.col("v")) + rest).alias("norm")).drop("squares")
     dots = valued.join(F.broadcast(weights), "term").groupBy("key", "seg", "template", "license").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
     close = dots.join(norms, ["key", "seg"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= least)
     return close.groupBy("key", "seg", "kind").agg(F.min(F.struct((-F.col("score")).alias("low"), "license", "words")).alias("best")).select("key", "seg", "kind", F.col("best.license").alias("license"), (-F.col("best.low")).alias("score"), F.col("best.words").alias("words"))
