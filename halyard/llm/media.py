@@ -5,7 +5,8 @@ byte ranges of the key frames come from those tables alone, no payload is decode
 losslessly as 24 x 24 frames of 8-bit samples in such a container.
 
 Defined results: a null container or one that can't be parsed gives null columns and a message in
-`media_error`; a container without a key-frame table has every sample as a key frame. Texts: null is
+`media_error`; a container without a key-frame table has every sample as a key frame; of several tracks the
+first video track counts, without one the first. Movie fragments are decoded like sample tables. Texts: null is
 stored as the empty text, whose payload is one padded frame. Repeated rows each give their own row.
 """
 
@@ -19,6 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from halyard.llm.shared import blocks
 
@@ -27,6 +30,11 @@ SIDE = 24
 RATE = 25
 KEY_EVERY = 12
 CHUNK = 64
+#: A container whose boxes are nested deeper is refused; real ones have about eight levels.
+DEPTH = 32
+#: Fixed by the format: which fields a fragment's run has, and the flag of a sample that is no key frame.
+_RUN_FIELDS = {"duration": 0x100, "size": 0x200, "flags": 0x400, "shift": 0x800}
+_NO_KEY = 0x10000
 _NESTED = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta", b"mvex", b"moof", b"traf"}
 
 
@@ -76,10 +84,13 @@ def wrap(payload: bytes) -> bytes:
     return head(len(head(0)) + len(lead)) + lead + payload
 
 
-def _walk(data: memoryview, start: int, end: int, path: tuple = ()) -> Iterator[tuple[tuple, int, int]]:
-    """Path, body start and body end of each box, the nested ones too."""
-    at = start
-    while at + 8 <= end:
+def _walk(data: memoryview) -> Iterator[tuple[tuple, int, int]]:
+    """Trail (kind and start of each box around it and of itself), body start and body end of each box, in file order."""
+    open_ = [(0, len(data), ())]
+    while open_:
+        at, end, trail = open_.pop()
+        if at + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, at)
         body = at + 8
         if size == 1:
@@ -89,13 +100,13 @@ def _walk(data: memoryview, start: int, end: int, path: tuple = ()) -> Iterator[
         stop = end if size == 0 else at + size
         if stop > end or stop < body:
             raise ValueError(f"box {kind!r} at {at} exceeds its parent")
-        here = (*path, kind)
-        if kind == b"trak":
-            here = (*path, (kind, at))
+        here = (*trail, (kind, at))
+        if len(here) > DEPTH:
+            raise ValueError(f"boxes nested deeper than {DEPTH}")
         yield here, body, stop
+        open_.append((stop, end, trail))
         if kind in _NESTED:
-            yield from _walk(data, body, stop, here)
-        at = stop
+            open_.append((body, stop, here))
 
 
 def _table(data: memoryview, at: int, end: int, columns: int, kind: str = ">u4", head: int = 4) -> np.ndarray:
@@ -106,43 +117,136 @@ def _table(data: memoryview, at: int, end: int, columns: int, kind: str = ">u4",
     return np.frombuffer(data, kind, n * columns, at + head + 4).astype(np.int64).reshape(n, columns)
 
 
+def _described(data: memoryview, boxes: dict[bytes, tuple[int, int]], room: int) -> dict:
+    """A track by its sample tables: id, handler, codec, width, height, scale, ticks, offsets, sizes, keys."""
+    if not {b"stsd", b"stts", b"stsc", b"stsz", b"mdhd", b"tkhd"} <= boxes.keys() or not boxes.keys() & {b"stco", b"co64"}:
+        raise ValueError("a track lacks its sample tables")
+    at, end = boxes[b"stsd"]
+    if at + 16 > end:
+        raise ValueError("a track lacks its sample entry")
+    codec = bytes(data[at + 12 : at + 16]).decode("latin-1")
+    handler = bytes(data[boxes[b"hdlr"][0] + 8 : boxes[b"hdlr"][0] + 12]) if b"hdlr" in boxes else b""
+    width, height = struct.unpack_from(">HH", data, at + 40) if at + 44 <= end and handler in (b"vide", b"") else (0, 0)
+    at, _ = boxes[b"tkhd"]
+    number = struct.unpack_from(">I", data, at + (20 if data[at] else 12))[0]
+    at, _ = boxes[b"mdhd"]
+    scale = struct.unpack_from(">I", data, at + (20 if data[at] else 12))[0]
+    times = _table(data, *boxes[b"stts"], 2).astype(float)
+    at, end = boxes[b"stsz"]
+    fixed, n = struct.unpack_from(">II", data, at + 4)
+    if n > room:
+        raise ValueError("more samples than bytes")
+    sizes = np.full(n, fixed, np.int64) if fixed else _table(data, at, end, 1, head=8)[:, 0]
+    starts = (_table(data, *boxes[b"co64"], 1, ">u8") if b"co64" in boxes else _table(data, *boxes[b"stco"], 1))[:, 0]
+    runs = _table(data, *boxes[b"stsc"], 3)
+    each = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0] - 1, len(starts)))) if len(runs) else np.zeros(0, np.int64)
+    if each.sum() != len(sizes) or len(each) != len(starts):
+        raise ValueError("chunks and samples disagree")
+    before = np.cumsum(sizes) - sizes
+    first = np.cumsum(each) - each
+    offsets = np.repeat(starts - before[first], each) + before if len(sizes) else before
+    keys = _table(data, *boxes[b"stss"], 1)[:, 0] - 1 if b"stss" in boxes else np.arange(len(sizes))
+    if len(keys) and (keys.min() < 0 or keys.max() >= len(sizes)):
+        raise ValueError("a key frame outside the samples")
+    return {"id": number, "handler": handler, "codec": codec, "width": width, "height": height, "scale": scale, "ticks": float((times[:, 0] * times[:, 1]).sum()), "offsets": [offsets], "sizes": [sizes], "keys": [keys], "samples": n}
+
+
+def _run(data: memoryview, at: int, end: int, usual: dict, begin: int | None, base: int, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Offsets, sizes, key flags and ticks of a fragment's run. begin: where the run before it ended."""
+    flags, n = (x & 0xFFFFFF if i == 0 else x for i, x in enumerate(struct.unpack_from(">II", data, at)))
+    if n > room:
+        raise ValueError("more samples than bytes")
+    at += 8
+    if flags & 0x1:
+        begin = base + struct.unpack_from(">i", data, at)[0]
+        at += 4
+    first = None
+    if flags & 0x4:
+        first = struct.unpack_from(">I", data, at)[0]
+        at += 4
+    fields = [f for f in ("duration", "size", "flags", "shift") if flags & _RUN_FIELDS[f]]
+    if at + 4 * n * len(fields) > end:
+        raise ValueError("a fragment's run is cut off")
+    told = np.frombuffer(data, ">u4", n * len(fields), at).astype(np.int64).reshape(n, len(fields)) if n and fields else np.zeros((n, 0), np.int64)
+    column = {f: told[:, i] for i, f in enumerate(fields)}
+    duration, sizes, marks = (column[f] if f in column else np.full(n, usual[f], np.int64) for f in ("duration", "size", "flags"))
+    if first is not None and n:
+        marks = np.append(first, marks[1:])
+    offsets = (base if begin is None else begin) + np.cumsum(sizes) - sizes
+    return offsets, sizes, marks & _NO_KEY == 0, float(duration.sum())
+
+
+def _fragments(data: memoryview, trafs: dict[tuple, list], defaults: dict[int, dict], tracks: list[dict], room: int) -> None:
+    """Adds the samples of movie fragments to their tracks. trafs: the boxes in each traf by (moof start, traf start)."""
+    by_number = {t["id"]: t for t in tracks}
+    ended: dict[int, int] = {}  # where the data of a moof's last traf end
+    for (moof, _), boxes in trafs.items():
+        heads = [x for x in boxes if x[0] == b"tfhd"]
+        if len(heads) != 1:
+            raise ValueError("a fragment lacks its header")
+        _, at, _ = heads[0]
+        flags, number = struct.unpack_from(">II", data, at)
+        if number not in by_number:
+            raise ValueError(f"a fragment of an unknown track {number}")
+        track, usual = by_number[number], dict(defaults.get(number, {"duration": 0, "size": 0, "flags": 0}))
+        base = moof if flags & 0x20000 else ended.get(moof, moof)
+        at += 8
+        if flags & 0x1:
+            base = struct.unpack_from(">Q", data, at)[0]
+            at += 8
+        at += 4 if flags & 0x2 else 0
+        for name, bit in (("duration", 0x8), ("size", 0x10), ("flags", 0x20)):
+            if flags & bit:
+                usual[name] = struct.unpack_from(">I", data, at)[0]
+                at += 4
+        begin = None
+        for kind, body, end in boxes:
+            if kind != b"trun":
+                continue
+            offsets, sizes, key, ticks = _run(data, body, end, usual, begin, base, room)
+            room -= len(sizes)
+            if len(sizes):
+                begin = int(offsets[-1] + sizes[-1])
+            track["offsets"].append(offsets)
+            track["sizes"].append(sizes)
+            track["keys"].append(np.flatnonzero(key) + track["samples"])
+            track["samples"] += len(sizes)
+            track["ticks"] += ticks
+        ended[moof] = base if begin is None else begin
+
+
 def probe(content: bytes) -> list[dict]:
-    """One dict a track: codec, width, height, duration (seconds), samples, offsets, sizes, keys (sample numbers from 0)."""
+    """One dict a track: handler, codec, width, height, duration (seconds), samples, offsets, sizes, keys (sample numbers from 0).
+
+    Samples of movie fragments follow those of the track's own tables. No more samples are decoded than the file has bytes."""
     data = memoryview(content)
     found: dict[tuple, dict[bytes, tuple[int, int]]] = {}
-    for path, body, end in _walk(data, 0, len(data)):
-        track = next((x for x in path if isinstance(x, tuple)), None)
+    trafs: dict[tuple, list] = {}
+    defaults: dict[int, dict] = {}
+    for trail, body, end in _walk(data):
+        kind = trail[-1][0]
+        track = next((x for x in trail[:-1] if x[0] == b"trak"), None)
+        traf = next((x for x in trail[:-1] if x[0] == b"traf"), None)
         if track:
-            found.setdefault(track, {})[path[-1] if isinstance(path[-1], bytes) else b"trak"] = (body, end)
-    tracks = []
+            found.setdefault(track, {})[kind] = (body, end)
+        elif traf and trail[0][0] == b"moof":
+            trafs.setdefault((trail[0][1], traf[1]), []).append((kind, body, end))
+        elif kind == b"trex":
+            number, _, duration, size, flags = struct.unpack_from(">5I", data, body + 4)
+            defaults[number] = {"duration": duration, "size": size, "flags": flags}
+    tracks, room = [], len(data)
     for boxes in found.values():
-        if not {b"stsd", b"stts", b"stsc", b"mdhd"} <= boxes.keys():
-            raise ValueError("a track lacks its sample tables")
-        at, _ = boxes[b"stsd"]
-        codec = bytes(data[at + 12 : at + 16]).decode("latin-1")
-        width, height = struct.unpack_from(">HH", data, at + 40) if at + 44 <= boxes[b"stsd"][1] else (0, 0)
-        at, _ = boxes[b"mdhd"]
-        scale = struct.unpack_from(">I", data, at + (20 if data[at] else 12))[0]
-        times = _table(data, *boxes[b"stts"], 2)
-        at, end = boxes[b"stsz"]
-        fixed, n = struct.unpack_from(">II", data, at + 4)
-        sizes = np.full(n, fixed, np.int64) if fixed else _table(data, at, end, 1, head=8)[:, 0]
-        starts = (_table(data, *boxes[b"co64"], 1, ">u8") if b"co64" in boxes else _table(data, *boxes[b"stco"], 1))[:, 0]
-        runs = _table(data, *boxes[b"stsc"], 3)
-        each = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0] - 1, len(starts)))) if len(runs) else np.zeros(0, np.int64)
-        if each.sum() != len(sizes) or len(each) != len(starts):
-            raise ValueError("chunks and samples disagree")
-        before = np.cumsum(sizes) - sizes
-        first = np.cumsum(each) - each
-        offsets = np.repeat(starts - before[first], each) + before if len(sizes) else before
-        keys = _table(data, *boxes[b"stss"], 1)[:, 0] - 1 if b"stss" in boxes else np.arange(len(sizes))
-        if len(keys) and (keys.min() < 0 or keys.max() >= len(sizes)):
-            raise ValueError("a key frame outside the samples")
-        if len(sizes) and int((offsets + sizes).max()) > len(data):
-            raise ValueError("a sample outside the file")
-        tracks.append({"codec": codec, "width": width, "height": height, "duration": float((times[:, 0] * times[:, 1]).sum()) / max(scale, 1), "samples": len(sizes), "offsets": offsets, "sizes": sizes, "keys": keys})
+        tracks.append(_described(data, boxes, room))
+        room -= tracks[-1]["samples"]
     if not tracks:
         raise ValueError("no track")
+    _fragments(data, trafs, defaults, tracks, room)
+    for t in tracks:
+        t["offsets"], t["sizes"], t["keys"] = (np.concatenate(t[x]) for x in ("offsets", "sizes", "keys"))
+        t["duration"] = t.pop("ticks") / max(t.pop("scale"), 1)
+        at, size = t["offsets"], t["sizes"]
+        if len(at) and (at.min() < 0 or at.max() > len(data) or (at + size).max() > len(data)):
+            raise ValueError("a sample outside the file")
     return tracks
 
 
@@ -164,32 +268,33 @@ def _ranges(track: dict) -> list[dict]:
 
 
 def media_columns(df: DataFrame, content: str = "content") -> DataFrame:
-    """df with codec, duration_s and keyframes of the first track of each container, and media_error.
+    """df with codec, duration_s and keyframes of the first video track (else the first) of each container, and media_error.
 
-    Columns of those names in df are replaced."""
-    own = [c for c in df.columns if c not in ("codec", "duration_s", "keyframes", "media_error")]
-    kept = df.select(*[f"`{c}`" for c in own])
+    Columns of those names in df are replaced, also the one that holds the containers."""
+    own = [c for c in df.columns if c.lower() not in ("codec", "duration_s", "keyframes", "media_error")]
+    kept = df.select(*[F.col(f"`{c}`") for c in own])
+    source = "_" * max(map(len, ["", *own])) + "_media"
+    read = df.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{content}`").cast("binary").alias(source))
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
                 rows = []
-                for x in part.column(content).to_pylist():
+                for x in part.column(source).to_pylist():
                     try:
                         if x is None:
                             raise ValueError("null")
-                        t = probe(x)[0]
+                        tracks = probe(x)
+                        t = next((t for t in tracks if t["handler"] == b"vide"), tracks[0])
                         rows.append((t["codec"], t["duration"], _ranges(t), None))
-                    except (ValueError, struct.error, KeyError, IndexError) as e:
+                    except (ValueError, OverflowError, struct.error, KeyError, IndexError) as e:
                         rows.append((None, None, None, str(e) or type(e).__name__))
                 cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate([t for _, t in _COLUMNS] + [pa.string()])]
-                yield pa.RecordBatch.from_arrays([*part.columns, *cols], [*part.schema.names, "codec", "duration_s", "keyframes", "media_error"])
-
-    from pyspark.sql import types as T
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *cols], [*part.schema.names[:-1], "codec", "duration_s", "keyframes", "media_error"])
 
     extra = T._parse_datatype_string(f"{_DDL}, media_error string")
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *extra.fields]))
+    return read.mapInArrow(run, T.StructType([*kept.schema.fields, *extra.fields]))
 
 
 _STORED = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, " + _DDL
@@ -218,6 +323,4 @@ def store_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
-    from pyspark.sql import functions as F
-
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, _STORED)
