@@ -133,6 +133,69 @@ def test_bad_containers_are_rows_with_a_message(spark):
     assert got[0].codec == "raw " and got[0].keyframes[0].bytes == 576
 
 
+def fragmented(video_runs, audio=b"sound"):
+    """A container whose audio track comes first and whose video samples, (bytes, is key) a sample, lie in one fragment a run."""
+    box, full = media._box, media._full
+    pack = media.struct.pack
+
+    def track(number, handler, codec, sizes, at):
+        table = box(
+            b"stbl",
+            full(b"stsd", pack(">I", 1), box(codec, bytes(6), pack(">H", 1), bytes(16), pack(">HH", 640, 360), bytes(50))),
+            full(b"stts", pack(">I", 1 if sizes else 0), pack(">II", len(sizes), 10) if sizes else b""),
+            full(b"stsc", pack(">I", 1 if sizes else 0), pack(">III", 1, len(sizes), 1) if sizes else b""),
+            full(b"stsz", pack(">II", 0, len(sizes)), pack(f">{len(sizes)}I", *sizes)),
+            full(b"stco", pack(">I", 1 if sizes else 0), pack(">I", at) if sizes else b""),
+        )
+        return box(b"trak", full(b"tkhd", pack(">IIIII", 0, 0, number, 0, 0)), box(b"mdia", full(b"mdhd", pack(">IIIIHH", 0, 0, 100, 0, 0, 0)), full(b"hdlr", bytes(4), handler, bytes(13)), box(b"minf", table)))
+
+    def head(at):
+        return box(b"ftyp", b"isom") + box(b"moov", track(1, b"soun", b"mp4a", [len(audio)], at), track(2, b"vide", b"avc1", [], 0), box(b"mvex", full(b"trex", pack(">5I", 2, 1, 4, 0, 0x10000)))) + pack(">I4s", 8 + len(audio), b"mdat")
+
+    out = head(len(head(0))) + audio
+    for run in video_runs:
+        told = b"".join(pack(">II", len(b), 0 if key else 0x10000) for b, key in run)
+        moof = lambda at: box(b"moof", box(b"traf", full(b"tfhd", pack(">I", 2), flags=0x20000), full(b"trun", pack(">Ii", len(run), at), told, flags=0x601)))  # noqa: B023, E731
+        out += moof(len(moof(0)) + 8) + box(b"mdat", *(b for b, _ in run))
+    return out
+
+
+def test_fragments_and_the_video_track():
+    runs = [[(b"key-one", True), (b"ab", False), (b"cde", False)], [(b"k2", True)], [(b"x", False), (b"later-key", True)]]
+    whole = fragmented(runs)
+    sound, video = media.probe(whole)
+    assert (sound["handler"], sound["codec"], sound["duration"], media.payload(whole, sound)) == (b"soun", "mp4a", 0.1, b"sound")
+    assert media.payload(whole, video) == b"".join(b for run in runs for b, _ in run)
+    assert video["duration"] == 6 * 4 / 100 and video["keys"].tolist() == [0, 3, 5] and video["codec"] == "avc1"
+
+
+def test_crafted_containers_have_columns_or_a_message(spark):
+    good, parts = media.wrap(bytes(range(192)) * 30), fragmented([[(b"key", True), (b"rest", False)]] * 3)
+    deep = b""
+    for _ in range(3000):
+        deep = media._box(b"moov", deep)
+    many = good.replace(media.struct.pack(">II", 576, 10), media.struct.pack(">II", 1, 2**32 - 1))
+    run = parts.replace(media.struct.pack(">I", 2) + media.struct.pack(">i", 76), media.struct.pack(">I", 2**31) + media.struct.pack(">i", 76))
+    rng = random.Random(3)
+    files = [good, parts, deep, many, run]
+    for base in (good, parts):
+        for _ in range(400):
+            raw = bytearray(base[: rng.choice((len(base), rng.randrange(len(base))))])
+            for _ in range(rng.randint(1, 4)):
+                if raw:
+                    raw[rng.randrange(min(len(raw), 1200))] = rng.choice((0, 1, 8, 127, 255, rng.randrange(256)))
+            files.append(bytes(raw))
+    table = spark.createDataFrame([(k, bytearray(f)) for k, f in enumerate(files)], "k int, codec binary").repartition(4)
+    got = {r.k: r for r in media.media_columns(table, "codec").collect()}  # a column of a name that is replaced
+    assert len(got) == len(files) and got[0].media_error is None and got[1].codec == "avc1"
+    assert "nested" in got[2].media_error and all("more samples" in got[k].media_error for k in (3, 4))
+    for r in got.values():
+        if r.media_error is None:
+            assert all(0 <= x.start and x.start + x.bytes <= len(files[r.k]) for x in r.keyframes) and r.codec is not None
+        else:
+            assert r.codec is None and r.keyframes is None
+
+
 # --- 3 -----------------------------------------------------------------------------------------
 
 
@@ -276,6 +339,31 @@ def test_statistics_don_t_depend_on_neighbours():
         assert np.allclose(together[i], own[0], atol=1e-6)
 
 
+def test_scores_equal_a_plain_discriminant(spark):
+    rng = random.Random(12)
+    docs = [(k, (" | " if k % 3 == 0 else " ").join(prose(rng, rng.randint(1, 60)).split())) for k in range(80)]
+    truth = {k: int(k % 3 != 0 or k % 5 == 0) for k, _ in docs}
+    got = {r.doc_id: r.score for r in quality.scored(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(truth.items()), "doc_id long, quality int")).collect()}
+    x = {k: quality.statistics(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for k, t in docs}
+    seen = [k for k in truth if zlib.crc32(str(k).encode()) % 4 != 2]
+    every = np.array([x[k] for k in seen])
+    centre, scale = every.mean(0), every.std(0) + 1e-6
+    group = [(np.array([x[k] for k in seen if truth[k] == c]) - centre) / scale for c in (0, 1)]
+    within = [(g - g.mean(0)).T @ (g - g.mean(0)) for g in group]
+    shared = (within[0] + within[1]) / len(seen)
+
+    def density(c, v):  # log prior and log density by the determinant and the inverse, without factors
+        cov = 0.9 * within[c] / len(group[c]) + 0.1 * shared
+        cov = 0.95 * cov + 0.05 * np.trace(cov) / len(cov) * np.eye(len(cov))
+        off = v - group[c].mean(0)
+        return np.log(len(group[c]) / len(seen)) - 0.5 * np.log(np.linalg.det(cov)) - 0.5 * off @ np.linalg.inv(cov) @ off
+
+    for k, v in x.items():
+        z = (v - centre) / scale
+        odds = density(1, z) - density(0, z)
+        assert abs(got[k] - 1 / (1 + np.exp(-np.clip(odds, -500, 500)))) < 1e-6
+
+
 # --- 5 -----------------------------------------------------------------------------------------
 
 
@@ -518,6 +606,31 @@ def test_the_method_separates_hosts(spark):
     assert [r.verdict for r in urls.judged(df).orderBy("page_id").collect()] == ["block", "block", "allow", "allow", "allow"]
 
 
+def test_block_scores_equal_a_plain_logistic_function(spark):
+    from pyspark.ml.feature import HashingTF
+
+    tf = HashingTF(numFeatures=urls.BUCKETS)
+
+    def places(host, path):
+        grams = {m + s[i : i + n] for m, s in (("h", f"^{host}$"), ("p", f"^{path}$")) for n in urls.SIZES for i in range(len(s) - n + 1)}
+        return sorted({tf.indexOf(g) for g in grams})
+
+    labelled = [("win-big.test", "/x", 1), ("bets.test", "", 1), ("", "", 1), ("archive.test", "/x", 0), ("maps.test", "/y/1", 0), ("oak-school.test", "", 0), (None, "/n", 0), ("skip.test", "/", None)]
+    table = spark.createDataFrame(labelled, "host string, path string, label int")
+    model = urls.fit(spark, table)
+    weight, bias = model.coefficients.toArray(), model.intercept
+    plain = lambda h, p: 1 / (1 + np.exp(-bias - weight[places(h, p)].sum()))
+    known = [(h or "", p, y) for h, p, y in labelled if y is not None]
+    assert abs(sum(plain(h, p) - y for h, p, y in known)) < 1e-2  # the intercept's slope is nil at the optimum
+    pages = spark.createDataFrame([(k, f"http://{h}{p}") for k, (h, p, _) in enumerate(known)] + [(50, None), (51, "http://" + "a" * 3000 + ".test/ü/😀")], "page_id long, url string")
+    got = urls.judged(pages.selectExpr("*", "1 host", "2 path", "'v' verdict", "0 _k"), labelled=table).collect()
+    assert len(got) == len(known) + 2
+    for r in got:
+        assert abs(r.block_score - plain(r.host, r.path)) < 1e-6
+    for some in (table.limit(0), table.where("label = 1")):  # nothing to tell classes apart by
+        assert {(r.verdict, r.block_score) for r in urls.judged(pages, labelled=some).where("rule is null").collect()} == {("allow", None)}
+
+
 # --- 9 -----------------------------------------------------------------------------------------
 
 
