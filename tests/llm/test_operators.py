@@ -517,6 +517,20 @@ def piece_model():
     return sentencepiece.SentencePieceProcessor(model_file=public.path("piece_bpe_32k.model"))
 
 
+def test_a_normaliser_that_replaces_characters_gets_whole_texts(piece_model):
+    class Changed:
+        def __init__(self, spec):
+            self.spec = spec
+
+        def serialized_model_proto(self):
+            return b"\x0a\x03abc" + b"\x1a" + bytes([len(self.spec)]) + self.spec + b"\x25\x00\x00\x80\x3f"
+
+    assert not tokens.maps_characters(piece_model)
+    assert tokens.maps_characters(Changed(b"\x12\x02xy")) and tokens.maps_characters(Changed(b"\x18\x01\x32\x01z"))
+    assert not tokens.maps_characters(Changed(b"\x0a\x08identity\x12\x00\x18\x01\x20\x00"))
+    assert not tokens.provable(Changed(b"\x12\x02xy"))
+
+
 def test_spliced_counts_equal_whole_ones(piece_model):
     rng = random.Random(7)
     assert tokens.provable(piece_model)
