@@ -577,3 +577,20 @@ def _with_prints(rows: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("row"), part.column("tie"), pa.array(n), pa.array(_signed(one)), pa.array(_signed(two))], ["row", "tie", "n", "one", "two"])
 
     return rows.mapInArrow(run, T.StructType([rows.schema["row"], rows.schema["tie"], T.StructField("n", T.IntegerType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType())]))
+
+
+#: joined() over documents: rows and classes are numbered, since ids may repeat.
+OP3_SQL = r"""WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+words AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i, len(w) AS m FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM rows)),
+grams AS (SELECT r, i, m, concat_ws(' ', x, lead(x) OVER v, lead(x, 2) OVER v, lead(x, 3) OVER v) AS x FROM words WINDOW v AS (PARTITION BY r ORDER BY i)),
+shingles AS (SELECT DISTINCT r, x FROM grams WHERE i <= greatest(m - 3, 1)),
+sets AS (SELECT r, list(x ORDER BY x) AS s FROM shingles GROUP BY r),
+classes AS (SELECT min(sets.r) AS c, min(doc_id) AS least, len(s) AS n, list(sets.r) AS members FROM sets JOIN rows ON rows.r = sets.r GROUP BY s),
+own AS (SELECT c, n, x FROM classes JOIN shingles ON r = c),
+links AS (
+  SELECT a.c AS a, b.c AS b FROM own a JOIN own b ON a.x = b.x AND a.c <> b.c AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT c, c AS k FROM classes UNION SELECT reach.c, links.b FROM reach JOIN links ON reach.k = links.a),
+found AS (SELECT reach.c, min(classes.least) AS component_id FROM reach JOIN classes ON reach.k = classes.c GROUP BY reach.c),
+labels AS (SELECT unnest(members) AS r, n, component_id FROM classes JOIN found ON found.c = classes.c)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM rows LEFT JOIN labels ON labels.r = rows.r"""

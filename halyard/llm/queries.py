@@ -51,4 +51,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_decontamination": op1_decontamination, "op2_media_columns": op2_media_columns, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_quality": op4_quality, "op5_lm_scoring": op5_lm_scoring, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
-ORACLES = {"op7_licenses": licenses.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
+ORACLES = {"op3_ngram_jaccard": jaccard.OP3_SQL, "op7_licenses": licenses.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
