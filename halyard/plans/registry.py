@@ -5,14 +5,18 @@ Means are rounded on both sides, since the order of a sum changes its last bits;
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.functions.names import versioned_column
 from halyard.functions.numeric import minutes
 from halyard.operators import catalog, collection, incremental, metrics, summaries, tracks
-from halyard.schemas import struct
-from halyard.sources import geojson, sheets
+from halyard.plans import workflows
+from halyard.schemas import POINTS, struct
+from halyard.sources import geojson, sheets, store
+from halyard.streaming.tracks import grid_new_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -297,3 +301,69 @@ def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(feature)), F.lit("]}")).alias("value"))
     found = geojson.features(texts, "value", struct("region_id bigint, region string"))
     return found.select("region_id", "region", F.col("geometry.type").alias("kind"), F.col("geometry.coordinates").alias("coordinates"))
+
+
+# --- what is stored and read again ---------------------------------------------------------------
+
+
+def _stored_tracks(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """An object of points for each trip, as ingest_tracks leaves them."""
+    own = points(spark, sf_dir).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in POINTS.fields])
+    own.withColumn("_of", F.col("Trip")).repartition("_of").write.partitionBy("_of").option("compression", store.COMPRESSION).parquet(f"{root}/.staged")
+    workflows._name_by_trip(spark, f"{root}/.staged", root, "tracks")
+
+
+def _as_tables_have_it(gridded: DataFrame) -> DataFrame:
+    return _round(gridded, 8, "mean_speed", "mean_range").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_seen", "last_seen")})
+
+
+_ROUNDED = f"WITH {_gridded(0.005)} SELECT {_MEANS} FROM gridded"
+_AT = datetime(2024, 1, 1, tzinfo=UTC)
+
+
+@query(_ROUNDED)
+def stored_tracks_gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The workflow over stored tracks: listing, difference, gridding, versioned write, latest version."""
+    root = store.scratch(spark, "tracks")
+    conf = {"storage": {"root": f"{root}/store", "tracks_root": f"{root}/tracks"}, "tracks": {"prefix": "tracks", "version": "latest", "grid_size": 500}}
+    _stored_tracks(spark, sf_dir, conf["storage"]["tracks_root"])
+    workflows.preprocess_tracks(spark, conf, now=_AT)
+    return _as_tables_have_it(store.read_latest(spark, conf["storage"]["root"], "tracks-preprocessed"))
+
+
+@query(_ROUNDED)
+def streamed_tracks_gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file stream over stored tracks, twice: the second run has no new files and changes nothing."""
+    root = store.scratch(spark, "stream")
+    _stored_tracks(spark, sf_dir, f"{root}/tracks")
+    for _ in range(2):
+        grid_new_files(spark, f"{root}/tracks", f"{root}/gridded", f"{root}/checkpoint").awaitTermination()
+    return _as_tables_have_it(spark.read.parquet(f"{root}/gridded").drop("batch"))
+
+
+@query("SELECT o_orderkey AS Trip, o_custkey::VARCHAR AS IMEI, o_orderdate AS day FROM orders WHERE o_orderkey % 2 = 0")
+def versioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of one object; the first by its version is all trips, the latest is the second."""
+    root = store.scratch(spark, "objects")
+    every = trips(spark, sf_dir)
+    store.write_versioned(every, root, "trips", commit="", now=_AT)
+    store.write_versioned(store.read_latest(spark, root, "trips", _AT.strftime("%Y%m%d%H%M%S")).where("Trip % 2 = 0"), root, "trips", commit="", now=_AT.replace(year=2025))
+    return store.read_latest(spark, root, "trips")
+
+
+@query("SELECT c_nationkey, c_name, c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'")
+def published_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection that is pushed, replaced by other documents and pulled in its column order."""
+    root = store.scratch(spark, "collections")
+    customers = _table(spark, sf_dir, "customer")
+    store.push(customers.select("c_custkey"), root, "customers", "portal")
+    store.push(customers.where("c_mktsegment = 'BUILDING'").select("c_nationkey", "c_name", "c_custkey"), root, "customers", "portal", geo=True, run=lambda command: None)
+    return store.pull(spark, root, "customers", "portal")
+
+
+@query("SELECT c_custkey::VARCHAR AS c_custkey, nullif(c_mktsegment, '') AS c_mktsegment FROM customer")
+def sheets_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table kept as a CSV sheet, read with every column a string."""
+    root = store.scratch(spark, "sheets")
+    _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").write.option("header", True).csv(f"{root}/customers.csv")
+    return sheets.read_sheets(spark, root, ["customers", "others"], "customers")["customers"]

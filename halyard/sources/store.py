@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
@@ -48,6 +49,16 @@ def _fs(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the one that driver and executors share; a temporary one only where none is set and all run on one machine."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        at = tempfile.mkdtemp(prefix="halyard-")
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """name and updated of the entries of root that start with prefix; none if root isn't there."""
     fs, at = _fs(spark, root)
