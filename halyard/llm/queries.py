@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import decontaminate, hmm, jaccard, licenses, media, mixing, quality, secrets, tokens, urls
+from halyard.llm import decontaminate, fim, hmm, jaccard, langid, licenses, media, merkle, mixing, quality, secrets, tokens, urls
 from halyard.llm.shared import table
 
 
@@ -50,5 +50,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_media_columns": op2_media_columns, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_quality": op4_quality, "op5_lm_scoring": op5_lm_scoring, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
-ORACLES = {"op3_ngram_jaccard": jaccard.OP3_SQL, "op7_licenses": licenses.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_media_columns": op2_media_columns, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_quality": op4_quality, "op5_lm_scoring": op5_lm_scoring, "op6_token_counts": op6_token_counts, "op7_licenses": op7_licenses, "op8_urls": op8_urls, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets, "op11_merkle": op11_merkle, "op12_fill_in_middle": op12_fill_in_middle, "op13_language_id": op13_language_id}
+ORACLES = {"op3_ngram_jaccard": jaccard.OP3_SQL, "op7_licenses": licenses.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op10_secrets": secrets.OP10_SQL, "op11_merkle": merkle.OP11_SQL, "op12_fill_in_middle": fim.OP12_SQL}

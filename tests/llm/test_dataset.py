@@ -1,0 +1,270 @@
+"""Merkle manifest, fill-in-middle and language ID against plain versions."""
+
+import hashlib
+import os
+import random
+import re
+import unicodedata
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from halyard.llm import fim, langid, merkle
+
+SF = "/root/testdata/sf0.01"
+
+
+# --- Merkle manifest
+
+
+def hexed(*texts: str) -> str:
+    return hashlib.sha256("".join(texts).encode()).hexdigest()
+
+
+def grown(leaves: list[str]) -> list[list[str]]:
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append([hexed(*levels[-1][i : i + 8]) for i in range(0, len(levels[-1]), 8)])
+    return levels
+
+
+def siblings(levels: list[list[str]], i: int) -> list[str]:
+    out = []
+    for level in levels[:-1]:
+        out += [x for k, x in enumerate(level) if k // 8 == i // 8 and k != i]
+        i //= 8
+    return out
+
+
+def refolded(levels: list[list[str]], i: int, digest: str) -> str:
+    for level in levels[:-1]:
+        run = level[i // 8 * 8 : i // 8 * 8 + 8]
+        run[i % 8] = digest
+        digest, i = hexed(*run), i // 8
+    return digest
+
+
+def plain_manifest(rows: list[dict]) -> list[tuple]:
+    def leaf(r, text):
+        return hexed(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (r["doc_id"], r["source"], r["lang"], r["n_chars"], text)])
+
+    by_lang: dict = {}
+    for r in rows:
+        text = r["text"]
+        if text is not None and r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 0:
+            text = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+        by_lang.setdefault(r["lang"], []).append((r["doc_id"] is not None, r["doc_id"] or 0, leaf(r, r["text"]), leaf(r, text)))
+    langs = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {x: grown([h for *_, h, _ in sorted(by_lang[x])]) for x in langs}
+    top = grown([trees[x][-1][0] for x in langs])
+    out = []
+    for k, x in enumerate(langs):
+        for i, (has, doc_id, digest, claim) in enumerate(sorted(by_lang[x])):
+            root = refolded(top, k, refolded(trees[x], i, claim))
+            out.append((doc_id if has else None, digest, trees[x][-1][0], top[-1][0], hexed(*siblings(trees[x], i), *siblings(top, k)), root, root == top[-1][0]))
+    return out
+
+
+NAMES = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def test_manifest_of_odd_rows(odd, none):
+    want = plain_manifest([r.asDict() for r in odd.collect()])
+    got = merkle.digest(odd)
+    assert got.columns == NAMES
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+    assert merkle.digest(none).collect() == []
+
+
+@pytest.mark.parametrize("sizes", [{"en": 1}, {None: 1, "a": 8, "b": 9, "c": 64, "d": 65}, {"x": 530, "y": 64}, {f"l{k:02}": 1 + k % 3 for k in range(20)}])
+@pytest.mark.parametrize("levels", [1, 3])
+def test_manifest_by_size_and_stage(spark, sizes, levels):
+    rows = [(k, f"Text {k}", lang, "s", k) for lang, n in sizes.items() for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    leaf = merkle.leaf_digest(*[F.col(c) for c in merkle.COLUMNS])
+    changed = merkle.leaf_digest(*[F.lower("text") if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    claim = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, changed).otherwise(leaf)
+    got = merkle.verified(merkle.proofs(docs.select(merkle.group_key(F.col("lang")).alias("g"), "doc_id", leaf.alias("hash"), claim.alias("claim")), levels))
+    want = plain_manifest([dict(zip(("doc_id", "text", "lang", "source", "n_chars"), r, strict=True)) for r in rows])
+    assert Counter(map(tuple, got.collect())) == Counter(want)
+
+
+@pytest.mark.parametrize("levels", [1, 2])
+def test_log_is_the_postorder(spark, levels):
+    leaves = spark.createDataFrame([(g, k, hashlib.sha256(f"{g}{k}".encode()).digest(), b"") for g, n in (("a", 75), ("b", 1), ("c", 64)) for k in range(n)], "g string, doc_id long, hash binary, claim binary")
+    log = merkle.log(merkle.appended(merkle.numbered(merkle.written(leaves), "doc_id"), levels), levels).collect()
+    for g, n in (("a", 75), ("b", 1), ("c", 64)):
+        mine = sorted((r.pos, r.level, r.idx) for r in log if r.g == g)
+        want = [(level, index) for level, index, _ in merkle.completed([b""] * n, 0, n, merkle.height(n))]
+        assert [x[0] for x in mine] == list(range(len(want))) and [x[1:] for x in mine] == want
+
+
+def test_positions_from_sizes_alone():
+    for n in (1, 2, 7, 8, 9, 63, 64, 65, 511, 512, 513, 1000):
+        order = [(level, index) for level, index, _ in merkle.completed([b""] * n, 0, n, merkle.height(n))]
+        assert [merkle.position(level, index, n) for level, index in order] == list(range(len(order)))
+
+
+# --- fill-in-middle
+
+
+def plain_units(text: str, unit: str) -> list[int]:
+    space = set(" \t\n\x0b\x0c\r")
+    if unit == "code_point":
+        return list(range(len(text)))
+    if unit == "line":
+        return [i for i in range(len(text)) if i == 0 or text[i - 1] == "\n"]
+    return [i for i in range(len(text)) if i == 0 or (text[i] not in space and text[i - 1] in space)]
+
+
+@pytest.mark.parametrize("unit", sorted(fim.UNITS))
+def test_cuts_by_descent(unit):
+    rng = random.Random(3)
+    for trial in range(150):
+        text = "".join(rng.choice("abÄé \n漢\t𝄞.") for _ in range(rng.randint(0, 90)))
+        cuts = fim.Cuts(np.frombuffer(text.encode(), np.uint8), unit, (1, 2, 5, 64)[trial % 4])
+        starts = plain_units(text, unit)
+        assert (cuts.units, cuts.chars) == (len(starts), len(text))
+        for k, at in enumerate([*starts, len(text)]):
+            assert cuts.find(k) == (len(text[:at].encode()), at)
+
+
+def plain_fim(doc_id, text, unit="code_point"):
+    text = text or ""
+    starts = [*plain_units(text, unit), len(text)]
+    n = len(starts) - 1
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(h[8 * k : 8 * k + 8], 16) for k in range(4)]
+    if not text or any(s in text for s in fim.SENTINELS) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((starts[h[0] % (n + 1)], starts[h[1] % (n + 1)]))
+    if h[3] % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{text[b:]}<P>{text[:a]}<M>{text[a:b]}"
+    return n, "psm", a, b - a, f"<P>{text[:a]}<S>{text[b:]}<M>{text[a:b]}"
+
+
+@pytest.mark.parametrize("unit", sorted(fim.UNITS))
+def test_transformed_and_restored(spark, odd, none, unit):
+    more = [(100 + k, t) for k, t in enumerate(["<P>", "a <M> b", "<", "ends in <", "<S", "x" * 300_000 + "é", "𝄞" * 2000, "a\nb\n\nc"])]
+    docs = odd.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True).withColumn("fim_form", F.lit("old"))
+    done = fim.transformed(docs, unit)
+    assert [c for c in done.columns if not c.startswith("fim_")] == odd.columns
+    rows = done.withColumn("back", fim.restored(F.col("fim_text"), F.col("fim_form"))).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r.back == (r.text or "")
+        assert (r.fim_units, r.fim_form, r.fim_prefix_chars, r.fim_middle_chars, r.fim_text) == plain_fim(r.doc_id, r.text, unit)
+    assert {r.fim_form for r in rows} == {"plain", "psm", "spm"}
+    assert fim.transformed(none).collect() == []
+
+
+def test_fim_digest(odd):
+    got = Counter(map(tuple, fim.digest(odd).collect()))
+    want = Counter()
+    for r in odd.collect():
+        n, form, before, middle, out = plain_fim(r.doc_id, r.text)
+        want[r.doc_id, n, form, before, middle, hexed(out), hexed(r.text or "")] += 1
+    assert got == want
+
+
+def test_sentinels_that_could_be_misread(odd):
+    for bad in (("<P>", "<P>x", "<M>"), ("aba", "<S>", "<M>"), ("", "b", "c"), ("ab", "bc", "x")):
+        with pytest.raises(ValueError, match="overlap"):
+            fim.transformed(odd, sentinels=bad)
+    own = ("[pre]", "[suf]", "[mid]")
+    done = fim.transformed(odd, sentinels=own, plain=100)
+    assert done.where((F.col("fim_form") == "plain") & (F.length("text") > 0)).count() == 0
+    assert done.where(~fim.restored(F.col("fim_text"), F.col("fim_form"), own).eqNullSafe(F.coalesce("text", F.lit("")))).count() == 0
+    with pytest.raises(ValueError, match="no unit"):
+        fim.transformed(odd, "page")
+
+
+# --- language ID
+
+
+def plain_grams(text: str) -> Counter:
+    marks = []
+    for ch in text:
+        kind = unicodedata.category(ch)[0]
+        low = ch.lower()
+        marks.append((low if len(low) == 1 else ch) if kind == "L" else ch if kind == "M" else "\x01")
+    out = Counter()
+    for word in "".join(marks).split("\x01"):
+        padded = f"\x01{word}\x01" if word else ""
+        for n in (1, 2, 3):
+            out.update(g for g in (padded[i : i + n] for i in range(len(padded) - n + 1)) if "\x01" not in g[1:-1] and set(g) != {"\x01"})
+    return out
+
+
+def best(counts: Counter, size: int) -> list[str]:
+    return sorted(counts, key=lambda g: (-counts[g], [ord(c) for c in g] + [0] * (3 - len(g))))[:size]
+
+
+def plain_languages(rows: list[dict], size: int) -> list[tuple]:
+    held = [zlib.crc32(str("" if r["doc_id"] is None else r["doc_id"]).encode()) % 3 == 1 for r in rows]
+    by_lang: dict = {}
+    for r, out in zip(rows, held, strict=True):
+        if not out and r["lang"] is not None and r["text"] is not None:
+            by_lang.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+    profiles = {x: {g: k for k, g in enumerate(best(c, size))} for x, c in sorted(by_lang.items()) if c}
+    result = []
+    for r, out in zip(rows, held, strict=True):
+        mine = best(plain_grams(r["text"] or ""), size)
+        far = sorted((sum(abs(k - p[g]) if g in p else size for k, g in enumerate(mine)), x) for x, p in profiles.items())
+        if not far or not any(unicodedata.category(c)[0] == "L" for c in r["text"] or ""):
+            result.append((r["doc_id"], out, "und", 0.0))
+        else:
+            result.append((r["doc_id"], out, far[0][1], 1.0 if len(far) == 1 else round((far[1][0] - far[0][0]) / max(far[1][0], 1), 9)))
+    return result
+
+
+def tongues(spark):
+    rng = random.Random(8)
+    stems = {"en": "the of and ing tion er", "fr": "le la que eau ère çon", "el": "και του της ος", "zh": "的是不了人我在有他这", None: "zz yy"}
+    rows = []
+    for k in range(120):
+        lang = list(stems)[k % 5]
+        parts = [*stems[lang]] if lang == "zh" else stems[lang].split()
+        text = " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 40)))
+        rows.append((k, text.upper() if k % 7 == 0 else text, lang))
+    rows += [(200, None, "en"), (201, "", "fr"), (202, "12 -- 3", "en"), (203, "İstanbul ǅ ﬀ", None), (None, "the and of", "en"), (None, None, None), (204, "x" * 400_000 + " the", "en"), (205, "the", "en"), (205, "the", "en")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+
+
+@pytest.mark.parametrize("size", [5, 300])
+def test_languages_as_plainly(spark, size):
+    docs = tongues(spark)
+    got = Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in langid.identified(docs, size).collect())
+    assert got == Counter(plain_languages([r.asDict() for r in docs.collect()], size))
+
+
+def test_languages_of_odd_tables(spark, odd, none):
+    rows = langid.identified(odd).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in odd.collect())
+    assert {r.lang_pred for r in rows} == {"en", "und"} and {r.score for r in rows} == {0.0, 1.0}
+    assert langid.identified(none).collect() == []
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert {(r.lang_pred, r.score) for r in langid.identified(unlabelled).collect()} == {("und", 0.0)}
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        langid.fit(tongues(spark), most=3)
+
+
+def test_long_texts_go_in_pieces(monkeypatch):
+    rng = random.Random(4)
+    for step in (4, 7, 64):
+        monkeypatch.setattr(langid, "STEP", step)
+        for _ in range(40):
+            text = "".join(rng.choice("abÄÖ  .,1İ漢ñ́\n") for _ in range(rng.randint(0, 60)))
+            _, gram, n, has = langid.ngrams(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+            read = {"".join(chr(c) for c in (int(g) >> 42, int(g) >> 21 & 0x1FFFFF, int(g) & 0x1FFFFF) if c): int(k) for g, k in zip(gram, n, strict=True)}
+            assert read == dict(plain_grams(text)) and has[0] == any(c.isalpha() for c in text)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
+def test_held_out_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = langid.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert found[0] >= 0.97 * found[1]
