@@ -13,11 +13,14 @@ from __future__ import annotations
 
 import csv
 import io
+import random
+import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 from datetime import UTC, date, datetime, timedelta
+from email.utils import parsedate_to_datetime
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import DateType, DoubleType, FloatType, IntegerType, LongType, StructType, TimestampType
@@ -25,19 +28,28 @@ from pyspark.sql.types import DateType, DoubleType, FloatType, IntegerType, Long
 from halyard.schemas import POINTS, TRIPS
 
 
+#: Statuses that another attempt may mend.
+PASSING = (408, 425, 429, 500, 502, 503, 504)
+
+
 def _flag(options, name: str) -> bool:
     return str(options.get(name, "false")).lower() == "true"
 
 
+def _listed(value) -> str:
+    """A list as the service takes it; a text stays as it is."""
+    return value if isinstance(value, str) else ",".join(map(str, value))
+
+
 def request_url(base_url: str, token: str, path: str, options) -> str:
     query = {}
     if options.get("imeis"):
-        query["imeis"] = options["imeis"]
+        query["imeis"] = _listed(options["imeis"])
     for name in ("deviceInfo", "errant", "withLastSeen"):
         if _flag(options, name):
             query[name] = "true"
     if options.get("tags"):
-        query["tags"] = options["tags"]
+        query["tags"] = _listed(options["tags"])
     if options.get("format"):
         query["format"] = options["format"]
     return f"{base_url.rstrip('/')}/{token}/v1/{path}" + (f"?{urllib.parse.urlencode(query)}" if query else "")
@@ -57,20 +69,55 @@ def points_path(trip: str | None = None, from_date: str | None = None, to_date:
     return f"points/{from_date}/{to_date}"
 
 
-def fetch(url: str, secret: str, timeout: float = 60) -> str:
+def _later(after: str | None) -> float | None:
+    """The seconds that a Retry-After header asks for: a number, or a date."""
+    if not after:
+        return None
+    if after.strip().isdigit():
+        return float(after)
+    try:
+        return max(0.0, (parsedate_to_datetime(after) - datetime.now(UTC)).total_seconds())
+    except (TypeError, ValueError):
+        return None
+
+
+def _once(url: str, secret: str, timeout: float) -> tuple[int, str, str | None]:
+    """Status, body and Retry-After of one attempt."""
+    if url.startswith("file:"):  # recorded answers
+        url = url.split("?", 1)[0]
     request = urllib.request.Request(url, headers={"X-API-SECRET": secret, "Content-Type": "application/json"})
     try:
         with urllib.request.urlopen(request, timeout=timeout) as answer:
-            body = answer.read().decode()
-            status = answer.status
+            return answer.status or 200, answer.read().decode(), None
     except urllib.error.HTTPError as e:
-        body, status = e.read().decode(errors="replace"), e.code
-    if status != 200:
-        raise RuntimeError(f"request failed with status {status}\n{body}")
-    return body
+        return e.code, e.read().decode(errors="replace"), e.headers.get("Retry-After")
+
+
+def fetch(url: str, secret: str, timeout: float = 60, attempts: int = 1, wait: float = 0.5, longest: float = 60) -> str:
+    """The body of an answer. A status or failure that may pass is tried again, up to `attempts` in all.
+
+    The pause doubles from `wait` up to `longest` seconds, by a random half so that tasks don't meet again, or is what the service asks for
+    (no more than `longest`). Any other status than 200 is an error at once."""
+    for n in range(1, attempts + 1):
+        later = None
+        try:
+            status, body, later = _once(url, secret, timeout)
+            if status == 200:
+                return body
+            problem = RuntimeError(f"request failed with status {status}\n{body}")
+            if status not in PASSING:
+                raise problem
+        except (urllib.error.URLError, TimeoutError, ConnectionError) as e:
+            if url.startswith("file:"):
+                raise
+            problem = e
+        if n < attempts:
+            asked = _later(later)
+            time.sleep(min(longest, asked if asked is not None else wait * 2 ** (n - 1) * (0.5 + random.random() / 2)))
+    raise problem
 
 
-def _value(text: str | None, kind):
+def value(text: str | None, kind):
     if text is None or text in ("", "NA"):
         return None
     if isinstance(kind, LongType | IntegerType):
@@ -89,7 +136,7 @@ def parse(body: str, schema: StructType, **extra) -> Iterator[tuple]:
     """Rows of a CSV body by column name; `seq` is the row's number in it, columns it lacks are null."""
     for n, row in enumerate(csv.DictReader(io.StringIO(body))):
         row |= {"seq": str(n)} | extra
-        yield tuple(_value(row.get(f.name), f.dataType) for f in schema.fields)
+        yield tuple(value(row.get(f.name), f.dataType) for f in schema.fields)
 
 
 class _Piece(InputPartition):
@@ -116,7 +163,7 @@ class _Reader(DataSourceReader):
         yield from rows
         if message is not None and self.options.get("on_error") == "row" and piece.trip is not None:
             mark = {"Trip": piece.trip}
-            yield tuple(message if f.name == "_error" else _value(mark.get(f.name), f.dataType) for f in self.schema.fields)
+            yield tuple(message if f.name == "_error" else value(mark.get(f.name), f.dataType) for f in self.schema.fields)
 
 
 class _TripsReader(_Reader):
