@@ -37,7 +37,12 @@ def regrid(fine: DataFrame) -> DataFrame:
     )
 
 
+def bounded(regridded: DataFrame, min_hours: float, max_hours: float) -> DataFrame:
+    """avg_time_hours in place of avg_time_mins, cells within both bounds only."""
+    hours = regridded.withColumn("avg_time_hours", F.col("avg_time_mins") / F.lit(60.0)).drop("avg_time_mins")
+    return hours.where(F.col("avg_time_hours").between(F.lit(float(min_hours)), F.lit(float(max_hours))) & ~F.isnan("avg_time_hours"))
+
+
 def grid_summaries(gridded: DataFrame, min_hours: float = 0.15, max_hours: float = 15.0) -> DataFrame:
     """1 km cells whose mean time lies within both bounds."""
-    hours = regrid(by_cell(gridded)).withColumn("avg_time_hours", F.col("avg_time_mins") / F.lit(60.0)).drop("avg_time_mins")
-    return hours.where(F.col("avg_time_hours").between(F.lit(float(min_hours)), F.lit(float(max_hours))) & ~F.isnan("avg_time_hours"))
+    return bounded(regrid(by_cell(gridded)), min_hours, max_hours)
