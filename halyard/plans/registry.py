@@ -5,9 +5,9 @@ Means are rounded on both sides, since the order of a sum changes its last bits;
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.functions.names import versioned_column
@@ -16,6 +16,8 @@ from halyard.operators import catalog, collection, incremental, metrics, summari
 from halyard.plans import workflows
 from halyard.schemas import POINTS, struct
 from halyard.sources import geojson, sheets, store
+from halyard.sources import objects as stored
+from halyard.streaming.pieces import grid_pieces
 from halyard.streaming.tracks import grid_new_files
 
 QUERIES: dict = {}
@@ -306,11 +308,11 @@ def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- what is stored and read again ---------------------------------------------------------------
 
 
-def _stored_tracks(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """An object of points for each trip, as ingest_tracks leaves them."""
-    own = points(spark, sf_dir).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in POINTS.fields])
-    own.withColumn("_of", F.col("Trip")).repartition("_of").write.partitionBy("_of").option("compression", store.COMPRESSION).parquet(f"{root}/.staged")
-    workflows._name_by_trip(spark, f"{root}/.staged", root, "tracks")
+def _stored_tracks(spark: SparkSession, sf_dir: str, root: str, some: Column | None = None) -> None:
+    """An object of points for each trip (or some), as ingest_tracks leaves them."""
+    every = points(spark, sf_dir)
+    own = (every if some is None else every.where(some)).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in POINTS.fields])
+    stored.write_objects(own.withColumn("_of", F.col("Trip")), root, "tracks", "_of", "seq")
 
 
 def _as_tables_have_it(gridded: DataFrame) -> DataFrame:
@@ -341,6 +343,115 @@ def streamed_tracks_gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_tables_have_it(spark.read.parquet(f"{root}/gridded").drop("batch"))
 
 
+@query(_summary_sql("0.15", "15.0"))
+def appended_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summaries of the appending workflow after three runs, each with a third of the trips and one of them repeated in vain."""
+    root = store.scratch(spark, "appended")
+    conf = {"storage": {"root": f"{root}/store", "tracks_root": f"{root}/tracks"}, "tracks": {"prefix": "tracks", "version": "latest", "grid_size": 500}}
+    name = None
+    for k in range(3):
+        _stored_tracks(spark, sf_dir, conf["storage"]["tracks_root"], F.pmod("Trip", F.lit(3)) == k)
+        name = workflows.append_tracks(spark, conf, now=_AT.replace(year=2024 + k))
+        assert workflows.append_tracks(spark, conf) is None
+    return _round(spark.read.parquet(f"{root}/store/{name}"), 6, "avg_speed", "avg_range", "avg_time_hours")
+
+
+def _recorded(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Answers of the service as files: a body for each trip, in which the column that tells of its sort comes and goes, and one number turns into text."""
+    p = points(spark, sf_dir)
+    cell = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    base = ("Time", "Lat", "Lng", "Speed (M/S)", "Range (Meters)", "Heading")
+    odd = F.pmod("Trip", F.lit(2)) == 1
+    line = F.concat_ws(",", F.concat(F.date_format("Time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")), *[cell(c) for c in base[1:]], (F.col("seq") % 100).cast("string"), F.when(odd, F.concat(F.lit("b"), F.col("seq").cast("string"))).otherwise(F.col("seq").cast("string")))
+    line = F.when(odd, F.concat_ws(",", line, F.concat((F.col("seq") % 7).cast("string"), F.lit(".5")))).otherwise(line)
+    lines = p.groupBy("Trip").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))), lambda x: x["line"]), "\n").alias("lines"))
+    head = F.when(odd, F.lit(",".join([*base, "battery", "note", "signal"]))).otherwise(F.lit(",".join([*base, "battery", "note"])))
+    stored.write_texts(lines.select(F.concat(F.lit("trips/"), F.col("Trip").cast("string"), F.lit("/points")).alias("name"), F.concat(head, F.lit("\n"), F.col("lines"), F.lit("\n")).alias("body")), f"{root}/tok/v1")
+
+
+@query(
+    f"""WITH {_POINTS}, o AS (SELECT *, row_number() OVER (PARTITION BY Trip ORDER BY seq) - 1 AS n FROM points)
+SELECT Trip, 'tracks_' || Trip || '.parquet' AS object, n::BIGINT AS seq, ts AS Time, round(Lat, 9) AS Lat, round(Lng, 9) AS Lng, (seq % 100)::BIGINT AS battery,
+       CASE WHEN Trip % 2 = 1 THEN 'b' ELSE '' END || seq AS note, CASE WHEN Trip % 2 = 1 THEN (seq % 7) + 0.5::DOUBLE END AS signal FROM o"""
+)
+def ingested_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingestion of trips and tracks from recorded answers: what the objects hold, of known columns and of those that the answers brought along."""
+    root = store.scratch(spark, "ingested")
+    _recorded(spark, sf_dir, f"{root}/api")
+    trip_list = points(spark, sf_dir).select("Trip").distinct()
+    store.write_versioned(trip_list, f"{root}/store", "trips", now=_AT)
+    base = root if "://" in root or root.startswith("file:") else f"file://{root}"
+    conf = {"api": {"base_url": f"{base}/api", "token": "tok", "secret": "-"}, "trips": {"prefix": "trips", "version": "latest"}, "tracks": {"prefix": "tracks"}, "storage": {"root": f"{root}/store", "tracks_root": f"{root}/tracks"}}
+    workflows.ingest_tracks(spark, conf)
+    rows = spark.read.option("mergeSchema", True).parquet(f"{root}/tracks/tracks_*.parquet")
+    return rows.select("Trip", F.col("_metadata.file_name").alias("object"), "seq", F.col("Time").cast("timestamp_ntz").alias("Time"), *[F.round(c, 9).alias(c) for c in ("Lat", "Lng")], "battery", "note", "signal")
+
+
+@query(_ROUNDED)
+def tracks_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points that arrive in ten files by time, so each trip in many pieces, gridded as trips close; the stream is restarted halfway."""
+    root = store.scratch(spark, "pieces")
+    own = points(spark, sf_dir).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in POINTS.fields])
+    first, last = own.agg(F.min("Time"), F.max("Time")).first()
+    share = (F.unix_micros("Time") - F.unix_micros(F.lit(first))) * 10 / (F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1)
+    own.withColumn("file", F.floor(share)).repartition("file").write.partitionBy("file").parquet(f"{root}/all")
+    # a point long after, of a trip of its own, lets the watermark pass all others
+    spark.createDataFrame([(-1, last + timedelta(days=9000), 0.0, 0.0, 0.0, 0.0, 0.0, -1)], POINTS).coalesce(1).write.parquet(f"{root}/end")
+    fs, at = store._fs(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(f"{root}/in"))
+    for half in (range(5), range(5, 10)):
+        for k in half:
+            fs.rename(path(f"{root}/all/file={k}"), path(f"{root}/in/{k}"))
+        if 9 in half:
+            fs.rename(path(f"{root}/end"), path(f"{root}/in/end"))
+        grid_pieces(spark, f"{root}/in", f"{root}/gridded", f"{root}/checkpoint", timedelta(days=4000), files_at_once=64).awaitTermination()
+    return _as_tables_have_it(spark.read.parquet(f"{root}/gridded").drop("batch"))
+
+
+def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A leaning quadrilateral with a triangular hole for each nation, around the tracks."""
+    n = F.col("n_nationkey").cast("double")
+    x, y = F.lit(39.0) + F.lit(0.0173) * (n % 5.0), F.lit(-4.1) + F.lit(0.0191) * F.floor(n / 5.0)
+
+    def ring(*corners):
+        return F.array(*[F.array(x + F.lit(dx), y + F.lit(dy)) for dx, dy in (*corners, corners[0])])
+
+    shape = F.to_json(F.array(ring(*_OUTER), ring(*_HOLE)))
+    return _table(spark, sf_dir, "nation").select(F.col("n_name").alias("region"), F.struct(F.lit("Polygon").alias("type"), shape.alias("coordinates")).alias("geometry"))
+
+
+_OUTER = ((0.0, 0.0), (0.031, 0.007), (0.027, 0.033), (-0.006, 0.029))
+_HOLE = ((0.011, 0.011), (0.021, 0.013), (0.014, 0.022))
+
+
+def _within_sql() -> str:
+    """Regions of places by the crossings of the arc from a place far away, of all edges."""
+    edges = [(r[k], r[(k + 1) % len(r)]) for r in (_OUTER, _HOLE) for k in range(len(r))]
+    ends = " UNION ALL ".join(f"SELECT region, x + {a[0]}::DOUBLE AS ax, y + {a[1]}::DOUBLE AS ay, x + {b[0]}::DOUBLE AS bx, y + {b[1]}::DOUBLE AS by_ FROM n" for a, b in edges)
+    v = lambda name, lng, lat: f"cos(radians({lat})) * cos(radians({lng})) AS {name}1, cos(radians({lat})) * sin(radians({lng})) AS {name}2, sin(radians({lat})) AS {name}3"
+    cross = lambda a, b, name: f"{a}2 * {b}3 - {a}3 * {b}2 AS {name}1, {a}3 * {b}1 - {a}1 * {b}3 AS {name}2, {a}1 * {b}2 - {a}2 * {b}1 AS {name}3"
+    dot = lambda a, b: f"({a}1 * {b}1 + {a}2 * {b}2 + {a}3 * {b}3)"
+    return f"""n AS (SELECT n_name AS region, 39.0::DOUBLE + 0.0173::DOUBLE * (n_nationkey % 5) AS x, -4.1::DOUBLE + 0.0191::DOUBLE * (n_nationkey // 5) AS y FROM nation),
+ends AS ({ends}),
+arcs AS (SELECT region, {v("a", "ax", "ay")}, {v("b", "bx", "by_")} FROM ends),
+sides AS (SELECT *, {cross("a", "b", "n")} FROM arcs),
+places AS (SELECT lat_grid, lng_grid, {v("p", "lng_grid", "lat_grid")}, {v("q", "20.0::DOUBLE", "10.0::DOUBLE")} FROM (SELECT DISTINCT lat_grid, lng_grid FROM gridded)),
+ways AS (SELECT *, {cross("p", "q", "w")} FROM places),
+met AS (SELECT lat_grid, lng_grid, region, count(*) FILTER ({dot("n", "p")} * {dot("n", "q")} < 0 AND {dot("w", "a")} * {dot("w", "b")} < 0 AND {dot("n", "p")} * {dot("w", "b")} > 0) AS times FROM ways, sides GROUP BY ALL),
+within AS (SELECT lat_grid, lng_grid, region FROM met WHERE times % 2 = 1)"""
+
+
+@query(f"WITH {_gridded(0.001)}, {_within_sql()} SELECT region, count(*)::BIGINT AS cells, sum(g.n_points)::BIGINT AS n_points, count(DISTINCT Trip)::BIGINT AS trips FROM gridded g JOIN within w ON g.lat_grid = w.lat_grid AND g.lng_grid = w.lng_grid GROUP BY region")
+def cells_of_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tracks spend in each region of a published, indexed collection of maps; each distinct cell is looked up once."""
+    root = store.scratch(spark, "maps")
+    store.push(_regions(spark, sf_dir), root, "maps", "portal", geo=True, finest=16)
+    gridded = tracks.grid_tracks(points(spark, sf_dir), 100)
+    found = store.located(spark, gridded.select("lng_grid", "lat_grid").distinct(), root, "maps", "portal", "lng_grid", "lat_grid")
+    return gridded.join(found, ["lng_grid", "lat_grid"]).groupBy("region").agg(F.count(F.lit(1)).alias("cells"), F.sum("n_points").alias("n_points"), F.count_distinct("Trip").alias("trips"))
+
+
 @query("SELECT o_orderkey AS Trip, o_custkey::VARCHAR AS IMEI, o_orderdate AS day FROM orders WHERE o_orderkey % 2 = 0")
 def versioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two versions of one object; the first by its version is all trips, the latest is the second."""

@@ -10,10 +10,13 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from halyard.functions.names import versioned
 from halyard.operators import catalog, collection
+from halyard.operators import geo as geo_
 from halyard.schemas import OBJECTS
+from halyard.sources import snapshots
 
 log = logging.getLogger("halyard")
 COMPRESSION = "lz4_raw"
@@ -91,27 +94,25 @@ def index_command(name: str) -> str:
     return json.dumps({"createIndexes": name, "indexes": [{"key": {"geometry": "2dsphere"}, "name": "geometry_2dsphere"}]})
 
 
-def push(data: DataFrame | None, root: str | None, name: str | None, database: str | None, geo: bool = False, run: Callable[[str], object] | None = None) -> bool:
+def push(data: DataFrame | None, root: str | None, name: str | None, database: str | None, geo: bool = False, run: Callable[[str], object] | None = None, finest: int = geo_.FINEST) -> bool:
     """data in place of all documents of a collection, with its column order beside it.
 
-    The new documents are written first and take the old ones' place by a rename, so a failed write leaves the
-    old collection. geo runs the index command with `run`; a failure there is only logged."""
+    The documents are a new snapshot, which takes the old one's place by a commit: readers see one or the other, and a crash leaves
+    one of them. geo adds an index of the column geometry to the snapshot, which located() reads, and runs the index command of
+    a document store with `run`, if given; a failure there is only logged. finest: the level of the index's smallest cells."""
     if data is None or root is None or name is None or database is None:
         raise ValueError("data, root, name and database must all be given")
     spark = data.sparkSession
-    base = f"{root}/{database}"
-    fresh, target, old = f"{base}/.{name}-{uuid.uuid4().hex}", f"{base}/{name}", f"{base}/.{name}-{uuid.uuid4().hex}-old"
-    data.write.option("compression", COMPRESSION).parquet(f"{fresh}/data")
-    spark.createDataFrame([(collection.METADATA, data.columns)], "type string, columns array<string>").coalesce(1).write.json(f"{fresh}/metadata")
-    fs, at = _fs(spark, target)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    replaced = fs.exists(at)
-    if replaced:
-        fs.rename(at, path(old))
-    if not fs.rename(path(fresh), at):
-        raise OSError(f"can't rename {fresh} to {target}")
-    if replaced:
-        fs.delete(path(old), True)
+    base, part = f"{root}/{database}/{name}", snapshots.new_part("snapshot")
+    data.write.option("compression", COMPRESSION).parquet(f"{base}/{part}/data")
+    spark.createDataFrame([(collection.METADATA, data.columns)], "type string, columns array<string>").coalesce(1).write.json(f"{base}/{part}/metadata")
+    indexed = geo and "geometry" in data.columns
+    if geo and not indexed:
+        log.warning("%s has no column geometry, so it gets no index", name)
+    if indexed:
+        # the documents are read back, so that they aren't made twice
+        geo_.coverings(spark.read.schema(data.schema).parquet(f"{base}/{part}/data"), finest=finest).write.parquet(f"{base}/{part}/geometry")
+    snapshots.commit(spark, base, lambda before: ([part], {"finest": finest if indexed else None}))
     if geo and run is not None:
         try:
             run(index_command(name))
@@ -123,9 +124,25 @@ def push(data: DataFrame | None, root: str | None, name: str | None, database: s
 def pull(spark: SparkSession, root: str, name: str, database: str) -> DataFrame:
     """The documents of a collection, columns in the order in which they were stored, others after them."""
     base = f"{root}/{database}/{name}"
-    fs, at = _fs(spark, f"{base}/metadata")
-    stored = None
-    if fs.exists(at):
-        row = collection.metadata_rows(spark.read.schema("type string, columns array<string>").json(f"{base}/metadata")).first()
-        stored = list(row.columns) if row and row.columns else None
-    return collection.in_order(collection.data_rows(spark.read.parquet(f"{base}/data")), stored)
+    version = snapshots.current(spark, base)
+    if version is None:
+        raise FileNotFoundError(f"no collection {name} in {root}/{database}")
+    at = f"{base}/{version.parts[0]}"
+    row = collection.metadata_rows(spark.read.schema("type string, columns array<string>").json(f"{at}/metadata")).first()
+    return collection.in_order(collection.data_rows(spark.read.parquet(f"{at}/data")), list(row.columns) if row and row.columns else None)
+
+
+def located(spark: SparkSession, places: DataFrame, root: str, name: str, database: str, lng: str = "lng", lat: str = "lat") -> DataFrame:
+    """places with the columns of each document of an indexed collection whose geometry holds them; places in none drop out.
+
+    Of columns that both have, those of places stay."""
+    base = f"{root}/{database}/{name}"
+    version = snapshots.current(spark, base)
+    if version is None or version.meta["finest"] is None:
+        raise ValueError(f"{name} has no index; push it with geo")
+    at = f"{base}/{version.parts[0]}"
+    documents = spark.read.parquet(f"{at}/data")
+    own = [c for c in documents.columns if c != "geometry" and c not in places.columns]
+    documents = documents.select(geo_.region_id(F.col("geometry")).alias("_region"), *[F.col(f"`{c}`") for c in own])
+    found = geo_.regions_of(places, spark.read.schema(geo_.COVERING).parquet(f"{at}/geometry"), lng, lat, version.meta["finest"]).withColumnRenamed("region", "_region")
+    return found.join(documents, "_region").drop("_region")

@@ -55,7 +55,7 @@ def conf(server, tmp_path):
     (tmp_path / "meta").mkdir()
     (tmp_path / "meta/devices.csv").write_text("state,IMEI\nInstalled,001\nInstalled,002\nRetired,009\n")
     return {
-        "api": {"base_url": server[0], "token": "tok", "secret": "sec", "from_date": "2023-01-01"},
+        "api": {"base_url": server[0], "token": "tok", "secret": "sec", "from_date": "2023-01-01", "attempts": 1},
         "trips": {"prefix": "trips", "version": "latest"},
         "tracks": {"prefix": "tracks", "version": "latest", "grid_size": 500},
         "storage": {"root": f"{tmp_path}/store", "tracks_root": f"{tmp_path}/tracks"},
@@ -110,11 +110,13 @@ def test_answers_are_stored_whole_or_not_at_all(spark, conf, server):
     assert workflows.preprocess_tracks(spark, conf, now=START) is not None
 
 
-def test_ids_come_in_lists(spark, conf, server, monkeypatch):
-    monkeypatch.setattr(workflows, "IDS_AT_ONCE", 2)
+def test_ids_are_dealt_to_tasks(spark, conf, server):
+    conf["api"]["tasks"] = 2
     store.write_versioned(spark.createDataFrame([(t,) for t in (1, 2, 7, 8, 9)], "Trip long"), conf["storage"]["root"], "trips")
-    assert sorted(r.trip_id for r in workflows.ingest_tracks(spark, conf).collect()) == [1, 2, 7, 8, 9]
+    assert sorted(r.trip_id for r in workflows.ingest_tracks(spark, conf, batch_size=2).collect()) == [1, 2]
+    assert sorted(r.trip_id for r in workflows.ingest_tracks(spark, conf).collect()) == [7, 8, 9]
     assert workflows.ingest_tracks(spark, conf).count() == 0
+    assert len([p for p, *_ in server[1]]) == 5  # each id is asked for once
 
 
 def test_credentials_reach_the_clients_once(spark):
