@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from halyard.llm import decontaminate, hmm, jaccard, licenses, media, mixing, quality, secrets, tokens, urls
+from halyard.llm import decontaminate, hmm, jaccard, media, mixing, quality, secrets, tokens, urls
 
 from .conftest import SCHEMA, odd_rows, prose
 
@@ -547,57 +547,6 @@ def test_counts_on_odd_tables(odd, none, piece_model):
     assert tokens.token_counts(none).count() == 0
 
 
-# --- 7 -----------------------------------------------------------------------------------------
-
-
-def test_licences_come_from_the_nearest_directory(spark):
-    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
-    body = "Some words of a file that say nothing of the sort at all. " * 3
-    rows = [
-        (1, "a/LICENSE", mit + " " + body), (2, "a/x.txt", body), (3, "a/b/y.txt", body), (4, "a/b/c/COPYING", gpl), (5, "a/b/c/z.txt", body), (6, "a/b/c/d/e.txt", body + "\nLicensed under CC BY-NC 4.0.\n" + body),
-        (7, "q/x.txt", body), (8, None, body), (9, None, gpl), (10, "a/b/y.txt", None), (11, "LICENSE", ""), (12, "ab/x.txt", body),
-    ]
-    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
-    got = {r.doc_id: (r.license, r.origin, r.licensed_by) for r in licenses.scanned(df, F.col("path")).collect()}
-    assert got == {
-        1: ("MIT", "own", None), 2: ("MIT", "inherited", "a"), 3: ("MIT", "inherited", "a"), 4: ("GPL-3.0", "own", None), 5: ("GPL-3.0", "inherited", "a/b/c"), 6: ("CC-BY-NC-4.0", "own", None),
-        7: (None, None, None), 8: (None, None, None), 9: ("GPL-3.0", "own", None), 10: ("MIT", "inherited", "a"), 11: (None, None, None), 12: (None, None, None),
-    }
-
-
-def test_each_row_is_scanned_for_itself(spark):
-    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
-    body = " ".join(f"word{k}" for k in range(12))
-    rows = [(1, "a/x", mit), (1, "b/x", gpl), (None, "c/x", mit), (None, "d/x", gpl), *[(5, "e/f/x", f"{mit}\n{body}")] * 4, (6, "e/f/y", body)]
-    got = Counter((r.doc_id, r.path, r.license, r.score, r.origin) for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, path string, text string").repartition(3), F.col("path")).collect())
-    assert got == Counter([(1, "a/x", "MIT", 1.0, "own"), (1, "b/x", "GPL-3.0", 1.0, "own"), (None, "c/x", "MIT", 1.0, "own"), (None, "d/x", "GPL-3.0", 1.0, "own"), *[(5, "e/f/x", "MIT", 1.0, "own")] * 4, (6, "e/f/y", None, None, None)])
-
-
-def test_wrapped_headers_tags_and_reworded_notices(spark):
-    cases = [
-        ("GPL-3.0", " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n *\n * More words that follow."),
-        ("MPL-2.0", "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not distributed with this\n# file, You can obtain one at http://mozilla.org/MPL/2.0/.\n\nimport x"),
-        ("MIT", "// SPDX-License-Identifier: MIT\nint main() {}"), ("Apache-2.0", "# SPDX-License-Identifier: Apache-2.0"),
-        ("MIT", "Permission granted, free of charge, to any person obtaining a copy of this software."), (None, "The terms of this work and the version of the public form of it."),
-    ]
-    got = {r.doc_id: r.license for r in licenses.scanned(spark.createDataFrame([(k, f"d{k}/x", t) for k, (_, t) in enumerate(cases)], "doc_id long, path string, text string"), F.col("path")).collect()}
-    assert got == {k: name for k, (name, _) in enumerate(cases)}
-
-
-def test_no_unit_without_a_telling_term_reaches_the_threshold():
-    postings, _ = licenses._weights(licenses.TEMPLATES)
-    some = {*licenses.telling()}
-    rest = Counter()
-    for k, _, term, w, _ in postings:
-        rest[k] += w * w * (term not in some)
-    assert max(rest.values()) < licenses.LEAST**2
-
-
-def test_licences_on_odd_tables(odd, none):
-    assert licenses.scanned(odd, licenses.document_path()).count() == len(odd_rows())
-    assert licenses.scanned(none, licenses.document_path()).count() == 0
-
-
 # --- 8 -----------------------------------------------------------------------------------------
 
 
