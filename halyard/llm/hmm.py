@@ -35,8 +35,9 @@ STATES = 8
 #: Tokens of a stretch; longer texts are cut into several, across which the messages are exact.
 STRETCH = 8192
 #: Tokens that are worked on at once.
-BLOCK = 1 << 18
-EVERY = 8
+BLOCK = 1 << 17
+#: What a ratio between states, or a step, is at least: far below what any corpus can tell, far above what doubles lose.
+LEAST = 1e-60
 ROUNDS = 10
 PSEUDO = 20.0
 ADD = 0.1
@@ -133,8 +134,7 @@ def _transfers(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, step: np.n
     for t in range(int(size[0])):
         m = int(np.searchsorted(-size, -t, "left"))
         out[:m] = (out[:m].reshape(-1, s) @ step).reshape(m, s, s) * emit[flat[begin[:m] + t]][:, None, :]
-        if t % EVERY == 0:
-            out[:m] /= out[:m].sum((1, 2), keepdims=True)
+        out[:m] /= out[:m].sum((1, 2), keepdims=True)
     back = np.empty_like(out)
     back[order] = out
     return back
@@ -170,14 +170,14 @@ class _Space:
     """Work space that is kept from block to block: fresh memory costs more than the arithmetic."""
 
     def __init__(self, n: int, states: int):
-        self.arrays = [np.empty((n, states), np.float32) for _ in range(3)]
+        self.arrays = [np.empty((n, states)) for _ in range(3)]
 
 
 def _side_by_side(flat, begin, size, first, before, after, start, step, emit, space: _Space, total) -> None:
     """Adds the expected counts of stretches, the longest first, to total (first states, steps, emissions).
 
-    Tokens lie by time, then stretch. Messages are scaled at every EVERY-th time by the same factor in both
-    directions, so that their product is the posterior at each time."""
+    Tokens lie by time, then stretch. Both messages are scaled to a sum of one at each time, and posteriors by what
+    the two have in common there, so nothing depends on how long a text is or how far apart the states are."""
     s, longest = len(step), int(size[0])
     alive = np.searchsorted(-size, -np.arange(longest), "left")
     off = np.cumsum(alive) - alive
@@ -186,55 +186,58 @@ def _side_by_side(flat, begin, size, first, before, after, start, step, emit, sp
     seen = flat[begin[at] + np.repeat(np.arange(longest), alive)].astype(np.int64)
     e, alpha, beta = (x[:n] for x in space.arrays)
     np.take(emit, seen, axis=0, out=e, mode="clip")
-    back, ones, scale = step.T.copy(), np.ones(s, np.float32), {}
+    back, ones, norms = step.T.copy(), np.ones(s), np.empty(n)
     alive, off = alive.tolist(), off.tolist()
-    lead = np.where(first[:, None], start, before @ step).astype(np.float32)
+    lead = np.where(first[:, None], start, before @ step)
     np.multiply(lead, e[: alive[0]], out=alpha[: alive[0]])
     for t in range(longest):
-        now = alpha[off[t] : off[t] + alive[t]]
+        o, m = off[t], alive[t]
+        now, norm = alpha[o : o + m], norms[o : o + m]
         if t:
-            np.matmul(alpha[off[t - 1] : off[t - 1] + alive[t]], step, out=now)
-            now *= e[off[t] : off[t] + alive[t]]
-        if t % EVERY == 0:
-            scale[t] = (1 / (now @ ones))[:, None]
-            now *= scale[t]
-    steps, ahead, following = np.zeros((s, s), np.float64), None, 0
+            np.matmul(alpha[off[t - 1] : off[t - 1] + m], step, out=now)
+            now *= e[o : o + m]
+        np.matmul(now, ones, out=norm)
+        now /= norm[:, None]
+    steps, ahead, following = np.zeros((s, s)), None, 0
     for t in range(longest - 1, -1, -1):
         o, m = off[t], alive[t]
-        b = beta[o : o + m]
+        b, now = beta[o : o + m], alpha[o : o + m]
         if following:
             np.matmul(ahead, back, out=b[:following])
         if following < m:  # these stretches end here
-            end = after[following:m]
-            b[following:] = end / ((alpha[o + following : o + m] * end) @ np.ones(s))[:, None]
+            b[following:] = after[following:m]
         ahead = e[o : o + m]
         ahead *= b
-        if t % EVERY == 0:
-            ahead *= scale[t]
+        # alpha * b is the posterior up to its sum; with it, and the forward norm, the steps into this time get theirs
+        b *= now
+        shared = b @ ones
+        b /= shared[:, None]
+        shared *= norms[o : o + m]
+        ahead /= shared[:, None]
         if t:
             steps += alpha[off[t - 1] : off[t - 1] + m].T @ ahead
+            ahead /= (ahead @ ones)[:, None]
         following = m
     steps += before.T @ ahead
-    alpha *= beta
-    total[0] += alpha[: alive[0]][first].sum(0, dtype=np.float64)
+    total[0] += beta[: alive[0]][first].sum(0)
     total[1] += step * steps
     for j in range(s):
-        total[2][:, j] += np.bincount(seen, alpha[:, j], len(emit))
+        total[2][:, j] += np.bincount(seen, beta[:, j], len(emit))
 
 
 def _expected(flat: np.ndarray, n: np.ndarray, start: np.ndarray, step: np.ndarray, emit: np.ndarray, total: list[np.ndarray], stretch: int = STRETCH) -> None:
     """Adds the expected counts of first states, steps and emissions over whole sequences (flat, of lengths n) to total.
 
-    emit has a row for each class; only the ratios within a row matter here. Messages are in single precision, sums in double."""
+    emit has a row for each class; only the ratios within a row matter here, down to LEAST of the largest."""
     if not len(n):
         return
     top = emit.max(1, keepdims=True)
-    emit = emit / np.where(top > 0, top, 1.0)
+    emit = np.maximum(emit / np.where(top > 0, top, 1.0), LEAST)
+    step = np.maximum(step, LEAST)
     begin, size, first, before, after = _stretches(flat, n, start, step, emit, stretch)
     order = np.argsort(-size, kind="stable")
     ends = np.cumsum(size[order])
     space = _Space(max(BLOCK, int(size.max())), len(step))
-    emit, step = emit.astype(np.float32), step.astype(np.float32)
     a = 0
     while a < len(order):
         b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
@@ -287,6 +290,8 @@ def _round(coded: DataFrame, start, step, emit) -> tuple[np.ndarray, np.ndarray,
     out = np.zeros((c + s + 1, s))
     for r in coded.select("seq").mapInArrow(run, "row int, state int, n double").groupBy("row", "state").agg(F.sum("n").alias("n")).collect():
         out[r.row, r.state] = r.n
+    if not np.isfinite(out).all():
+        raise ArithmeticError("expected counts aren't finite")
     return out[-1], out[c:-1], out[:c]
 
 

@@ -398,6 +398,49 @@ def test_expected_counts_are_those_of_all_paths():
             assert np.allclose(a, b, atol=1e-5)
 
 
+def plain_expected(seqs, start, step, emit):
+    """Expected counts in logarithms, which lose nothing however far apart the states are."""
+    total = [np.zeros(len(start)), np.zeros(step.shape), np.zeros(emit.shape)]
+    with np.errstate(divide="ignore"):
+        ls, lt, le = np.log(start), np.log(step), np.log(emit)
+    for seq in seqs:
+        n = len(seq)
+        a, b = np.empty((n, len(start))), np.zeros((n, len(start)))
+        a[0] = ls + le[seq[0]]
+        for t in range(1, n):
+            a[t] = np.logaddexp.reduce(a[t - 1][:, None] + lt, axis=0) + le[seq[t]]
+        for t in range(n - 2, -1, -1):
+            b[t] = np.logaddexp.reduce(lt + (le[seq[t + 1]] + b[t + 1])[None, :], axis=1)
+        whole = np.logaddexp.reduce(a[-1])
+        total[0] += np.exp(a[0] + b[0] - whole)
+        for t in range(n):
+            total[2][seq[t]] += np.exp(a[t] + b[t] - whole)
+            if t:
+                total[1] += np.exp(a[t - 1][:, None] + lt + (le[seq[t]] + b[t])[None, :] - whole)
+    return total
+
+
+@pytest.mark.parametrize("ratio", [1e-6, 1e-10, 1e-15, 1e-40])
+def test_expected_counts_of_states_far_apart(ratio):
+    """Words and states that have specialised, as on a corpus of 10^12 tokens: alternating, in rotation, and long runs."""
+    rng = np.random.default_rng(2)
+    s = 3
+    step = np.full((s, s), ratio) + np.eye(s)
+    step /= step.sum(1, keepdims=True)
+    emit = np.full((s + 1, s), ratio) * rng.uniform(0.5, 2, (s + 1, s))
+    emit[np.arange(s), np.arange(s)] = 1.0
+    emit /= emit.sum(0)
+    seqs = [np.array(x, np.uint16) for x in ([0, 1] * 12, [0, 1, 2] * 20, [0] * 30 + [2] * 30 + [3] + [1] * 5, [3], rng.integers(0, 4, 200).tolist())]
+    start = np.array([1.0, ratio, ratio])
+    want = plain_expected(seqs, start / start.sum(), step, emit)
+    for stretch in (7, 1000):
+        got = [np.zeros_like(x) for x in want]
+        hmm._expected(np.concatenate(seqs), np.array([len(x) for x in seqs]), start / start.sum(), step, emit, got, stretch)
+        for a, b in zip(got, want, strict=True):
+            assert np.allclose(a, b, rtol=1e-6, atol=1e-8)
+        assert np.isclose(got[2].sum(), sum(map(len, seqs)))
+
+
 def plain_base(rows):
     tok = [[*WORD.findall(lower(t)), None] for _, t in rows]
     train = [zlib.crc32(("" if d is None else str(d)).encode()) % 10 != 0 for d, _ in rows]
