@@ -9,8 +9,8 @@ alone. Where a text has both the more exact name and the less exact one, as of a
 nothing else is found. A file whose words are mostly licence, or whose name says so, is a licence file of its
 directory. A file without a header of its own takes the licence of the nearest directory above it, by a join on paths.
 
-Every identity needs one of a few stems (ANCHORS), so texts, blocks and lines without any are passed over by one
-pattern: that loses nothing. Only units with an identity leave the scan, with the templates' terms among theirs; all other terms have one
+A unit is what has one of a few stems (ANCHORS), which notices and licences have: texts, blocks and lines without any are passed over by
+a search for them. An abbreviation by itself, without a word of licensing beside it, is no notice. Only units with an identity leave the scan, with the templates' terms among theirs; all other terms have one
 weight, so the sum of their squared counts, made where the text is, completes a unit's length. Ancestors are
 made for distinct directories, not for files, so a directory with most files costs one row. The templates are
 a short list of the caller's, and only they are broadcast.
@@ -50,7 +50,7 @@ def _gnu(name: str, short: str, title: str, version: str, date: str, subject: st
     number = version.replace(".", r"\.") + (r"(\.0)?" if "." not in version else "")
     said = rf"(version|v) ?{number}( |$)"
     title_terms = title.lower()
-    must = rf"{title_terms}.* {said}|(^| ){said}.*{title_terms}|(^| ){short}(v| v| |-| version )?{number}(-only|-or-later)?( |$)"
+    must = rf"{title_terms}.{{0,200}} {said}|(^| ){said}.{{0,200}}{title_terms}|(^| ){short}(v| v| |-| version )?{number}(-only|-or-later)?( |$)"
     titles = (f"{title}, version {version}", f"{title} v{version}", f"{short.upper()}v{version}", f"{short.upper()} v{version}", f"{short.upper()} version {version}", name, f"{name}-only", f"{name}-or-later")
     return License(name, must, never, titles, (
         f"This {subject} is free software; you can redistribute it and/or modify it under the terms of the {title} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version.",
@@ -100,16 +100,16 @@ LICENSES = (
     License("Apache-2.0", r"apache (software )?license( version| v)? ?2(\.0)?( |$)|apache-2\.0|licenses license-2\.0", "", ("Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0"), ("Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION")),
     License("Artistic-2.0", r"artistic license (version )?2\.0|artistic-2\.0", "", ("Artistic License 2.0",), ("The Artistic License 2.0 Copyright (c) 2000-2006, The Perl Foundation. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",)),
     License("BSD", rf"{_BSD_GRANT}|(^| )bsd licen[cs]e", rf"{_NAMED}|advertising materials|redistributions (of source code must retain|in binary form)|[0-9]-clause|(two|three|four|new|simplified|modified|zero)[ -](clause )?bsd|clause license|zero-clause", ("BSD License",), (_BSD_TEXT, "Redistribution and use in source and binary forms, with or without modification, are permitted.")),
-    License("BSD-2-Clause", rf"{_BSD_GRANT}.*redistributions|(2-clause|simplified) bsd|bsd (2-clause|simplified)|bsd-2-clause", rf"{_NAMED}|advertising materials", ("BSD 2-Clause License", "Simplified BSD License", "BSD-2-Clause"), (_BSD_TEXT + _BSD_TWO, _BSD_TEXT + _BSD_TWO + _BSD_REST), over=("BSD",)),
-    License("BSD-3-Clause", rf"{_BSD_GRANT}.*({_NAMED})|(3-clause|new|modified) bsd|bsd (3-clause|new)|bsd-3-clause", "advertising materials", ("BSD 3-Clause License", "New BSD License", "BSD-3-Clause"), (_BSD_TEXT + _BSD_TWO + " 3." + _BSD_NAME, _BSD_TEXT + _BSD_TWO + " 3." + _BSD_NAME + _BSD_REST), over=("BSD", "BSD-2-Clause")),
-    License("BSD-4-Clause", rf"{_BSD_GRANT}.*advertising materials|(4-clause|original) bsd|bsd 4-clause|bsd-4-clause", "", ("BSD 4-Clause License", "BSD-4-Clause"), (_BSD_TEXT + _BSD_TWO + " 3." + _BSD_AD + " 4." + _BSD_NAME, _BSD_TEXT + _BSD_TWO + " 3." + _BSD_AD + " 4." + _BSD_NAME + _BSD_REST), over=("BSD", "BSD-2-Clause", "BSD-3-Clause")),
+    License("BSD-2-Clause", rf"{_BSD_GRANT}.{{0,200}}redistributions (of source code|in binary form)|(2-clause|simplified) bsd|bsd (2-clause|simplified)|bsd-2-clause", rf"{_NAMED}|advertising materials", ("BSD 2-Clause License", "Simplified BSD License", "BSD-2-Clause"), (_BSD_TEXT + _BSD_TWO, _BSD_TEXT + _BSD_TWO + _BSD_REST), over=("BSD",)),
+    License("BSD-3-Clause", rf"{_BSD_GRANT}.{{0,900}}({_NAMED})|(3-clause|new|modified) bsd|bsd (3-clause|new)|bsd-3-clause", "advertising materials", ("BSD 3-Clause License", "New BSD License", "BSD-3-Clause"), (_BSD_TEXT + _BSD_TWO + " 3." + _BSD_NAME, _BSD_TEXT + _BSD_TWO + " 3." + _BSD_NAME + _BSD_REST), over=("BSD", "BSD-2-Clause")),
+    License("BSD-4-Clause", rf"{_BSD_GRANT}.{{0,900}}advertising materials|(4-clause|original) bsd|bsd 4-clause|bsd-4-clause", "", ("BSD 4-Clause License", "BSD-4-Clause"), (_BSD_TEXT + _BSD_TWO + " 3." + _BSD_AD + " 4." + _BSD_NAME, _BSD_TEXT + _BSD_TWO + " 3." + _BSD_AD + " 4." + _BSD_NAME + _BSD_REST), over=("BSD", "BSD-2-Clause", "BSD-3-Clause")),
     License("BSL-1.0", r"boost software license|person or organization obtaining a copy of the software and accompanying documentation covered by this license|bsl-1\.0", "", ("Boost Software License, Version 1.0", "BSL-1.0"), ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so")),
     *(_cc(code, words, version) for code, words in (("by", "attribution"), ("by-nc", "attribution-noncommercial"), ("by-nc-nd", "attribution-noncommercial-noderivatives"), ("by-nc-sa", "attribution-noncommercial-sharealike"), ("by-nd", "attribution-noderivatives"), ("by-sa", "attribution-sharealike")) for version in ("3.0", "4.0")),
     License("CC0-1.0", r"(^| )cc0( |$|-1\.0)|waived all copyright and related|publicdomain zero 1\.0", "", ("CC0 1.0 Universal Public Domain Dedication", "CC0-1.0"), ("To the extent possible under law, the author has waived all copyright and related rights to this work.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Creative Commons Legal Code CC0 1.0 Universal")),
     License("CDDL-1.0", "common development and distribution license|(^| )cddl( |-|$)", r"version 1\.1|cddl-1\.1", ("Common Development and Distribution License, Version 1.0", "CDDL-1.0"), ("The contents of this file are subject to the terms of the Common Development and Distribution License (the License). You may not use this file except in compliance with the License.",)),
-    License("EPL-1.0", r"eclipse public license.* (version |v ?)?1\.0( |$)|epl-1\.0|epl-v10", "", ("Eclipse Public License v1.0", "EPL-1.0"), ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",)),
-    License("EPL-2.0", r"eclipse public license.* (version |v ?)?2\.0( |$)|epl-2\.0|epl-v20", "", ("Eclipse Public License v2.0", "EPL-2.0"), ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",)),
-    License("EUPL-1.2", r"european union public licen[cs]e.*1\.2|eupl-1\.2|eupl (v|version )?1\.2", "", ("European Union Public Licence, Version 1.2", "EUPL-1.2"), ("Licensed under the EUPL, Version 1.2 or as soon they will be approved by the European Commission - subsequent versions of the EUPL (the Licence); You may not use this work except in compliance with the Licence.",)),
+    License("EPL-1.0", r"eclipse public license.{0,60} (version |v ?)?1\.0( |$)|epl-1\.0|epl-v10", "", ("Eclipse Public License v1.0", "EPL-1.0"), ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",)),
+    License("EPL-2.0", r"eclipse public license.{0,60} (version |v ?)?2\.0( |$)|epl-2\.0|epl-v20", "", ("Eclipse Public License v2.0", "EPL-2.0"), ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",)),
+    License("EUPL-1.2", r"european union public licen[cs]e.{0,60}1\.2|eupl-1\.2|eupl (v|version )?1\.2", "", ("European Union Public Licence, Version 1.2", "EUPL-1.2"), ("Licensed under the EUPL, Version 1.2 or as soon they will be approved by the European Commission - subsequent versions of the EUPL (the Licence); You may not use this work except in compliance with the Licence.",)),
     _family("GPL", "gpl", "GNU General Public License", _OTHER_GNU),
     _gnu("GPL-1.0", "gpl", "GNU General Public License", "1", "February 1989", never=_OTHER_GNU[:-1]),
     _gnu("GPL-2.0", "gpl", "GNU General Public License", "2", "June 1991", never=_OTHER_GNU[:-1]),
@@ -120,20 +120,20 @@ LICENSES = (
     _gnu("LGPL-2.1", "lgpl", "GNU Lesser General Public License", "2.1", "February 1999", "library"),
     _gnu("LGPL-3.0", "lgpl", "GNU Lesser General Public License", "3", "29 June 2007", "library"),
     License("MIT", rf"{_MIT_GRANT}|(^| )mit licen[cs]e|(under|the) mit( |$)", rf"{_EXCEPT}|to deal with the software|furnished to do so the software is provided", ("MIT License", "MIT"), ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software.", _MIT_TEXT + ", subject to the following conditions:", _MIT_TEXT + _MIT_REST)),
-    License("MIT-0", rf"{_MIT_GRANT}.*furnished to do so the software is provided|mit no attribution|(^| )mit-0( |$)", "", ("MIT No Attribution License", "MIT-0"), (_MIT_TEXT + "." + _MIT_REST[_MIT_REST.index(" THE SOFTWARE") :],), over=("MIT",)),
-    License("MPL-1.1", r"mozilla public license.* (version |v ?)?1\.1( |$)|mpl-1\.1|(^| )mpl 1\.1( |$)", "", ("Mozilla Public License Version 1.1", "MPL-1.1"), ("The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/",)),
-    License("MPL-2.0", r"mozilla public license.* (version |v ?)?2\.0( |$)|mpl-2\.0|(^| )mpl 2\.0( |$)", "", ("Mozilla Public License, v. 2.0", "Mozilla Public License Version 2.0", "MPL-2.0"), ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.")),
+    License("MIT-0", "furnished to do so the software is provided|mit no attribution|(^| )mit-0( |$)", "", ("MIT No Attribution License", "MIT-0"), (_MIT_TEXT + "." + _MIT_REST[_MIT_REST.index(" THE SOFTWARE") :],), over=("MIT",)),
+    License("MPL-1.1", r"mozilla public license.{0,60} (version |v ?)?1\.1( |$)|mpl-1\.1|(^| )mpl 1\.1( |$)", "", ("Mozilla Public License Version 1.1", "MPL-1.1"), ("The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/",)),
+    License("MPL-2.0", r"mozilla public license.{0,60} (version |v ?)?2\.0( |$)|mpl-2\.0|(^| )mpl 2\.0( |$)", "", ("Mozilla Public License, v. 2.0", "Mozilla Public License Version 2.0", "MPL-2.0"), ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.")),
     License("NCSA", "to deal with the software without restriction|illinois ncsa|(^| )ncsa( |$)", "", ("University of Illinois/NCSA Open Source License", "NCSA"), (_MIT_TEXT.replace("deal in", "deal with") + ", subject to the following conditions: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimers.",), over=("MIT", "BSD-2-Clause")),
     License("OFL-1.1", r"sil open font license|(^| )ofl-1\.1", "", ("SIL Open Font License, Version 1.1", "OFL-1.1"), ("This Font Software is licensed under the SIL Open Font License, Version 1.1. This license is copied below, and is also available with a FAQ at: http://scripts.sil.org/OFL",)),
     License(FALLBACK, "all rights reserved", "", (), ("All rights reserved.",)),
     License("PSF-2.0", r"python software foundation license|(^| )psf-2\.0", "", ("Python Software Foundation License Version 2", "PSF-2.0")),
     License("Unlicense", "free and unencumbered software released into the public domain|(^| )(the )?unlicense( |$)", "", ("Unlicense",), ("This is free and unencumbered software released into the public domain.", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.")),
     License("WTFPL", "do what the fuck you want to public license|(^| )wtfpl", "", ("Do What The Fuck You Want To Public License", "WTFPL"), ("DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO.",)),
-    License("X11", rf"{_MIT_GRANT}.*{_EXCEPT}|(^| )x11 licen[cs]e", "", ("X11 License",), (_MIT_TEXT + _MIT_REST + " Except as contained in this notice, the name of the copyright holder shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the copyright holder.",), over=("MIT",)),
+    License("X11", rf"{_EXCEPT} the name of|(^| )x11 licen[cs]e", "", ("X11 License",), (_MIT_TEXT + _MIT_REST + " Except as contained in this notice, the name of the copyright holder shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the copyright holder.",), over=("MIT",)),
     License("Zlib", "altered source versions must be plainly marked|the origin of this software must not be misrepresented|(^| )zlib licen[cs]e", "", ("zlib License",), ("This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. This notice may not be removed or altered from any source distribution.",)),
 )
-#: Every unit with an identity has one of these, single words since a line may end anywhere.
-ANCHORS = r"licen[cs]|permission|redistribution|reserved|copyright|publicdomain|unencumbered|commons|clause|warrant|advertising|endorse|bsd|misrepresented|altered|deal|illinois|(^|[^a-z0-9])([al]?gpl|cc0|cc[^a-z0-9]+by|(mit|ncsa|mpl|epl|eupl|bsl|ofl|psf|wtfpl|cddl|x11|artistic|apache)([^a-z0-9]|$))"
+#: Stems of what notices, headers and licence texts say; a unit has one of them, in small letters.
+ANCHORS = ("licen", "released", "permission", "redistribution", "reserved", "copyright", "publicdomain", "unencumbered", "commons", "warrant", "advertising", "endorse", "misrepresented", "altered")
 SPDX = r"(?i)SPDX-License-Identifier:[\x20\t]*([^\r\n]*)"
 EXPRESSION = r"[()]|[A-Za-z][A-Za-z0-9.+-]*"
 NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
@@ -179,7 +179,10 @@ def _squares(terms: Column) -> Column:
 
 
 def _anchored(text: Column) -> Column:
-    return F.rlike(text, F.lit(ANCHORS))
+    out = F.contains(text, F.lit(ANCHORS[0]))
+    for stem in ANCHORS[1:]:
+        out = out | F.contains(text, F.lit(stem))
+    return out
 
 
 def identities(terms: Column, licenses: tuple[License, ...] = LICENSES) -> Column:
@@ -197,35 +200,34 @@ def expression(tag: Column, licenses: tuple[License, ...] = LICENSES) -> Column:
 
     Names and operators take turns; where they don't, the expression ends."""
     known = F.create_map(*[F.lit(v) for x in licenses for v in (x.name.lower(), x.name)])
-    zero = F.struct(F.lit(0).alias("n"), F.lit(False).alias("end"), F.array().cast("array<string>").alias("out"), F.array().cast("array<string>").alias("whole"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("turn"), F.lit(False).alias("end"), F.lit(0).alias("kept"))
+
+    def is_operator(token):
+        return F.lower(token).isin("and", "or", "with")
 
     def step(acc, token):
-        low = F.lower(token)
         side = token.isin("(", ")")
-        operator = low.isin("and", "or", "with")
-        end = acc["end"] | (~side & (operator != (acc["n"] % 2 == 1)))
-        plain = F.regexp_replace(low, r"(-only|-or-later|\+)$", "")
-        named = F.when(operator, F.upper(token)).otherwise(F.coalesce(F.try_element_at(known, plain), token))
-        out = F.when(end, acc["out"]).otherwise(F.concat(acc["out"], F.array(named)))
-        whole = F.when(end | operator | (token == "("), acc["whole"]).otherwise(out)
-        return F.struct((acc["n"] + F.when(side | end, 0).otherwise(1)).alias("n"), end.alias("end"), out.alias("out"), whole.alias("whole"))
-
-    found = F.aggregate(F.regexp_extract_all(tag, F.lit(EXPRESSION), 0), zero, step)["whole"]
-    return F.nullif(F.regexp_replace(F.regexp_replace(F.array_join(found, " "), r"\(\x20", "("), r"\x20\)", ")"), F.lit(""))
+        end = acc["end"] | (~side & (is_operator(token) != (acc["turn"] % 2 == 1)))
+        at = acc["at"] + 1
+        return F.struct(at.alias("at"), (acc["turn"] + F.when(side | end, 0).otherwise(1)).alias("turn"), end.alias("end"), F.when(end | is_operator(token) | (token == "("), acc["kept"]).otherwise(at).alias("kept"))
 
+    def named(token):
+        plain = F.regexp_replace(F.lower(token), r"(-only|-or-later|\+)$", "")
+        return F.when(is_operator(token), F.upper(token)).otherwise(F.coalesce(F.try_element_at(known, plain), token))
 
-def _runs(blocks: Column) -> Column:
-    """Adjacent anchored blocks as one text, where there are several of them."""
-    zero = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("run"), F.lit(0).alias("n"))
+    def read(tokens):
+        return F.transform(F.slice(tokens, F.lit(1), F.aggregate(tokens, zero, step)["kept"]), named)
+
+    found = F.flatten(F.transform(F.array(F.regexp_extract_all(tag, F.lit(EXPRESSION), 0)), read))
+    return F.nullif(F.regexp_replace(F.regexp_replace(F.array_join(found, " "), r"\(\x20", "("), r"\x20\)", ")"), F.lit(""))
 
-    def closed(acc):
-        return F.when(acc["n"] >= _RUN, F.concat(acc["out"], F.array(acc["run"]))).otherwise(acc["out"])
 
-    def step(acc, b):
-        go = F.struct(acc["out"].alias("out"), F.concat(acc["run"], F.lit("\n\n"), b).alias("run"), (acc["n"] + 1).alias("n"))
-        return F.when(_anchored(b), go).otherwise(F.struct(closed(acc).alias("out"), F.lit("").alias("run"), F.lit(0).alias("n")))
+def _runs(blocks: Column) -> Column:
+    """Adjacent anchored blocks as one text, where there are several of them.
 
-    return F.aggregate(blocks, zero, step, closed)
+    The marks between blocks and between runs are characters that no term has."""
+    whole = F.array_join(F.transform(blocks, lambda b: F.when(_anchored(b), F.concat(F.lit("\x02"), F.translate(b, "\x01\x02", "  "))).otherwise(F.lit("\x01"))), "")
+    return F.filter(F.split(whole, "\x01"), lambda r: F.regexp_count(r, F.lit("\x02")) >= _RUN)
 
 
 _UNITS = "array<struct<kind:int,words:int,squares:bigint,names:array<string>,terms:array<string>>>"
@@ -252,13 +254,15 @@ def _units(docs: DataFrame, path: Column, licenses: tuple[License, ...], doc_id:
         return F.transform(named, lambda u: F.struct(u["kind"].alias("kind"), F.size(u["terms"]).alias("words"), _squares(u["terms"]).alias("squares"), u["names"].alias("names"), F.filter(u["terms"], lambda t: t.isin(vocabulary)).alias("terms")))
 
     def described(low: Column) -> Column:
-        found = F.when(_anchored(low), units(low)).otherwise(F.array().cast(_UNITS))
-        return F.struct(F.when(_anchored(low), F.regexp_count(low, F.lit(TERM))).otherwise(F.lit(0)).alias("size"), found.alias("units"))
+        none = F.struct(F.lit(0).alias("size"), F.array().cast(_UNITS).alias("units"), F.lit(False).alias("tag"))
+        some = F.struct(F.regexp_count(low, F.lit(TERM)).alias("size"), units(low).alias("units"), F.contains(low, F.lit("spdx-license-identifier:")).alias("tag"))
+        return F.when(_anchored(low), some).otherwise(none)
 
     whole = F.coalesce(F.col(text), F.lit(""))
     x = F.get(F.transform(F.array(F.lower(whole)), described), F.lit(0))
-    tag = F.when(F.contains(F.lower(whole), F.lit("spdx-license-identifier:")), F.regexp_extract(whole, SPDX, 1))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), path.alias("path"), x.alias("x"), F.when(tag.isNotNull(), F.struct(expression(tag, licenses).alias("license"), (F.regexp_count(F.lower(tag), F.lit(TERM)) + 1).alias("words"))).alias("spdx"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), path.alias("path"), whole.alias("whole"), x.alias("x"))
+    rows = rows.withColumn("tag", F.when(F.col("x.tag"), F.regexp_extract("whole", SPDX, 1)))
+    rows = rows.withColumn("spdx", F.when(F.col("tag").isNotNull(), F.struct(expression(F.col("tag"), licenses).alias("license"), (F.regexp_count(F.lower("tag"), F.lit(TERM)) + 1).alias("words"))))
     return written(rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", "path", F.col("x.size").alias("_size"), F.when(F.col("spdx.license").isNotNull(), F.col("spdx")).alias("spdx"), F.col("x.units").alias("units")))
 
 
@@ -330,16 +334,17 @@ def _sql() -> str:
     idf = ", ".join(f"({q(t)}, {i!r}::DOUBLE)" for t, i in sorted({(t, i) for *_, t, _, i in postings}))
     names = " UNION ALL ".join(f"SELECT seg, {q(x.name)} AS license FROM joined WHERE regexp_matches(j, {q(x.must)})" + (f" AND NOT regexp_matches(j, {q(x.never)})" if x.never else "") for x in LICENSES)
     over = ", ".join(f"({q(x.name)}, {q(n)})" for x in LICENSES for n in x.over)
+    anchored = lambda c: "(" + " OR ".join(f"contains({c}, '{a}')" for a in ANCHORS) + ")"
     known = "MAP {" + ", ".join(f"{q(x.name.lower())}: {q(x.name)}" for x in LICENSES) + "}"
     return f"""
 WITH w(template, license, term, w) AS (VALUES {weights}), idf(term, idf) AS (VALUES {idf}),
 d AS (SELECT row_number() OVER () AS key, doc_id, coalesce(text, '') AS whole, lower(coalesce(text, '')) AS t, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir, coalesce(doc_id::VARCHAR, '-') AS name FROM documents),
-parts AS (SELECT key, generate_subscripts(b, 1) AS n, unnest(b) AS part FROM (SELECT key, string_split_regex(t, '\\n[^a-z0-9\\n]*\\n') AS b FROM d WHERE regexp_matches(t, {q(ANCHORS)}))),
-anchored AS (SELECT *, n - row_number() OVER (PARTITION BY key ORDER BY n) AS run FROM parts WHERE regexp_matches(part, {q(ANCHORS)})),
+parts AS (SELECT key, generate_subscripts(b, 1) AS n, unnest(b) AS part FROM (SELECT key, string_split_regex(t, '\\n[^a-z0-9\\n]*\\n') AS b FROM d WHERE {anchored('t')})),
+anchored AS (SELECT *, n - row_number() OVER (PARTITION BY key ORDER BY n) AS run FROM parts WHERE {anchored('part')}),
 runs AS (SELECT key, string_agg(part, chr(10) || chr(10) ORDER BY n) AS part FROM anchored GROUP BY key, run HAVING count(*) >= {_RUN}),
 lines AS (SELECT key, 0 AS kind, unnest(string_split_regex(regexp_replace(part, '([.!?|]) ', '\\1' || chr(10), 'g'), chr(10))) AS line FROM anchored
   UNION ALL SELECT key, 1, part FROM anchored UNION ALL SELECT key, 2, part FROM runs),
-num AS (SELECT key, kind, row_number() OVER () AS seg, regexp_extract_all(line, '{TERM}') AS terms FROM lines WHERE regexp_matches(line, {q(ANCHORS)})),
+num AS (SELECT key, kind, row_number() OVER () AS seg, regexp_extract_all(line, '{TERM}') AS terms FROM lines WHERE {anchored('line')}),
 joined AS (SELECT seg, array_to_string(terms, ' ') AS j FROM num),
 named AS ({names}),
 held AS (SELECT * FROM num WHERE seg IN (SELECT seg FROM named)),
