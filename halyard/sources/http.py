@@ -2,7 +2,8 @@
 
     spark.read.format("trip_points").schema(POINTS).options(base_url=..., token=..., secret=..., ids="1,2").load()
 
-Points come by trip id, one partition an id, or by a range of dates, one partition a day. Trips come by a range
+Points come by trip id, one partition an id, or by a range of dates, one partition a day; as a stream (readStream with
+from_date, and to_date or up to yesterday) they come day by day, days_at_once in a batch, each day once. Trips come by a range
 of dates in one request; equality and IN predicates on IMEI join the request's device list. A status other than 200 fails the task, unless
 on_error is "row" (points by id only): then the id comes back as one row with its message in _error, and an
 answer without points as one row with an empty _error. A body is parsed whole before its first row is given, so
@@ -22,10 +23,11 @@ from collections.abc import Iterator
 from datetime import UTC, date, datetime, timedelta
 from email.utils import parsedate_to_datetime
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import DateType, DoubleType, FloatType, IntegerType, LongType, StructType, TimestampType
 
 from halyard.schemas import POINTS, TRIPS
+from halyard.sources import objects
 
 
 #: Statuses that another attempt may mend.
@@ -209,6 +211,60 @@ class TripPointsSource(DataSource):
             return _Reader(self.options, schema, [_Piece(points_path(None, str(d), str(d))) for d in (first + timedelta(n) for n in range((last - first).days + 1))])
         return _Reader(self.options, schema, [_Piece(points_path(None, str(first), str(last)))])
 
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return _DaysReader(self.options, schema)
+
+
+class _DaysReader(DataSourceStreamReader):
+    """Days as offsets: {"next": the first day that isn't read yet}. A batch has the days between two offsets, a partition each.
+
+    What has been read is in the stream's checkpoint alone; `progress`, a folder, only tells a restarted stream from where to
+    count days_at_once, so losing it costs no day and repeats none."""
+
+    def __init__(self, options, schema: StructType):
+        self.options, self.schema = dict(options), schema
+        points_path(None, self.options.get("from_date"), self.options.get("from_date"))
+        self.first = date.fromisoformat(self.options["from_date"])
+        self.limit = int(self.options.get("days_at_once", 0))
+        self.at: date | None = None
+
+    def _end(self) -> date:
+        """The day after the last one that may be read: of to_date, else yesterday, which is complete."""
+        to = self.options.get("to_date")
+        return date.fromisoformat(to) + timedelta(days=1) if to else datetime.now(UTC).date()
+
+    def _known(self) -> date:
+        if folder := self.options.get("progress"):
+            fs, at = objects.file_system(folder)
+            if fs.get_file_info(f"{at}/next").is_file:
+                with fs.open_input_stream(f"{at}/next") as f:
+                    return max(self.first, date.fromisoformat(f.read().decode()))
+        return self.first
+
+    def initialOffset(self) -> dict:
+        return {"next": str(self.first)}
+
+    def latestOffset(self) -> dict:
+        at = self._known() if self.at is None else self.at
+        end = max(at, self._end())
+        self.at = min(end, at + timedelta(days=self.limit)) if self.limit else end
+        return {"next": str(self.at)}
+
+    def partitions(self, start: dict, end: dict):
+        first, last = date.fromisoformat(start["next"]), date.fromisoformat(end["next"])
+        self.at = max(self.at or last, last)
+        days = [first + timedelta(days=n) for n in range((last - first).days)]
+        return [_Piece(points_path(None, str(d), str(d))) for d in days]
+
+    def read(self, piece: _Piece):
+        url = request_url(self.options["base_url"], self.options["token"], piece.path, self.options)
+        yield from list(parse(fetch(url, self.options["secret"], attempts=int(self.options.get("attempts", 4))), self.schema))
+
+    def commit(self, end: dict) -> None:
+        if folder := self.options.get("progress"):
+            fs, at = objects.file_system(folder)
+            objects.put(fs, f"{at}/next", end["next"].encode())
+
 
 def register(spark) -> None:
     """Both sources, and the pushdown that the trips source takes part in."""
