@@ -8,7 +8,8 @@ characters as edits; its q is the longest, up to 8, for which at least one share
 too short and no edit is lost. An item under 8 characters is its own q-gram.
 
 Characters are compared as code points, in their simple lower case (one code point for one) and white space as
-blanks. Text positions whose q-gram no item has are dropped first.
+blanks. Text positions whose q-gram no item has are dropped first; the others are counted in stretches, and bands that
+lie behind are done with, so memory beside the text itself doesn't grow with it, however often q-grams repeat.
 
 The items are sent to the tasks in blocks of at most about `block_chars` characters, of which the driver holds
 one at a time, and the documents are read once for each block. Documents are mapped row by row, so neither a hot
@@ -36,6 +37,9 @@ EDITS = 0.1
 BLOCK_CHARS = 4_000_000
 _KEYS = tuple(int(x) | 1 for x in np.random.default_rng(7).integers(1, 2**62, 4))
 _BITS = 22
+#: Positions of a text, and pairs of a position and its place in an item, that are worked on at once.
+STRETCH = 1 << 19
+PAIRS = 1_000_000
 _MATCHES = "array<struct<item_id:bigint,start:int,end:int,edits:int>>"
 
 
@@ -146,41 +150,66 @@ def found(chars: np.ndarray, offsets: np.ndarray, indexes: list[Items]) -> list[
     return sorted((d, int(items.ids[k]), a, b, x) for items in indexes for d, k, a, b, x in _found(chars, offsets, items))
 
 
-def _found(chars: np.ndarray, offsets: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
+def _positions(chars: np.ndarray, offsets: np.ndarray, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions whose q-gram some item has, each one's slot in the index and text, for some stretches of the texts after another."""
     q = items.q
-    grams = qgrams(chars, q)
-    at = np.flatnonzero(items.seen[(grams >> np.uint64(64 - _BITS)).astype(np.int64)])
-    if not len(at) or not len(items.keys):
-        return []
-    slot = np.minimum(np.searchsorted(items.keys, grams[at]), len(items.keys) - 1)
-    doc = np.searchsorted(offsets, at, "right") - 1
-    keep = (items.keys[slot] == grams[at]) & (at + q <= offsets[doc + 1])
-    at, slot, doc = at[keep], slot[keep], doc[keep]
-    if not len(at):
-        return []
-    hits: list[np.ndarray] = []
-    first = 0
-    total = np.cumsum(items.count[slot])
-    while first < len(at):  # whole texts of about a million pairs at a time
-        last = int(np.searchsorted(total, (total[first - 1] if first else 0) + 1_000_000, "right"))
-        last = int(np.searchsorted(doc, doc[min(last, len(at) - 1)], "right")) if last < len(at) else len(at)
-        n = items.count[slot[first:last]]
-        pair = np.repeat(items.first[slot[first:last]] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        of, item = np.repeat(doc[first:last], n), items.item[pair]
-        diagonal = np.repeat(at[first:last] - offsets[doc[first:last]], n) - items.at[pair]
-        band = diagonal // items.width[item]
-        shift = int(items.length.max()) + 2
-        wide = int(band.max()) + shift + 2
-        key = (of * len(items.ids) + item) * wide + band + shift
-        both, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
-        good = count >= items.least[both // wide % len(items.ids)]
-        both = both[good]
+    for first in range(0, max(0, len(chars) - q + 1), STRETCH):
+        grams = qgrams(chars[first : first + STRETCH + q - 1], q)
+        at = np.flatnonzero(items.seen[(grams >> np.uint64(64 - _BITS)).astype(np.int64)])
+        if not len(at) or not len(items.keys):
+            continue
+        slot = np.minimum(np.searchsorted(items.keys, grams[at]), len(items.keys) - 1)
+        doc = np.searchsorted(offsets, at + first, "right") - 1
+        keep = (items.keys[slot] == grams[at]) & (at + first + q <= offsets[doc + 1])
+        at, slot, doc = at[keep] + first, slot[keep], doc[keep]
+        total = np.cumsum(items.count[slot])
+        begin = 0
+        while begin < len(at):  # about a million pairs of a position and its place in an item at a time
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIRS, "right")))
+            yield at[begin:end], slot[begin:end], doc[begin:end]
+            begin = end
+
+
+def _bands(chars: np.ndarray, offsets: np.ndarray, items: Items) -> Iterator[np.ndarray]:
+    """Rows (text, item, band) of the bands with enough q-grams in common.
+
+    Positions ascend, so a band that lies more than the longest item behind them is complete; of the others the counts
+    are carried on. What is held doesn't grow with a text, however often an item's q-grams repeat in it."""
+    longest, n_items = int(items.length.max()), len(items.ids)
+    shift = longest + 2
+    wide = int(np.diff(offsets).max()) + 2 * shift + 4
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def good(keys, counts):
+        both = keys[counts >= items.least[keys // wide % n_items]]
         pair = both // wide
-        exact = (items.budget == 0) & (items.length == q)  # the whole item is one q-gram: its first place is enough
-        both = both[~exact[pair % len(items.ids)] | np.append(True, pair[1:] != pair[:-1])[: len(pair)]]
-        hits.append(np.column_stack([both // wide // len(items.ids), both // wide % len(items.ids), both % wide - shift]))
-        first = last
-    cand = np.concatenate(hits) if hits else np.zeros((0, 3), np.int64)
+        exact = (items.budget == 0) & (items.length == items.q)  # the whole item is one q-gram: its first place is enough
+        both = both[~exact[pair % n_items] | np.append(True, pair[1:] != pair[:-1])[: len(pair)]]
+        return np.column_stack([both // wide // n_items, both // wide % n_items, both % wide - shift])
+
+    for at, slot, doc in _positions(chars, offsets, items):
+        # all bands that no position from here on can reach
+        of, band = keys // wide // n_items, keys % wide - shift
+        done = (of < doc[0]) | (band < (at[0] - offsets[doc[0]] - longest) // items.width[keys // wide % n_items] - 1)
+        if done.any():
+            yield good(keys[done], counts[done])
+            keys, counts = keys[~done], counts[~done]
+        n = items.count[slot]
+        pair = np.repeat(items.first[slot] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        item = items.item[pair]
+        band = (np.repeat(at - offsets[doc], n) - items.at[pair]) // items.width[item]
+        key = (np.repeat(doc, n) * n_items + item) * wide + band + shift
+        more, times = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        keys, back = np.unique(np.concatenate([keys, more]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([counts, times]), len(keys)).astype(np.int64)
+    yield good(keys, counts)
+
+
+def _found(chars: np.ndarray, offsets: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
+    if not len(items.ids) or not len(chars):
+        return []
+    hits = list(_bands(chars, offsets, items))
+    cand = np.concatenate(hits)
     out = {}
     for item in np.unique(cand[:, 1]).tolist():
         some = cand[cand[:, 1] == item]

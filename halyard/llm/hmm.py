@@ -14,7 +14,7 @@ The vocabulary grows with the data, so it's never sent whole to a task: the MOST
 (16 bytes each), and all others meet their counts in a join.
 
 Defined results: a null or empty text is its end token alone; without training texts every token is unknown
-with probability 1, so scores are 0; repeated rows are learned from and scored each.
+with probability 1, so scores are 0; null ids count as the empty id; repeated rows are learned from and scored each.
 """
 
 from __future__ import annotations

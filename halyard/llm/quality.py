@@ -8,7 +8,7 @@ of the two Mahalanobis log densities and log priors.
 Defined results: an empty or null text has the statistics of no words and is scored by them; a label that is
 null, or whose document is missing, isn't learned from; a document with several labels takes the lowest;
 without labels of both classes every score is the share of label 1 (0.5 without any); repeated rows each
-give their own row; other columns are not read.
+give their own row; null ids count as the empty id, have no label and are scored; other columns are not read.
 """
 
 from __future__ import annotations

@@ -97,6 +97,41 @@ def test_rows_keep_their_own_matches_in_blocks_of_items(spark):
     assert sorted((d or -1, sorted({m[0] for m in ms})) for d, ms in parts.elements()) == [(-1, []), (-1, [0, 3]), (-1, [2]), (1, []), (1, [0]), (1, [1]), (2, [4]), (2, [4])]
 
 
+def test_stretches_and_pairs_change_nothing(monkeypatch):
+    rng = random.Random(3)
+
+    def run(texts, items):
+        each = [decontaminate._chars(t.encode()) for t in texts]
+        return decontaminate.found(np.concatenate(each), np.cumsum([0] + [len(c) for c in each]), decontaminate.indexed(items, 0.1))
+
+    for _ in range(40):
+        items = [(k, "".join(rng.choice("ab -") for _ in range(rng.choice([1, 3, 8, 12, 30, 60])))) for k in range(4)] + [(9, "-" * 40), (10, "x")]
+        texts = []
+        for _ in range(5):
+            one = rng.choice(items)[1]
+            texts.append("".join(rng.choice("ab -") for _ in range(rng.randint(0, 150))) + one[: len(one) // 2] + rng.choice(["", "z"]) + one[len(one) // 2 :] + "-" * rng.choice([0, 150]))
+        want = run(texts, items)
+        for stretch, pairs in ((16, 7), (50, 40)):
+            with monkeypatch.context() as m:
+                m.setattr(decontaminate, "STRETCH", stretch)
+                m.setattr(decontaminate, "PAIRS", pairs)
+                assert run(texts, items) == want
+
+
+def test_memory_of_a_text_of_one_character():
+    import tracemalloc
+
+    items = decontaminate.indexed([(1, "a rule " + "-" * 120)], 0.1)
+    peaks = []
+    for n in (40_000, 160_000):
+        chars = np.full(n, ord("-"), np.uint32)
+        tracemalloc.start()
+        assert len(decontaminate.found(chars, np.array([0, n]), items)) == 1
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0] < 300e6
+
+
 # --- 2 -----------------------------------------------------------------------------------------
 
 

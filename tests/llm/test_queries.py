@@ -43,7 +43,7 @@ def test_pipeline_stages_take_effect(spark):
         if k == 0:
             assert {*ids} == good
         elif k == 1:
-            found = jaccard.joined(before).collect()
+            found = jaccard.joined(before, k=5, percent=80).collect()
             assert {*ids} == {r.component_id for r in found} and max(ids.values()) == 1
         elif k == 2:
             bad = {r.doc_id for r in decontaminate.report(before, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").collect()}
