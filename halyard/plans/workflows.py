@@ -105,7 +105,7 @@ def ingest_tracks(spark: SparkSession, conf: dict, batch_size: int | None = None
     trips = store.read_latest(spark, conf["storage"]["root"], conf["trips"]["prefix"], conf["trips"]["version"])
     if trips is None:
         raise ValueError("no trips are stored")
-    have = trip_ids(store.list_objects(spark, root, f"{prefix}_")).select("trip_id")
+    have = trip_ids(objects.listing(spark, root, f"{prefix}_")).select("trip_id")
     fresh = incremental.new_ids(trips.select(F.col("Trip").cast("string").alias("trip_id")), have).where("trip_id is not null")
     fresh = fresh.select(F.col("trip_id").cast("bigint").alias("trip_id"))
     if after := conf["tracks"].get("quarantine_after"):
@@ -134,7 +134,7 @@ def preprocess_tracks(spark: SparkSession, conf: dict, grid_size: int | None = N
     one object; append_tracks() is for where that's too much."""
     root, tracks_root, prefix = conf["storage"]["root"], conf["storage"]["tracks_root"], conf["tracks"]["prefix"]
     before = store.read_latest(spark, root, f"{prefix}-preprocessed", conf["tracks"]["version"])
-    files = store.list_objects(spark, tracks_root, f"{prefix}_")
+    files = objects.listing(spark, tracks_root, f"{prefix}_")
     ids = trip_ids(files).select("trip_id")
     fresh = incremental.new_ids(ids, before.select(F.col("Trip").cast("string"))) if before is not None else ids.distinct()
     names = incremental.new_files(files, fresh)
@@ -177,7 +177,7 @@ def append_tracks(spark: SparkSession, conf: dict, grid_size: int | None = None,
     name, so one whose trip has no cells left isn't gridded again."""
     storage, prefix, root = conf["storage"], conf["tracks"]["prefix"], _appended_root(conf)
     before = snapshots.current(spark, root)
-    names = store.list_objects(spark, storage["tracks_root"], f"{prefix}_").select("name")
+    names = objects.listing(spark, storage["tracks_root"], f"{prefix}_").select("name")
     if (seen := _parts(spark, root, before, "objects")) is not None:
         names = names.join(seen, "name", "left_anti")
     part = snapshots.new_part()

@@ -25,10 +25,11 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from halyard.functions.names import track_file
+from halyard.schemas import OBJECTS
 
 MANIFESTS = "_manifests"
 OBJECTS_SCHEMA = pa.schema([("name", pa.string()), ("key", pa.string()), ("rows", pa.int64())])
@@ -167,6 +168,57 @@ def write_texts(rows: DataFrame, root: str) -> None:
     rows.select("name", "body").write.format("named_texts").options(root=root).mode("append").save()
 
 
+class _Folder(InputPartition):
+    def __init__(self, path: str):
+        self.path = path
+
+
+class _ListingReader(DataSourceReader):
+    def __init__(self, options):
+        self.root, self.prefix = options["root"], options.get("prefix", "")
+        self.nested = str(options.get("nested", "false")).lower() == "true"
+
+    def partitions(self):
+        if not self.nested:
+            return [_Folder("")]
+        fs, root = file_system(self.root)
+        inside = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+        return [_Folder(""), *(_Folder(f.base_name) for f in inside if f.type == pafs.FileType.Directory and not f.base_name.startswith((".", "_")))]
+
+    def read(self, piece: _Folder):
+        fs, root = file_system(self.root)
+        found = fs.get_file_info(pafs.FileSelector(f"{root}/{piece.path}" if piece.path else root, allow_not_found=True))
+        folders = {pafs.FileType.Directory} if self.nested and not piece.path else set()  # they are pieces of their own
+        some = [f for f in found if f.base_name.startswith(self.prefix) and f.type not in folders]
+        for at in range(0, len(some), 10_000):
+            part = some[at : at + 10_000]
+            names = [f"{piece.path}/{f.base_name}" if piece.path else f.base_name for f in part]
+            times = pa.array([f.mtime_ns // 1000 if f.mtime_ns else None for f in part], pa.int64()).cast(pa.timestamp("us", "UTC"))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), times], ["name", "updated"])
+
+
+class ObjectListing(DataSource):
+    """name and updated of a folder's entries, listed by tasks: one for the folder, and with `nested` one for each folder in it."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "object_listing"
+
+    def schema(self) -> T.StructType:
+        return OBJECTS
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _ListingReader(self.options)
+
+
+def listing(spark: SparkSession, root: str, prefix: str = "", nested: bool = False) -> DataFrame:
+    """name and updated of root's entries that start with prefix, none of which passes through the driver; an empty root or none has none.
+
+    nested: those of the folders in root too, by `folder/name`, each folder by a task of its own."""
+    spark.dataSource.register(ObjectListing)
+    return spark.read.format("object_listing").options(root=root, prefix=prefix, nested=str(nested).lower()).load()
+
+
 def write_objects(rows: DataFrame, root: str, prefix: str, key: str, *order: str, null_seq: str | None = None) -> str:
     """An object for each key among rows, its rows in order, without the key; the name of the run that published them."""
     spark = rows.sparkSession

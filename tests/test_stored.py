@@ -79,6 +79,20 @@ def test_objects_that_spark_wrote_are_read_too(spark, tmp_path):
     assert objects.read_objects(names.limit(0), str(tmp_path), POINTS).count() == 0
 
 
+def test_a_listing_by_tasks(spark, tmp_path):
+    for name in ("t_1.parquet", "t_2.parquet", "u_1.parquet", "a/t_3.parquet", "b/t_4.parquet", "b/x", "_hidden/t_5.parquet"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("")
+    (tmp_path / "t_6.parquet").mkdir()  # as Spark leaves an object
+    flat = objects.listing(spark, str(tmp_path), "t_")
+    assert sorted(r.name for r in flat.collect()) == ["t_1.parquet", "t_2.parquet", "t_6.parquet"]
+    assert {(r.name, r.updated) for r in flat.collect()} == {(r.name, r.updated) for r in store.list_objects(spark, str(tmp_path), "t_").collect()} or flat.where("updated is null").count() == 0
+    nested = objects.listing(spark, str(tmp_path), "t_", nested=True)
+    assert {"t_1.parquet", "t_2.parquet", "a/t_3.parquet", "b/t_4.parquet"} <= {r.name for r in nested.collect()} and nested.where("name like '%hidden%'").count() == 0
+    assert nested.rdd.getNumPartitions() == 4
+    assert objects.listing(spark, f"{tmp_path}/none", "t_").collect() == []
+
+
 # --- snapshots
 
 
