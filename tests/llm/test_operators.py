@@ -1,6 +1,7 @@
 """Each operator against a plain version, and on tables with every odd case."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -399,6 +400,39 @@ def test_scores_equal_a_plain_discriminant(spark):
         assert abs(got[k] - 1 / (1 + np.exp(-np.clip(odds, -500, 500)))) < 1e-6
 
 
+def plain_statistics(text: str) -> list[float]:
+    """The ten statistics by their definitions, a byte and a word at a time."""
+    raw = text.encode()
+    found = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    low = [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in found]
+
+    def symbol(b):
+        return 33 <= b < 127 and not chr(b).isalnum() and chr(b) not in ".,;:'\"()-?|"
+
+    def odds(part, of, usual, weight=20.0):
+        return math.log((part + weight * usual) / (max(of - part, 0) + weight * (1 - usual)))
+
+    n, total = len(found), sum(map(len, found))
+    upper = sum(65 <= b <= 90 for b in raw)
+    letters = upper + sum(97 <= b <= 122 or b >= 128 for b in raw)
+    mean = (total + 100.0) / (n + 20.0)
+    spread = math.sqrt(max((sum(len(w) ** 2 for w in found) + 625.0) / (n + 20.0) - mean * mean, 0.01))
+    return [
+        math.log(mean), math.log(spread), odds(upper, letters, 0.03, 100.0), odds(sum(map(symbol, raw)), total, 0.005, 100.0), odds(sum(48 <= b <= 57 for b in raw), total, 0.005, 100.0),
+        odds(raw.count(b"|"), n, 0.005), odds(sum(w[-1] == 124 or symbol(w[-1]) for w in found), n, 0.005), odds(sum(a == b for a, b in zip(low[1:], low[:-1], strict=True)) if n else 0, n, 0.01),
+        math.log((len({*low}) + 20.0) / (n + 20.0)), odds(raw.count(b"\n"), n, 0.02),
+    ]
+
+
+def test_statistics_are_those_of_their_definitions():
+    rng = random.Random(21)
+    cases = ["", " \n ", "One", "a A a a|b| ### 12,5 né\n\n||", "x" * 70_000] + ["".join(rng.choice(["the ", "The ", "né", "|", "#", "12", ".", "\n", " ", "{x}", "AB"]) for _ in range(rng.randint(0, 200))) for _ in range(60)]
+    raw = [t.encode() for t in cases]
+    got = quality.statistics(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+    assert np.allclose(got, [plain_statistics(t) for t in cases])
+    assert got.shape[1] == len(quality.FEATURES)
+
+
 # --- 5 -----------------------------------------------------------------------------------------
 
 
