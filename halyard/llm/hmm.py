@@ -35,9 +35,9 @@ STATES = 8
 #: Tokens of a stretch; longer texts are cut into several, across which the messages are exact.
 STRETCH = 8192
 #: Tokens that are worked on at once.
-BLOCK = 1 << 17
-#: What a ratio between states, or a step, is at least: far below what any corpus can tell, far above what doubles lose.
-LEAST = 1e-60
+BLOCK = 1 << 18
+#: What a ratio between states, or a step, is at least. With both messages scaled at each token no product leaves single precision then.
+LEAST = 1e-18
 ROUNDS = 10
 PSEUDO = 20.0
 ADD = 0.1
@@ -170,7 +170,7 @@ class _Space:
     """Work space that is kept from block to block: fresh memory costs more than the arithmetic."""
 
     def __init__(self, n: int, states: int):
-        self.arrays = [np.empty((n, states)) for _ in range(3)]
+        self.arrays = [np.empty((n, states), np.float32) for _ in range(3)]
 
 
 def _side_by_side(flat, begin, size, first, before, after, start, step, emit, space: _Space, total) -> None:
@@ -186,9 +186,10 @@ def _side_by_side(flat, begin, size, first, before, after, start, step, emit, sp
     seen = flat[begin[at] + np.repeat(np.arange(longest), alive)].astype(np.int64)
     e, alpha, beta = (x[:n] for x in space.arrays)
     np.take(emit, seen, axis=0, out=e, mode="clip")
-    back, ones, norms = step.T.copy(), np.ones(s), np.empty(n)
+    back, ones, norms = step.T.copy(), np.ones(s, np.float32), np.empty(n, np.float32)
     alive, off = alive.tolist(), off.tolist()
-    lead = np.where(first[:, None], start, before @ step)
+    lead = np.where(first[:, None], start, before @ step).astype(np.float32)
+    before, after = before.astype(np.float32), after.astype(np.float32)
     np.multiply(lead, e[: alive[0]], out=alpha[: alive[0]])
     for t in range(longest):
         o, m = off[t], alive[t]
@@ -212,14 +213,14 @@ def _side_by_side(flat, begin, size, first, before, after, start, step, emit, sp
         b *= now
         shared = b @ ones
         b /= shared[:, None]
-        shared *= norms[o : o + m]
         ahead /= shared[:, None]
+        ahead /= norms[o : o + m, None]
         if t:
             steps += alpha[off[t - 1] : off[t - 1] + m].T @ ahead
             ahead /= (ahead @ ones)[:, None]
         following = m
     steps += before.T @ ahead
-    total[0] += beta[: alive[0]][first].sum(0)
+    total[0] += beta[: alive[0]][first].sum(0, dtype=np.float64)
     total[1] += step * steps
     for j in range(s):
         total[2][:, j] += np.bincount(seen, beta[:, j], len(emit))
@@ -238,6 +239,7 @@ def _expected(flat: np.ndarray, n: np.ndarray, start: np.ndarray, step: np.ndarr
     order = np.argsort(-size, kind="stable")
     ends = np.cumsum(size[order])
     space = _Space(max(BLOCK, int(size.max())), len(step))
+    emit, step = emit.astype(np.float32), step.astype(np.float32)
     a = 0
     while a < len(order):
         b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
