@@ -10,7 +10,8 @@ cross join: a place has one key a level, of the levels that coverings can have;
 Coverings are made one geometry at a time in tasks.
 
 Defined results: a geometry that is null, garbled or no (multi)polygon covers nothing; a place with a null or NaN coordinate is in no region; a
-place on a boundary itself may count either way; rings that take more than half of the earth aren't told from their complement; repeated
+place on a boundary itself (within ON_EDGE) counts by the crossings of all edges by the arc from it to the place FAR, whatever cells
+the index has; rings that take more than half of the earth aren't told from their complement; repeated
 places and repeated geometries each give their own rows."""
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ COARSEST = 4
 FINEST = 12
 #: Anchors lie off the middle of a cell, where grids rarely have a vertex.
 _OFF = (0.4873, 0.5291)
+#: The angle within which a place is on an edge: 6 mm on the ground. The cells' margin is as wide.
+ON_EDGE = 1e-9
+#: The place from which places on a boundary are judged: the same for all regions and indexes.
+FAR = (20.0, 10.0)
 EDGE = "struct<ax:double,ay:double,az:double,bx:double,by:double,bz:double>"
 COVERING = f"region bigint, key bigint, inside boolean, anchor struct<x:double,y:double,z:double>, edges array<{EDGE}>"
 
@@ -181,19 +186,50 @@ def _dot(a: tuple, b: tuple) -> Column:
     return a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
 
 
+def _far() -> tuple:
+    return tuple(F.lit(float(c)) for c in vectors(*map(np.float64, FAR)))
+
+
+def _odd(edges: Column, start: tuple, end: tuple) -> Column:
+    """Whether the arc from start to end crosses an odd number of edges."""
+    way = _cross(start, end)
+
+    def crossed(edge):
+        a, b = tuple(edge[f"a{c}"] for c in "xyz"), tuple(edge[f"b{c}"] for c in "xyz")
+        ab = _cross(a, b)
+        from_, to, at_a, at_b = _dot(ab, start), _dot(ab, end), _dot(a, way), _dot(b, way)
+        return (from_ * to < 0) & (at_a * at_b < 0) & (from_ * at_b > 0)
+
+    return F.aggregate(edges, F.lit(False), lambda acc, e: acc != crossed(e))
+
+
 def _inside(place: tuple) -> Column:
     """Whether a place of a boundary cell is in the region: the anchor's side, changed by each edge on the way."""
     anchor = tuple(F.col(f"anchor.{c}") for c in "xyz")
-    way = _cross(anchor, place)
+    return F.when(F.col("anchor").isNull(), F.col("inside")).otherwise(F.col("inside") != _odd(F.col("edges"), anchor, place))
 
-    def crossed(edge):
+
+def _close(place: tuple) -> Column:
+    """Whether a place lies on an edge of its cell, as far as numbers tell."""
+
+    def near(edge):
         a, b = tuple(edge[f"a{c}"] for c in "xyz"), tuple(edge[f"b{c}"] for c in "xyz")
         ab = _cross(a, b)
-        from_, to, at_a, at_b = _dot(ab, anchor), _dot(ab, place), _dot(a, way), _dot(b, way)
-        return (from_ * to < 0) & (at_a * at_b < 0) & (from_ * at_b > 0)
+        most = F.sqrt(_dot(ab, ab)) * ON_EDGE
+        return (F.abs(_dot(ab, place)) <= most) & (_dot(_cross(ab, a), place) >= -most) & (_dot(_cross(b, ab), place) >= -most)
+
+    return F.exists("edges", near)
+
 
-    odd = F.aggregate("edges", F.lit(False), lambda acc, e: acc != crossed(e))
-    return F.when(F.col("anchor").isNull(), F.col("inside")).otherwise(F.col("inside") != odd)
+def _boundaries(index: DataFrame, finest: int) -> DataFrame:
+    """region, all its edges, and whether it holds the place FAR."""
+    # cells share edges; one that a geometry has twice is in a cell twice, and crossing it changes nothing
+    each = index.select("region", "key", F.explode("edges").alias("edge")).groupBy("region", "key", "edge").agg(F.count(F.lit(1)).alias("n"))
+    whole = each.groupBy("region", "edge").agg(F.max("n").alias("n")).where("n % 2 = 1").groupBy("region").agg(F.collect_list("edge").alias("every"))
+    turn, up = (FAR[0] + 180.0) % 360.0 / 360.0, (FAR[1] + 90.0) / 180.0
+    keys = [cell_key(level, int(turn * 2**level), int(up * 2**level)) for level in range(COARSEST, finest + 1)]
+    holding = index.where(F.col("key").isin(keys)).where(_inside(_far())).select("region", F.lit(True).alias("far"))
+    return whole.join(holding, "region", "left")
 
 
 def regions_of(places: DataFrame, index: DataFrame, lng: str = "lng", lat: str = "lat", finest: int = FINEST) -> DataFrame:
@@ -201,5 +237,11 @@ def regions_of(places: DataFrame, index: DataFrame, lng: str = "lng", lat: str =
     at = F.radians(F.col("_lat")), F.radians(F.col("_lng"))
     named = places.select(F.struct(*[F.col(f"`{c}`") for c in places.columns]).alias("_place"), F.col(f"`{lng}`").cast("double").alias("_lng"), F.col(f"`{lat}`").cast("double").alias("_lat"))
     keyed = named.withColumn("key", F.explode(place_keys(F.col("_lng"), F.col("_lat"), finest))).withColumns({"_x": F.cos(at[0]) * F.cos(at[1]), "_y": F.cos(at[0]) * F.sin(at[1]), "_z": F.sin(at[0])})
-    found = keyed.join(index, "key").where(_inside((F.col("_x"), F.col("_y"), F.col("_z"))))
+    place = F.col("_x"), F.col("_y"), F.col("_z")
+    met = keyed.join(index, "key").select("_place", "region", "_x", "_y", "_z", _inside(place).alias("_in"), _close(place).alias("_on")).where("_in or _on")
+    # places on a boundary meet its edges by region; all others meet nothing, and are dealt by place
+    met = met.withColumn("_by", F.when(F.col("_on"), F.col("region")).otherwise(F.xxhash64("_x", "_y", "_z")))
+    edges = _boundaries(index, finest).select(F.col("region").alias("_by"), F.lit(True).alias("_on"), "every", "far")
+    plain = _odd(F.col("every"), place, _far()) != F.coalesce("far", F.lit(False))
+    found = met.join(edges, ["_by", "_on"], "left").where(F.when(F.col("_on"), plain).otherwise(F.col("_in")))
     return found.select("_place.*", "region")

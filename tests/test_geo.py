@@ -76,6 +76,36 @@ def test_lookup_equals_plain_containment(spark):
     assert {r[0]: r.most for r in sizes}[True] == 0 and index.where("anchor is null").select(F.countDistinct(F.shiftright("key", 50))).first()[0] > 2
 
 
+def test_places_on_a_boundary_count_by_the_arc_from_far(spark):
+    """Cells that are vertices of a region: as crossings of all its edges have it, at any level of the index."""
+    corners = [[39 + dx, -4.1 + dy] for dx, dy in ((0.0, 0.0), (0.031, 0.007), (0.027, 0.033), (-0.006, 0.029))]
+    hole = [[39 + dx, -4.1 + dy] for dx, dy in ((0.011, 0.011), (0.021, 0.013), (0.014, 0.022))]
+    wide = [[15, -10], [42, -10], [42, 13], [15, 13]]  # holds the far place
+    shapes = {"small": ("Polygon", [[*corners, corners[0]], [*hole, hole[0]]]), "wide": ("Polygon", [wide])}
+    regions = spark.createDataFrame([(n, (t, json.dumps(c))) for n, (t, c) in shapes.items()], f"name string, geometry {GEOMETRY.simpleString()}")
+    named = regions.select("name", geo.region_id(F.col("geometry")).alias("region"))
+    on = [*corners, *hole, *wide]
+    on += [(round(x / 0.001) * 0.001, round(y / 0.001) * 0.001) for x, y in [*corners, *hole]]
+    at = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(on)], "id int, lng double, lat double")
+    far = geo.vectors(*map(np.float64, geo.FAR))
+    want = set()
+    for n, (t, c) in shapes.items():
+        parts = geo.edges_of(geo.rings(t, json.dumps(c)))
+        for k, (x, y) in enumerate(on):
+            p = geo.vectors(np.float64(x), np.float64(y))
+            odd = False
+            for a, b in np.concatenate(parts):  # without the fused sums of a matrix product, which end otherwise at a vertex
+                dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+                cross = lambda u, v: (u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0])
+                ab, way = cross(a, b), cross(p, far)
+                odd ^= bool(dot(ab, p) * dot(ab, far) < 0 and dot(a, way) * dot(b, way) < 0 and dot(ab, p) * dot(b, way) > 0)
+            if odd != (n == "wide"):
+                want.add((k, n))
+    for finest in (8, 10):
+        found = geo.regions_of(at, geo.coverings(regions, finest=finest), finest=finest)
+        assert {(r.id, r.name) for r in found.join(named, "region").collect()} == want
+
+
 def test_an_indexed_collection(spark, tmp_path):
     rows = [("coast", 1, ("Polygon", json.dumps([[[39, -4], [39.4, -4.1], [39.2, -3.7], [39, -4]]]))), ("open", 2, None), ("all", 3, ("Polygon", json.dumps([[[38, -5], [40, -5], [40, -3], [38, -3], [38, -5]]])))]
     maps = spark.createDataFrame(rows, f"region string, n int, geometry {GEOMETRY.simpleString()}")
