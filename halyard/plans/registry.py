@@ -383,8 +383,11 @@ def ingested_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = root if "://" in root or root.startswith("file:") else f"file://{root}"
     conf = {"api": {"base_url": f"{base}/api", "token": "tok", "secret": "-"}, "trips": {"prefix": "trips", "version": "latest"}, "tracks": {"prefix": "tracks"}, "storage": {"root": f"{root}/store", "tracks_root": f"{root}/tracks"}}
     workflows.ingest_tracks(spark, conf)
-    rows = spark.read.option("mergeSchema", True).parquet(f"{root}/tracks/tracks_*.parquet")
-    return rows.select("Trip", F.col("_metadata.file_name").alias("object"), "seq", F.col("Time").cast("timestamp_ntz").alias("Time"), *[F.round(c, 9).alias(c) for c in ("Lat", "Lng")], "battery", "note", "signal")
+    names = stored.listing(spark, f"{root}/tracks", "tracks_")
+    # the objects of one run have one schema, so that of any tells it
+    schema = spark.read.parquet(f"{root}/tracks/{names.agg(F.min("name")).first()[0]}").schema
+    rows = stored.read_objects(names, f"{root}/tracks", schema, named="object")
+    return rows.select("Trip", "object", "seq", F.col("Time").cast("timestamp_ntz").alias("Time"), *[F.round(c, 9).alias(c) for c in ("Lat", "Lng")], "battery", "note", "signal")
 
 
 @query(_ROUNDED)

@@ -97,11 +97,12 @@ def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 def fetched(requests: DataFrame, api: dict, known: T.StructType, tasks: int | None = None, rate: float | None = None, **options) -> DataFrame:
     """The answers to requests (asked, path) as ANSWERS; write them before use, since each reading makes the requests again.
 
-    tasks run side by side; rate: requests a second of all of them together. options are the request's, and attempts, wait and longest of http.fetch()."""
+    tasks (as many as there are cores, without it) run side by side; rate: requests a second of all of them together. options are the request's, and attempts, wait and longest of http.fetch()."""
     requests = requests.select(F.col("asked").cast("string"), "path")
-    if tasks:
-        requests = requests.repartition(tasks)
-    pause = (tasks or requests.sparkSession.sparkContext.defaultParallelism) / rate if rate else 0.0
+    # a table of ids is small, often one file, so it's dealt out: else one task makes all requests, and all that reads its answers is one task too
+    tasks = tasks or requests.sparkSession.sparkContext.defaultParallelism
+    requests = requests.repartition(tasks)
+    pause = tasks / rate if rate else 0.0
     patience = {k: options.pop(k) for k in ("attempts", "wait", "longest", "timeout") if k in options}
 
     def answers(batches):
@@ -137,11 +138,12 @@ def joined(kinds: int) -> T.DataType:
     return next((t for bits, t in _JOINS if kinds & ~bits == 0), T.StringType())
 
 
-def kinds_of(answers: DataFrame) -> DataFrame:
-    """name and kinds (a bit for each) of each column of any answer."""
+def kinds_of(answers: DataFrame, known: tuple[str, ...] = ()) -> DataFrame:
+    """name and kinds (a bit for each) of each column of any answer; the kinds of known columns aren't looked at (0)."""
     heads = answers.where("names is not null")
-    cells = heads.select(F.explode(F.when(F.col("cells").isNull(), F.transform("names", lambda n: F.struct(n.alias("name"), F.lit(0).alias("bit")))).otherwise(F.zip_with("names", "cells", lambda n, c: F.struct(n.alias("name"), kind(c).alias("bit"))))).alias("x"))
-    return cells.groupBy("x.name").agg(F.bit_or("x.bit").alias("kinds"))
+    cells = heads.select(F.explode(F.arrays_zip(F.col("names").alias("name"), F.coalesce("cells", F.array().cast("array<string>")).alias("cell"))).alias("x")).select("x.name", "x.cell")
+    bit = F.when(F.col("name").isin(*known), F.lit(0)).otherwise(kind(F.col("cell"))) if known else kind(F.col("cell"))
+    return cells.groupBy("name").agg(F.bit_or(bit).alias("kinds"))
 
 
 class Field(T.StructField):
@@ -154,7 +156,7 @@ class Field(T.StructField):
 
 def discovered(answers: DataFrame, known: T.StructType) -> list[Field]:
     """The known columns, then all others that answers have, by name, with their types."""
-    rows = kinds_of(answers).limit(MOST_COLUMNS + 1).collect()
+    rows = kinds_of(answers, tuple(f.name for f in known.fields)).limit(MOST_COLUMNS + 1).collect()
     if len(rows) > MOST_COLUMNS:
         raise ValueError(f"more than {MOST_COLUMNS} columns")
     names = {f.name for f in known.fields}

@@ -208,3 +208,19 @@ def test_recorded_answers(spark, tmp_path):
     assert got.agg(F.sum("battery")).first()[0] == sum(90 - k for k in range(8))
     with pytest.raises(RuntimeError, match="2: "):
         workflows.get_trip_points(spark, api, spark.createDataFrame([(2,)], "trip_id long"))
+
+
+def test_a_small_table_of_requests_is_dealt_out(spark, tmp_path):
+    """Ids in one file aren't asked for by one task, and the kinds of known columns aren't looked at."""
+    asked = spark.range(40).coalesce(1).selectExpr("cast(id as string) as asked", "concat('trips/', id, '/points') as path")
+    objects.write_texts(asked.selectExpr("path as name", "'Lat,more\n1.5,7\n' as body"), f"{tmp_path}/tok/v1")
+    got = answers.fetched(asked, {"base_url": f"file://{tmp_path}", "token": "tok", "secret": ""}, POINTS)
+    assert got.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and got.where("error is null").count() == 40
+    assert {r["name"]: r.kinds for r in answers.kinds_of(got, tuple(POINTS.names)).collect()} == {"Lat": 0, "more": answers.LONG}
+
+
+def test_rows_of_objects_with_their_names(spark, tmp_path):
+    rows = spark.createDataFrame([(k, s) for k in (1, 2) for s in range(3)], "_of long, seq long")
+    objects.write_objects(rows, str(tmp_path), "t", "_of", "seq")
+    got = objects.read_objects(objects.listing(spark, str(tmp_path), "t_"), str(tmp_path), rows.drop("_of").schema, named="object")
+    assert sorted(tuple(r) for r in got.collect()) == [(s, f"t_{k}.parquet") for s in range(3) for k in (1, 2)]
