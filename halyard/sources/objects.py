@@ -254,21 +254,6 @@ def _conformed(table: pa.Table, schema: pa.Schema) -> pa.Table:
     return pa.table(out, schema=schema)
 
 
-def rows_of_files(files: DataFrame, schema: T.StructType) -> DataFrame:
-    """The rows of whole Parquet files (a column `content`), as of read_objects(); also of a stream of files."""
-    arrow = to_arrow_schema(schema, timestamp_utc=True)
-
-    def run(batches):
-        for batch in batches:
-            for content in batch.column("content"):
-                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                have = [f.name for f in arrow if f.name in file.schema_arrow.names]
-                for piece in file.iter_batches(columns=have):
-                    yield from _conformed(pa.Table.from_batches([piece]), arrow).to_batches()
-
-    return files.select("content").mapInArrow(run, schema)
-
-
 def read_objects(names: DataFrame, root: str, schema: T.StructType, tasks: int | None = None, named: str | None = None) -> DataFrame:
     """The rows of the objects that names (a column `name`) lists: the schema's columns, of those only, with types cast to it.
 
