@@ -9,13 +9,14 @@
    differences are kept. Links give components. Before any two sets are compared, the parities of their
    shingles, about a bit for each, must allow the threshold: only sets that may link are shuffled.
 4. What is left are pairs in one list but in different components. Lists lie in blocks by size; a block is
-   skipped if its sizes, its first position or its only component rule it out, and 256-bit parities of the
-   sets rule out single pairs. Of two sets with a common leader x, the answer is derived from the known
-   differences where they suffice: |x-y| + |x-z| within the bound is a link, ||x-y| - |x-z|| beyond it is none.
-   The rest are compared exactly.
-
-A large group of near copies so costs a comparison with its leader for each set, and pairs only for sets that
-no link has joined to the others. Only pairs, positions and sets that met in a list are shuffled; components are
+   skipped if its sizes, its first position or its only component rule it out, and parities of the sets rule out
+   single pairs: of 256 bits in the first turn, of 1024 in the second. In the first each set meets only the set of another component that looks most
+   alike in a list, in the second all that are left in other components. Of two sets with a common leader x, the
+   answer is derived from the known differences where they suffice: |x-y| + |x-z| within the bound is a link,
+   ||x-y| - |x-z|| beyond it is none. The rest are compared exactly.
+
+A large group of near copies so costs at most two comparisons for each set and list, and pairs only for sets that
+no link of those has joined to the others. A set has no more leaders than its prefix has shingles, however many it leads. Only pairs, positions and sets that met in a list are shuffled; components are
 tables in the shared folder, and nothing of a document reaches the driver.
 
 Defined results: a null, empty or white-space text has an empty set and is its own component; rows with
@@ -43,6 +44,8 @@ GROUP = 1_000_000
 SEEN = 3
 WORD_BUCKETS = 16
 PARITY = 256
+#: Bits where all pairs of a list are compared.
+FINE = 1024
 WIDEST = 1 << 17
 BLOCK = 128
 #: Lists up to this size are searched side by side, longer ones block by block.
@@ -174,7 +177,7 @@ def shingle_order(texts: DataFrame, k: int = SHINGLE, most: int = FREQUENT) -> O
 
 
 def _described(docs: DataFrame, order: Order, k: int, percent: int) -> DataFrame:
-    """doc_id, n, two prints, the prefix in the global order and the parities of each text's set; raw and tie as they are."""
+    """doc_id, n, two prints, the prefix in the global order and the parities of each text's set (wide: of more than FINE shingles); raw and tie as they are."""
 
     def run(batches):
         for part, data, offsets in blocks(batches, "text"):
@@ -184,7 +187,9 @@ def _described(docs: DataFrame, order: Order, k: int, percent: int) -> DataFrame
             one, two = _prints(key, of, m)
             position = np.arange(len(key)) - (np.cumsum(n) - n)[of]
             length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
-            bits = np.minimum(np.maximum(2 ** np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), PARITY), WIDEST)
+            large = n > FINE
+            mine = large[of]
+            wide = iter(_parities(key[mine], (np.cumsum(large) - 1)[of[mine]], np.minimum(2 ** np.ceil(np.log2(n[large])).astype(np.int64), WIDEST)))
             columns = [
                 *(part.column(c) for c in ("doc_id", "raw", "tie")),
                 pa.array(n.astype(np.int32)),
@@ -192,11 +197,12 @@ def _described(docs: DataFrame, order: Order, k: int, percent: int) -> DataFrame
                 pa.array(_signed(two)),
                 pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(_signed(key[position < length[of]]))),
                 pa.array(_parities(key, of, np.full(m, PARITY)), pa.binary()),
-                pa.array(_parities(key, of, bits), pa.binary()),
+                pa.array(_parities(key, of, np.full(m, FINE)), pa.binary()),
+                pa.array([next(wide) if x else None for x in large.tolist()], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "raw", "tie", "n", "one", "two", "prefix", "parity", "wide"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "raw", "tie", "n", "one", "two", "prefix", "parity", "fine", "wide"])
 
-    return docs.mapInArrow(run, "doc_id bigint, raw bigint, tie bigint, n int, one bigint, two bigint, prefix array<bigint>, parity binary, wide binary")
+    return docs.mapInArrow(run, "doc_id bigint, raw bigint, tie bigint, n int, one bigint, two bigint, prefix array<bigint>, parity binary, fine binary, wide binary")
 
 
 def _pieces(token: Column) -> Column:
@@ -268,12 +274,13 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _stars(postings: DataFrame) -> DataFrame:
-    """(a, b) of each set and its leader, and of the leaders of a list's pieces and the least of them."""
+    """(a, b) of each set and its leader, and of the leaders of a list's pieces and the least of them; which of the two leads."""
     pairs = postings.where("key != lead").select("key", "lead")
     leaders = postings.where((_pieces(F.col("token")) > 1) & (F.col("key") == F.col("lead"))).select("token", "band", "key")
     least = leaders.groupBy("token", "band").agg(F.min("key").alias("lead"))
     pairs = pairs.union(leaders.join(least, ["token", "band"]).where("key != lead").select("key", "lead"))
-    return pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+    pairs = pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"), (F.col("lead") < F.col("key")).alias("first"))
+    return pairs.groupBy("a", "b").agg(F.max("first").alias("a_leads"), F.max(~F.col("first")).alias("b_leads"))
 
 
 def _for_search(lists: DataFrame) -> DataFrame:
@@ -293,9 +300,10 @@ def _for_search(lists: DataFrame) -> DataFrame:
 
 
 def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b, na, nb) of one list and different components (ca, cb) that no filter rules out.
+    """Pairs (a, b, na, nb) of one list (token) and different components (ca, cb) that no filter rules out.
 
-    nearest: of a set and another component, only the pair that looks most alike in a list."""
+    nearest: of each set in a list, only the pair that looks most alike, so a list gives no more pairs than it has
+    sets. A pair may come more than once."""
 
     def fits(n, p, c, w, own, row, col):
         """The pairs (row, col) that sizes, positions, components and parities allow, and their least difference."""
@@ -335,14 +343,14 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
                 col = (begin[block[j : j + 1024]][:, None] + np.arange(BLOCK)).ravel()
                 inside = col < len(n)
                 found = fits(n, p, c, w, own, row[inside], col[inside])
-                out.append(closest(c, *found) if nearest else found)
+                out.append(closest(*found) if nearest else found)
         return out
 
-    def closest(c, row, col, apart):
-        order = np.lexsort((apart, c[col], row))
+    def closest(row, col, apart):
+        order = np.lexsort((apart, row))
         row, col, apart = row[order], col[order], apart[order]
         new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (c[col][1:] != c[col][:-1])
+        new[1:] = row[1:] != row[:-1]
         return row[new], col[new], apart[new]
 
     def run(batches):
@@ -354,25 +362,30 @@ def _pairs_across(postings: DataFrame, percent: int, nearest: bool) -> DataFrame
             parts = []
             short = np.flatnonzero(np.repeat(mixed & (size <= SMALL), size))
             if len(short):
-                found = [np.concatenate(x) for x in zip(*side_by_side(*(x[short] for x in (token, n, p, c, w, g))), strict=True)]
-                row, col, _ = closest(c[short], *found) if nearest else found
+                row, col, apart = (np.concatenate(x) for x in zip(*side_by_side(*(x[short] for x in (token, n, p, c, w, g))), strict=True))
+                if nearest:
+                    row, col, _ = closest(np.append(row, col), np.append(col, row), np.append(apart, apart))
                 parts.append((short[row], short[col]))
             for a, m in zip(first[mixed & (size > SMALL)], size[mixed & (size > SMALL)], strict=True):
                 own = slice(a, a + m)
-                parts += [(row + a, col + a) for row, col, _ in by_block(*(x[own] for x in (n, p, c, w, g)))]
+                found = by_block(*(x[own] for x in (n, p, c, w, g)))
+                if nearest and found:
+                    found = [closest(*(np.concatenate(x) for x in zip(*found, strict=True)))]
+                parts += [(row + a, col + a) for row, col, _ in found]
             if not parts:
                 continue
             row, col = (np.concatenate(x) for x in zip(*parts, strict=True))
             swap = k[row] > k[col]
             row, col = np.where(swap, col, row), np.where(swap, row, col)
-            order = np.lexsort((k[col], k[row]))
-            row, col = row[order], col[order]
-            new = np.ones(len(row), bool)
-            new[1:] = (k[row][1:] != k[row][:-1]) | (k[col][1:] != k[col][:-1])
-            row, col = row[new], col[new]
-            yield pa.RecordBatch.from_arrays([pa.array(k[row]), pa.array(k[col]), pa.array(n[row].astype(np.int32)), pa.array(n[col].astype(np.int32)), pa.array(c[row]), pa.array(c[col])], ["a", "b", "na", "nb", "ca", "cb"])
+            if not nearest:  # else it matters which lists have pairs
+                order = np.lexsort((k[col], k[row]))
+                row, col = row[order], col[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (k[row][1:] != k[row][:-1]) | (k[col][1:] != k[col][:-1])
+                row, col = row[new], col[new]
+            yield pa.RecordBatch.from_arrays([pa.array(token[row]), pa.array(k[row]), pa.array(k[col]), pa.array(n[row].astype(np.int32)), pa.array(n[col].astype(np.int32)), pa.array(c[row]), pa.array(c[col])], ["token", "a", "b", "na", "nb", "ca", "cb"])
 
-    return _for_search(postings).repartition("token").sortWithinPartitions("token", "n").mapInArrow(run, "a bigint, b bigint, na int, nb int, ca bigint, cb bigint").distinct()
+    return _for_search(postings).repartition("token").sortWithinPartitions("token", "n").mapInArrow(run, "token bigint, a bigint, b bigint, na int, nb int, ca bigint, cb bigint")
 
 
 class _Column:
@@ -396,7 +409,7 @@ def _unpacked(batches):
     for batch in batches:
         columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "pos", "key", "comp", "own")}
         raw = b"".join(batch.column("parity").to_pylist())
-        columns["row"] = np.frombuffer(raw, np.uint64).reshape(-1, PARITY // 64)
+        columns["row"] = np.frombuffer(raw, np.uint64).reshape(batch.num_rows, len(raw) // 8 // max(batch.num_rows, 1))
         yield _Batch(columns)
 
 
@@ -496,12 +509,12 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
     classes = written(first.select("n", "one", "two", "first.*", "least"))
     sets = described.select("key", "n", "prefix").join(classes.select("key"), "key", "left_semi")
     postings = written(_postings(sets, percent))
-    met = written(described.select("key", "n", "parity", "wide").join(postings.select("key").distinct(), "key", "left_semi"))
-    sizes = met.select("key", "n")
+    met = written(described.select("key", "n", "parity", "fine", "wide").join(postings.select("key").distinct(), "key", "left_semi"))
+    sizes, widest = met.select("key", "n"), met.select("key", F.coalesce("wide", "fine").alias("wide"))
 
     stars = _stars(postings).join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
     stars = stars.where((100 * F.least("na", "nb")) >= percent * F.greatest("na", "nb"))
-    stars = written(_plausible(stars.select("a", "b", "na", "nb"), met, percent))
+    stars = written(_plausible(stars.select("a", "b", "na", "nb", "a_leads", "b_leads"), widest, percent))
     packed = written(_packed_sets(texts.select("doc_id", "raw", "text"), classes.join(sizes.select("key"), "key", "left_semi"), k))
     answers = written(_compared(stars, packed))
     discard(stars)
@@ -509,29 +522,37 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
     labels = components(sizes, links)
     discard(links)
 
-    leaders = answers.select("a", "b", "delta").union(answers.select(F.col("b"), F.col("a"), "delta")).toDF("x", "y", "apart")
+    leaders = answers.where("a_leads").select("a", "b", "delta").union(answers.where("b_leads").select(F.col("b"), F.col("a"), "delta")).toDF("x", "y", "apart")
+    direct, lists, done = answers.select("a", "b", F.col("delta").alias("exact")), postings, [answers]
     for nearest in (True, False):
-        lists = postings.select("token", "key", "n", "pos").join(labels.join(met.select("key", "parity"), "key"), "key")
-        pairs = written(_plausible(_pairs_across(lists, percent, nearest), met, percent))
-        # answers derived from those of a common neighbour x
+        mixed = lists.select("token", "key", "n", "pos").join(labels.join(met.select("key", F.col("parity" if nearest else "fine").alias("parity")), "key"), "key")
+        found = _pairs_across(mixed, percent, nearest)
+        if nearest:  # a list without a pair now never has one: components only grow together
+            found = written(found)
+            alone = _pieces(F.col("token")) == 1
+            lists = written(postings.where(alone).join(found.select("token").distinct(), "token", "left_semi").union(postings.where(~alone)))
+        pairs = written(_plausible(found.drop("token").distinct(), widest, percent))
+        # answers derived from those of a common leader x
         derived = (
             pairs.join(leaders.select("x", F.col("y").alias("a"), F.col("apart").alias("to_a")), "a")
             .join(leaders.select("x", F.col("y").alias("b"), F.col("apart").alias("to_b")), ["x", "b"])
             .groupBy("a", "b")
             .agg(F.min(F.col("to_a") + F.col("to_b")).alias("most"), F.max(F.abs(F.col("to_a") - F.col("to_b"))).alias("fewest"))
         )
-        direct = answers.select("a", "b", F.col("delta").alias("exact"))
-        held = pairs.join(derived, ["a", "b"], "left").join(direct, ["a", "b"], "left")
+        held = written(pairs.join(derived, ["a", "b"], "left").join(direct, ["a", "b"], "left"))
         sure = held.where(_within(percent, "exact") | _within(percent, "most")).select("ca", "cb")
         unsure = held.where(F.col("exact").isNull() & ~F.coalesce(_within(percent, "most"), F.lit(False)) & F.coalesce(_within(percent, "fewest"), F.lit(True))).select(*pairs.columns)
-        new = written(sure.union(_compared(unsure, packed).where(_within(percent)).select("ca", "cb")).distinct().toDF("a", "b"))
+        now = written(_compared(unsure, packed))
+        direct = direct.union(now.select("a", "b", "delta"))
+        new = written(sure.union(now.where(_within(percent)).select("ca", "cb")).distinct().toDF("a", "b"))
         if new.limit(1).count():  # links between whole components: their least keys are the nodes now
             joins = components(new.select(F.col("a").alias("key")).union(new.select("b")).distinct(), new)
             merged = written(skewed_join(labels, joins.toDF("comp", "least"), ["comp"]).select("key", F.col("least").alias("comp")).union(labels.join(joins.select(F.col("key").alias("comp")), "comp", "left_anti").select("key", "comp")))
             discard(labels, joins)
             labels = merged
-        discard(pairs, new)
-    discard(postings, met, packed, answers)
+        done.append(now)
+        discard(pairs, held, new, *([found] if nearest else []))
+    discard(postings, lists, met, packed, *done)
 
     every = written(classes.join(labels, "key", "left").select("n", "one", "two", "least", F.coalesce("comp", "key").alias("comp")))
     discard(labels, classes)

@@ -273,6 +273,28 @@ def near_copies(rng, base, n, edits):
     return out
 
 
+@pytest.mark.parametrize("size", [jaccard.SMALL, 300])
+def test_first_turn_pairs_grow_with_a_list_not_with_its_square(spark, size):
+    rng = random.Random(3)
+    base = rng.getrandbits(256)
+    rows = []
+    for k in range(size):  # each its own component, and near enough to every other one
+        parity = base
+        for _ in range(4):
+            parity ^= 1 << rng.randrange(256)
+        rows.append((7, k, 150, 0, k, parity.to_bytes(32, "little")))
+    lists = spark.createDataFrame(rows, "token long, key long, n int, pos int, comp long, parity binary")
+    found = jaccard._pairs_across(lists, 80, True).select("a", "b").distinct().collect()
+    assert len(found) <= size and {x for r in found for x in r} == set(range(size))
+    assert jaccard._pairs_across(lists, 80, False).select("a", "b").distinct().count() == size * (size - 1) // 2
+
+
+def test_a_set_keeps_its_leaders_only(spark):
+    rows = [(5, k, 100, 0, 1, 0) for k in range(50)] + [(6, 0, 100, 0, 1, 0), (6, 70, 100, 0, 1, 0), (8, 70, 100, 0, 1, 70), (8, 0, 100, 0, 1, 70)]
+    got = {(r.a, r.b): (r.a_leads, r.b_leads) for r in jaccard._stars(spark.createDataFrame(rows, "token long, key long, n int, pos int, band int, lead long")).collect()}
+    assert got == {(0, k): (True, False) for k in range(1, 50)} | {(0, 70): (True, True)}
+
+
 @pytest.mark.parametrize(("seed", "bits"), [(1, jaccard.PIECE_BITS), (2, 1)])
 def test_components_equal_all_pairs(spark, seed, bits, monkeypatch):
     """Also with lists in pieces, of which frequent shingles have many here; some ids are null, some repeat."""
