@@ -33,9 +33,9 @@ UNKNOWN = END + 1
 MOST_SENT = 1 << 18
 STATES = 8
 #: Tokens of a stretch; longer texts are cut into several, across which the messages are exact.
-STRETCH = 8192
-#: Tokens that are worked on at once.
-BLOCK = 1 << 18
+STRETCH = 1 << 14
+#: Tokens that are worked on at once: the more, the more of them share a step in time. 64 bytes each.
+BLOCK = 1 << 20
 #: What a ratio between states, or a step, is at least. With both messages scaled at each token no product leaves single precision then.
 LEAST = 1e-18
 ROUNDS = 10
@@ -170,60 +170,60 @@ class _Space:
     """Work space that is kept from block to block: fresh memory costs more than the arithmetic."""
 
     def __init__(self, n: int, states: int):
-        self.arrays = [np.empty((n, states), np.float32) for _ in range(3)]
+        # rows an odd number of cache lines apart, else the states of a token share few places of the cache
+        self.arrays = [np.empty((states, (n // 16 | 1) * 16 + 32), np.float32) for _ in range(2)]
 
 
 def _side_by_side(flat, begin, size, first, before, after, start, step, emit, space: _Space, total) -> None:
     """Adds the expected counts of stretches, the longest first, to total (first states, steps, emissions).
 
-    Tokens lie by time, then stretch. Both messages are scaled to a sum of one at each time, and posteriors by what
-    the two have in common there, so nothing depends on how long a text is or how far apart the states are."""
+    Tokens lie by time, then stretch, in a row for each state. Both messages are scaled to a sum of one at each time, and
+    posteriors by what the two have in common there, so nothing depends on how long a text is or how far apart the states are."""
     s, longest = len(step), int(size[0])
     alive = np.searchsorted(-size, -np.arange(longest), "left")
     off = np.cumsum(alive) - alive
     n = int(size.sum())
     at = np.arange(n) - np.repeat(off, alive)
     seen = flat[begin[at] + np.repeat(np.arange(longest), alive)].astype(np.int64)
-    e, alpha, beta = (x[:n] for x in space.arrays)
-    np.take(emit, seen, axis=0, out=e, mode="clip")
-    back, ones, norms = step.T.copy(), np.ones(s, np.float32), np.empty(n, np.float32)
+    e, alpha = (x[:, :n] for x in space.arrays)
+    for j in range(s):
+        np.take(emit[j], seen, out=e[j], mode="clip")
+    into, ones, norms = step.T.copy(), np.ones(s, np.float32), np.empty(n, np.float32)
     alive, off = alive.tolist(), off.tolist()
-    lead = np.where(first[:, None], start, before @ step).astype(np.float32)
-    before, after = before.astype(np.float32), after.astype(np.float32)
-    np.multiply(lead, e[: alive[0]], out=alpha[: alive[0]])
+    lead = np.where(first[:, None], start, before @ step).T.astype(np.float32)
+    before, after = before.astype(np.float32), after.T.astype(np.float32)
+    np.multiply(lead, e[:, : alive[0]], out=alpha[:, : alive[0]])
     for t in range(longest):
         o, m = off[t], alive[t]
-        now, norm = alpha[o : o + m], norms[o : o + m]
+        now, norm = alpha[:, o : o + m], norms[o : o + m]
         if t:
-            np.matmul(alpha[off[t - 1] : off[t - 1] + m], step, out=now)
-            now *= e[o : o + m]
-        np.matmul(now, ones, out=norm)
-        now /= norm[:, None]
+            np.matmul(into, alpha[:, off[t - 1] : off[t - 1] + m], out=now)
+            now *= e[:, o : o + m]
+        np.matmul(ones, now, out=norm)
+        now /= norm
+    e /= norms  # what the steps into a time are divided by
     steps, ahead, following = np.zeros((s, s)), None, 0
     for t in range(longest - 1, -1, -1):
         o, m = off[t], alive[t]
-        b, now = beta[o : o + m], alpha[o : o + m]
+        b = after[:, following:m]  # these stretches end here
         if following:
-            np.matmul(ahead, back, out=b[:following])
-        if following < m:  # these stretches end here
-            b[following:] = after[following:m]
-        ahead = e[o : o + m]
+            b = np.concatenate([step @ ahead, b], 1) if following < m else step @ ahead
+        now, ahead = alpha[:, o : o + m], e[:, o : o + m]
         ahead *= b
-        # alpha * b is the posterior up to its sum; with it, and the forward norm, the steps into this time get theirs
-        b *= now
-        shared = b @ ones
-        b /= shared[:, None]
-        ahead /= shared[:, None]
-        ahead /= norms[o : o + m, None]
+        # alpha * b is the posterior up to its sum, and takes alpha's place; with the sum, the steps into this time get theirs
+        now *= b
+        shared = ones @ now
+        now /= shared
+        ahead /= shared
         if t:
-            steps += alpha[off[t - 1] : off[t - 1] + m].T @ ahead
-            ahead /= (ahead @ ones)[:, None]
+            steps += alpha[:, off[t - 1] : off[t - 1] + m] @ ahead.T
+            ahead /= ones @ ahead
         following = m
-    steps += before.T @ ahead
-    total[0] += beta[: alive[0]][first].sum(0, dtype=np.float64)
+    steps += before.T @ ahead.T
+    total[0] += alpha[:, : alive[0]][:, first].sum(1, dtype=np.float64)
     total[1] += step * steps
     for j in range(s):
-        total[2][:, j] += np.bincount(seen, beta[:, j], len(emit))
+        total[2][:, j] += np.bincount(seen, alpha[j], emit.shape[1])
 
 
 def _expected(flat: np.ndarray, n: np.ndarray, start: np.ndarray, step: np.ndarray, emit: np.ndarray, total: list[np.ndarray], stretch: int = STRETCH) -> None:
@@ -239,7 +239,7 @@ def _expected(flat: np.ndarray, n: np.ndarray, start: np.ndarray, step: np.ndarr
     order = np.argsort(-size, kind="stable")
     ends = np.cumsum(size[order])
     space = _Space(max(BLOCK, int(size.max())), len(step))
-    emit, step = emit.astype(np.float32), step.astype(np.float32)
+    emit, step = np.ascontiguousarray(emit.T, np.float32), step.astype(np.float32)
     a = 0
     while a < len(order):
         b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
