@@ -17,7 +17,8 @@
 
 A large group of near copies so costs at most two comparisons for each set and list, and pairs only for sets that
 no link of those has joined to the others. A set has no more leaders than its prefix has shingles, however many it leads. Only pairs, positions and sets that met in a list are shuffled; components are
-tables in the shared folder, and nothing of a document reaches the driver.
+tables in the shared folder, and nothing of a document reaches the driver. It plans each query, and what a plan leaves in
+its memory adds up over a session: a table that two steps read is written once, not planned into both.
 
 Defined results: a null, empty or white-space text has an empty set and is its own component; rows with
 equal texts are one component; a null doc_id never is the smallest, unless all of a component are null; rows
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.llm.shared import blocks, discard, mix, most_frequent, packed, shingles, skewed_join, word_hashes, words, written
+from halyard.llm.shared import HEAVY, blocks, discard, heavy_keys, mix, most_frequent, packed, shingles, skewed_join, word_hashes, words, written
 
 SHINGLE = 4
 PERCENT = 85
@@ -483,21 +484,26 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(key, comp) of nodes (key) by links (a, b): comp is the smallest key that links reach.
 
     Each round takes the smallest label among the neighbours and then the label's own label; a chain so
-    shortens by half, and every round's table is written to the shared folder."""
+    shortens by half, and every round's table is written to the shared folder. Of a round the driver gets whether
+    a label changed and the labels that hold more than 1 in HEAVY keys, so that plans stay short."""
     both = written(links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct().toDF("a", "b"))
     ends, rows = both.count(), nodes.count()
+    crowded = heavy_keys(both, "b", ends)
     labels, seen = nodes.select("key", F.col("key").alias("comp")), both.groupBy("a").agg(F.min("b").alias("other"))
     while True:
         step = written(labels.join(seen.withColumnRenamed("a", "key"), "key", "left").select("key", F.least("comp", F.coalesce("other", "comp")).alias("low"), "comp"))
-        now = written(skewed_join(step, step.select(F.col("key").alias("low"), F.col("low").alias("lower")), ["low"], rows).select("key", "lower", "comp"))
-        changed = now.where("lower != comp").limit(1).count()
-        discard(step, *([labels] if hasattr(labels, "halyard_path") else []))
-        labels = now.withColumnsRenamed({"comp": "_comp", "lower": "comp"}).drop("_comp")
-        labels.halyard_path = now.halyard_path
-        if not changed:
+        if hasattr(labels, "halyard_path"):
+            discard(labels)
+        sizes = step.groupBy("low").agg(F.count("*").alias("n"), F.max(F.col("low") != F.col("comp")).alias("moved"))
+        moved, heavy = sizes.agg(F.max("moved"), F.collect_list(F.when(F.col("n") * HEAVY > rows, F.col("low")))).first()
+        if not moved:  # no link joins two labels, so a label is the smallest key of its component and its own label
+            labels = step.select("key", F.col("low").alias("comp"))
+            labels.halyard_path = step.halyard_path
             discard(both)
             return labels
-        seen = skewed_join(both, labels.toDF("b", "other"), ["b"], ends).groupBy("a").agg(F.min("other").alias("other"))
+        labels = written(skewed_join(step, step.select(F.col("key").alias("low"), F.col("low").alias("lower")), ["low"], heavy=heavy).select("key", F.col("lower").alias("comp")))
+        discard(step)
+        seen = skewed_join(both, labels.toDF("b", "other"), ["b"], heavy=crowded).groupBy("a").agg(F.min("other").alias("other"))
 
 
 def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -547,7 +553,8 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
         new = written(sure.union(now.where(_within(percent)).select("ca", "cb")).distinct().toDF("a", "b"))
         if new.limit(1).count():  # links between whole components: their least keys are the nodes now
             joins = components(new.select(F.col("a").alias("key")).union(new.select("b")).distinct(), new)
-            merged = written(skewed_join(labels, joins.toDF("comp", "least"), ["comp"]).select("key", F.col("least").alias("comp")).union(labels.join(joins.select(F.col("key").alias("comp")), "comp", "left_anti").select("key", "comp")))
+            heavy = heavy_keys(labels, "comp", labels.count())
+            merged = written(skewed_join(labels, joins.toDF("comp", "least"), ["comp"], heavy=heavy).select("key", F.col("least").alias("comp")).union(labels.join(joins.select(F.col("key").alias("comp")), "comp", "left_anti").select("key", "comp")))
             discard(labels, joins)
             labels = merged
         done.append(now)
@@ -557,7 +564,9 @@ def classes_and_components(docs: DataFrame, k: int = SHINGLE, percent: int = PER
     every = written(classes.join(labels, "key", "left").select("n", "one", "two", "least", F.coalesce("comp", "key").alias("comp")))
     discard(labels, classes)
     least = every.groupBy("comp").agg(F.min("least").alias("component_id"))
-    return described, skewed_join(every, least, ["comp"]).select("n", "one", "two", "comp", "component_id")
+    found = written(skewed_join(every, least, ["comp"], heavy=heavy_keys(every, "comp", every.count())).select("n", "one", "two", "comp", "component_id"))
+    discard(every)
+    return described, found
 
 
 def joined(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -575,9 +584,10 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, doc_i
     survivor doesn't depend on partitions. Documents without shingles are alike to nothing and stay."""
     every = packed(docs, doc_id=doc_id, text=text).withColumn("tie", F.xxhash64("row"))
     described, found = classes_and_components(every.select("doc_id", "text", "tie"), k, percent)
-    rows = skewed_join(described.where("n > 0").select("doc_id", "n", "one", "two", "tie"), found, ["n", "one", "two"])
+    rows = written(skewed_join(described.where("n > 0").select("doc_id", "n", "one", "two", "tie"), found, ["n", "one", "two"]).select("doc_id", "n", "one", "two", "tie", "comp"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "one", "two", "tie"))
     kept = written(rows.groupBy("comp").agg(first.alias("b")).select("b.tie", "b.n", "b.one", "b.two").join(rows.groupBy("tie", "n", "one", "two").agg(F.count("*").alias("alike")), ["tie", "n", "one", "two"]))
+    discard(rows, found, described)
     prints = _with_prints(every.select("row", "tie", "text"), k)
     own = ["tie", "n", "one", "two"]
     out = prints.join(kept.where("alike = 1").select(*own, F.lit(True).alias("kept")), own, "left").where("n = 0 or kept").select("row")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from halyard.llm import decontaminate, hmm, jaccard, media, mixing, quality, secrets, tokens, urls
+from halyard.llm import decontaminate, hmm, jaccard, media, mixing, quality, secrets, shared, tokens, urls
 
 from .conftest import SCHEMA, odd_rows, prose
 
@@ -295,6 +295,26 @@ def test_a_set_keeps_its_leaders_only(spark):
     assert got == {(0, k): (True, False) for k in range(1, 50)} | {(0, 70): (True, True)}
 
 
+@pytest.mark.parametrize("heavy", [2, 2048])
+def test_components_of_chains_stars_and_lone_keys(spark, monkeypatch, heavy):
+    monkeypatch.setattr(jaccard, "HEAVY", heavy)
+    monkeypatch.setattr(shared, "HEAVY", heavy)
+    links = [(k + 1, k) for k in range(100, 140)] + [(200, k) for k in range(201, 260)] + [(7, 7), (300, 5)]
+    nodes = sorted({7, 8, *(x for link in links for x in link)})
+    want = {k: 100 if 100 <= k < 200 else 200 if 200 <= k < 300 else 5 if k == 300 else k for k in nodes}
+    found = jaccard.components(spark.createDataFrame([(k,) for k in nodes], "key long"), spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == sorted(want.items())
+    assert jaccard.components(spark.range(0).toDF("key"), spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_the_join_plans_each_of_its_steps_once(spark, odd, monkeypatch):
+    plans, write = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, *by: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, *by))
+    out = [jaccard.one_of_each(odd), jaccard.joined(odd)]
+    plans += [df._jdf.queryExecution().optimizedPlan().toString() for df in out]
+    assert len(plans) > 20 and max(p.count("Join ") for p in plans) <= 8  # each is planned in the driver's memory
+
+
 @pytest.mark.parametrize(("seed", "bits"), [(1, jaccard.PIECE_BITS), (2, 1)])
 def test_components_equal_all_pairs(spark, seed, bits, monkeypatch):
     """Also with lists in pieces, of which frequent shingles have many here; some ids are null, some repeat."""
